@@ -131,3 +131,248 @@ def q_unused(spark, sf_dir):
 def q_missing(spark, sf_dir):
     from batchlens.operators.derived import missing_batch_audit
     return missing_batch_audit(cat_of(spark, sf_dir))
+
+
+# --- graph views -----------------------------------------------------------
+
+def _seq(spark, sf_dir, as_of=None):
+    from batchlens.operators.sequence import sequenced_edges, sequenced_nodes
+    c = cat_of(spark, sf_dir)
+    return sequenced_nodes(c, as_of), sequenced_edges(c, services_df(spark))
+
+
+def _view(spark, sf_dir, which):
+    from batchlens.operators import graph
+    n, e = _seq(spark, sf_dir)
+    return (graph.not_run_view if which == "nr" else graph.broken_view)(n, e)
+
+
+@query("not_run_view_nodes")
+def q_nr_nodes(spark, sf_dir):
+    return _view(spark, sf_dir, "nr")[0].select("NodeKey", "RunStatusCD", "SegmentLabel")
+
+
+@query("not_run_view_edges")
+def q_nr_edges(spark, sf_dir):
+    return _view(spark, sf_dir, "nr")[1].select("ID", "FromNodeKey", "ToNodeKey", "SegmentDisplay")
+
+
+@query("broken_view_nodes")
+def q_br_nodes(spark, sf_dir):
+    return _view(spark, sf_dir, "br")[0].select("NodeKey", "RunStatusCD", "SegmentLabel")
+
+
+@query("broken_view_edges")
+def q_br_edges(spark, sf_dir):
+    return _view(spark, sf_dir, "br")[1].select("ID", "FromNodeKey", "ToNodeKey", "SegmentDisplay")
+
+
+@query("graph_view_counts")
+def q_view_counts(spark, sf_dir):
+    from batchlens.operators.graph import view_counts
+    return view_counts(*_seq(spark, sf_dir))
+
+
+@query("adjacency")
+def q_adjacency(spark, sf_dir):
+    from batchlens.operators.graph import adjacency
+    return adjacency(_seq(spark, sf_dir)[1])
+
+
+@query("snapshot_diff")
+def q_snapshot_diff(spark, sf_dir):
+    from batchlens.operators.graph import snapshot_diff
+    old, _ = _seq(spark, sf_dir, "2001-07-30 12:00:00")
+    new, _ = _seq(spark, sf_dir)
+    return snapshot_diff(old, new)
+
+
+@query("upstream_chain")
+def q_upstream_chain(spark, sf_dir):
+    from batchlens.operators.graph import upstream_chain
+    return upstream_chain(_seq(spark, sf_dir)[1])
+
+
+# --- DOT text ----------------------------------------------------------------
+
+DOT_TITLE = "Batch Sequencing - fixture"
+
+
+@query("dot_lines")
+def q_dot_lines(spark, sf_dir):
+    from batchlens.operators.dot import render_dot_lines
+    n, e = _seq(spark, sf_dir)
+    return render_dot_lines(n, e, DOT_TITLE)
+
+
+@query("dot_roundtrip")
+def q_dot_roundtrip(spark, sf_dir):
+    from batchlens.operators.dot import parse_dot_nodes, render_dot_lines
+    n, e = _seq(spark, sf_dir)
+    lines = render_dot_lines(n, e, DOT_TITLE).select(F.col("LineTXT").alias("value"))
+    return parse_dot_nodes(lines).select(
+        "NodeKey", "DataMartNM", "BatchDefinitionNM", "AvgDurationNBR", "ScheduleCategoryCD",
+        "SchedulePatternTypeCD", "RunStatusCD", "CompletedTXT", "NextRunTXT", "BrokenReferenceFLG").distinct()
+
+
+# --- snapshot archive ------------------------------------------------------
+
+@query("snapshot_index")
+def q_snapshot_index(spark, sf_dir):
+    from batchlens.operators.archive import snapshot_index
+    return snapshot_index(cat_of(spark, sf_dir)["SnapshotFiles"])
+
+
+@query("snapshot_day_counts")
+def q_snapshot_day_counts(spark, sf_dir):
+    from batchlens.operators.archive import snapshot_index, snapshots_per_day
+    return snapshots_per_day(snapshot_index(cat_of(spark, sf_dir)["SnapshotFiles"]))
+
+
+@query("expired_files")
+def q_expired(spark, sf_dir):
+    from batchlens.operators.archive import expired_files
+    return expired_files(cat_of(spark, sf_dir)["SnapshotFiles"], days=90)
+
+
+@query("orphan_files")
+def q_orphans(spark, sf_dir):
+    from batchlens.operators.archive import orphan_files
+    return orphan_files(cat_of(spark, sf_dir)["SnapshotFiles"])
+
+
+# --- retention / validation -------------------------------------------------
+# fixture: policy row for table t purges / validates SnapshotRows of table t % 10
+
+def _target_of():
+    return F.col("TableID") % 10
+
+
+def _plan(spark, sf_dir, invocations=None):
+    from batchlens.operators.retention import purge_plan
+    c = cat_of(spark, sf_dir)
+    return purge_plan(c["SAMSnapshotTableManagementBASE"], c, invocations=invocations)
+
+
+@query("purge_plan")
+def q_purge_plan(spark, sf_dir):
+    return _plan(spark, sf_dir)
+
+
+@query("purge_kept")
+def q_purge_kept(spark, sf_dir):
+    from batchlens.operators.retention import purge_kept
+    c = cat_of(spark, sf_dir)
+    rows = c["SnapshotRows"].withColumn("TargetID", F.col("TableID"))
+    return purge_kept(rows, _plan(spark, sf_dir), "l_shipdate", _target_of()).drop("TargetID")
+
+
+@query("purge_log")
+def q_purge_log(spark, sf_dir):
+    from batchlens.operators.retention import daily_counts, hook_invocations, purge_log
+    c = cat_of(spark, sf_dir)
+    inv = hook_invocations(c)
+    latest = inv.groupBy("EntityID").agg(F.max("JobID").alias("JobID")).join(inv, ["EntityID", "JobID"])
+    plan = _plan(spark, sf_dir, latest)
+    counts = daily_counts(c["SnapshotRows"], "l_shipdate", "TableID")
+    return purge_log(plan, counts, _target_of())
+
+
+def _validate(spark, sf_dir):
+    from batchlens.operators.retention import daily_counts, validate_snapshot
+    c = cat_of(spark, sf_dir)
+    counts = daily_counts(c["SnapshotRows"], "LastLoadDTS", "TableID")
+    return validate_snapshot(c["SAMSnapshotTableManagementBASE"], c, counts, _target_of())
+
+
+@query("validate_snapshot")
+def q_validate(spark, sf_dir):
+    return _validate(spark, sf_dir)
+
+
+@query("validate_daily")
+def q_validate_daily(spark, sf_dir):
+    return _validate(spark, sf_dir).filter(F.col("SnapshotPeriodCD") == "Daily")
+
+
+@query("validate_monthly")
+def q_validate_monthly(spark, sf_dir):
+    return _validate(spark, sf_dir).filter(F.col("SnapshotPeriodCD") == "Monthly")
+
+
+@query("configured_entities")
+def q_configured(spark, sf_dir):
+    from batchlens.operators.retention import configured_entities
+    c = cat_of(spark, sf_dir)
+    return configured_entities(c["SAMSnapshotTableManagementBASE"], c, c["ETLTableHistoryBASE"])
+
+
+# --- lineage ----------------------------------------------------------------
+
+@query("downstream_bindings")
+def q_downstream(spark, sf_dir):
+    from batchlens.operators.lineage import downstream_bindings
+    return downstream_bindings(cat_of(spark, sf_dir))
+
+
+@query("lineage_refs")
+def q_lineage_refs(spark, sf_dir):
+    from batchlens.operators.lineage import downstream_bindings, extract_references
+    return extract_references(downstream_bindings(cat_of(spark, sf_dir)))
+
+
+@query("replace_by_key")
+def q_replace_by_key(spark, sf_dir):
+    from batchlens.operators.lineage import downstream_bindings, extract_references, keyed_replace
+    c = cat_of(spark, sf_dir)
+    old = extract_references(downstream_bindings(c))
+    active = c["BindingBASE"].filter(F.col("BindingStatusCD") == "Active").select(F.col("BindingID").alias("ObjectID"))
+    new_txt = (c["ObjectAttributeBASE"].filter(F.col("AttributeNM") == "UserDefinedSQL")
+               .join(active, "ObjectID", "left_semi"))
+    new = extract_references(new_txt, "ObjectID", "AttributeValueLongTXT")
+    return keyed_replace(old, new)
+
+
+# --- documents --------------------------------------------------------------
+
+@query("flatten_attributes")
+def q_flatten(spark, sf_dir):
+    from batchlens.operators.documents import flatten_json_text
+    return flatten_json_text(cat_of(spark, sf_dir)["events"], "event_id", "props")
+
+
+@query("environment_inventory")
+def q_env(spark, sf_dir):
+    from batchlens.operators.documents import environment_inventory
+    c = cat_of(spark, sf_dir)
+    envs = c["region"].select(F.col("r_regionkey").cast("bigint").alias("environment_id"),
+                              F.concat(F.lit("env-"), "r_name").alias("environment_name"))
+    variables = c["nation"].select(
+        F.col("n_nationkey").cast("bigint").alias("variable_id"), F.col("n_regionkey").cast("bigint").alias("environment_id"),
+        F.col("n_name").alias("name"),
+        F.when(F.col("n_nationkey") % 4 == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("v"), F.col("n_nationkey").cast("string"))).alias("value"))
+    return environment_inventory(variables, envs)
+
+
+# --- refresh / calendar / history ---------------------------------------------
+
+@query("refresh_outcome")
+def q_refresh(spark, sf_dir):
+    from batchlens.operators.refresh import refresh_outcome
+    c = cat_of(spark, sf_dir)
+    return refresh_outcome(c["RefreshHistory"], c["RefreshOperation"])
+
+
+@query("run_calendar")
+def q_run_calendar(spark, sf_dir):
+    from batchlens.operators.refresh import run_calendar
+    return run_calendar(cat_of(spark, sf_dir)["events"].select("event_id", "ts"))
+
+
+@query("monthly_effective_history")
+def q_monthly(spark, sf_dir):
+    from batchlens.operators.history import month_calendar, monthly_effective_history
+    c = cat_of(spark, sf_dir)
+    cal = month_calendar(spark, "1995-01-01", "2001-07-31")
+    return monthly_effective_history(c["EffectiveEvents"], cal)

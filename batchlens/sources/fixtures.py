@@ -92,7 +92,7 @@ SELECT o_custkey AS EmployeeID, o_orderdate AS EventFromEffectiveDTS, o_orderdat
 FIXTURE_NAMES = [n for n, _ in FIXTURE_VIEWS]
 
 
-def oracle_prelude(names: list[str] | None = None) -> str:
+def oracle_prelude(names: list[str] | None = None, recursive: bool = False) -> str:
     """``WITH`` clause defining the fixture views for a DuckDB oracle query.
 
     Only the views a query needs (plus their dependencies) are emitted.
@@ -114,7 +114,7 @@ def oracle_prelude(names: list[str] | None = None) -> str:
                     wanted.add(d)
                     changed = True
     parts = [f"{n} AS ({sql.strip()})" for n, sql in FIXTURE_VIEWS if n in wanted]
-    return "WITH " + ",\n".join(parts) + "\n"
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n"
 
 
 _lock = threading.Lock()
