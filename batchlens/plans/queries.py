@@ -376,3 +376,37 @@ def q_monthly(spark, sf_dir):
     c = cat_of(spark, sf_dir)
     cal = month_calendar(spark, "1995-01-01", "2001-07-31")
     return monthly_effective_history(c["EffectiveEvents"], cal)
+
+
+# --- streaming (run to completion with availableNow; oracle = batch SQL) ------
+
+def _stream(spark, sf_dir):
+    import os
+    from batchlens.streaming.jobs import history_stream
+    apply_conf(spark)
+    return history_stream(spark, os.path.abspath(sf_dir), "events.parquet")
+
+
+@query("stream_status_counts")
+def q_stream_status_counts(spark, sf_dir):
+    from batchlens.streaming.jobs import run_available_now, status_counts
+    return run_available_now(status_counts(_stream(spark, sf_dir)), "update", ["WindowStartDTS", "StatusCD"],
+                             "status_counts")
+
+
+@query("stream_refresh_latest")
+def q_stream_refresh_latest(spark, sf_dir):
+    from batchlens.streaming.jobs import refresh_latest, run_available_now
+    return run_available_now(refresh_latest(_stream(spark, sf_dir)), "update", ["ObjectID"], "refresh_latest")
+
+
+@query("stream_dedup_loads")
+def q_stream_dedup(spark, sf_dir):
+    from batchlens.streaming.jobs import dedup_loads, run_available_now
+    return run_available_now(dedup_loads(_stream(spark, sf_dir)), "append", name="dedup_loads")
+
+
+@query("stream_hourly_active")
+def q_stream_hourly(spark, sf_dir):
+    from batchlens.streaming.jobs import hourly_active, run_available_now
+    return run_available_now(hourly_active(_stream(spark, sf_dir)), "update", ["HourStartDTS"], "hourly_active")
