@@ -7,6 +7,7 @@ DuckDB oracle (as a CTE prelude), so both engines see identical inputs.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import threading
 
@@ -121,22 +122,45 @@ _lock = threading.Lock()
 
 
 class FixtureCatalog(dict):
-    """Mapping of catalog table name -> DataFrame over one driver data folder."""
+    """Mapping of catalog table name -> DataFrame over one driver data folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    With ``materialize`` (the default) every fixture view is computed once and
+    written as a parquet table below ``spark.checkpoint.dir`` (the shared
+    folder), then read back -- the shape a production catalog has (stored
+    tables), and a lineage cut that survives executor loss. Otherwise the
+    views stay lazy SQL over the driver tables.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         super().__init__()
         self.spark = spark
         self.sf_dir = sf_dir
+        root = None
+        if materialize:
+            from batchlens.session import ensure_checkpoint_dir
+            tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+            root = ensure_checkpoint_dir(spark).rstrip("/") + f"/batchlens-catalog/{tag}"
         with _lock:
             for t in DRIVER_TABLES:
                 spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")).createOrReplaceTempView(t)
                 self[t] = spark.table(t)
             for name, sql in FIXTURE_VIEWS:
                 df = spark.sql(sql)
+                if root is not None:
+                    path = f"{root}/{name}"
+                    if not _exists(spark, path + "/_SUCCESS"):
+                        df.write.mode("overwrite").parquet(path)
+                    df = spark.read.parquet(path)
                 df.createOrReplaceTempView(name)
                 self[name] = spark.table(name)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 _cache: dict[tuple[int, str], FixtureCatalog] = {}
 
 
