@@ -52,3 +52,18 @@ def test_snapshot_index_and_orphans(spark):
         ("G_SRV_20260223_0005.svg", "12:05 AM", "2026-02-23T00:05:00")]
     assert idx[0].htmlFile == "G_SRV_20260223_1555.html"
     assert [r.FileNM for r in orphan_files(files).collect()] == ["G_SRV_20260222_1200.html"]
+
+
+def test_list_files_and_snapshot_sink(spark, tmp_path):
+    from batchlens.operators.archive import expired_files
+    from batchlens.sources.files import list_files
+    from batchlens.sources.sinks import write_graph_snapshot
+    for n in ("G_SRV_20010101_1000.svg", "G_SRV_20010101_1000.html", "other.txt"):
+        (tmp_path / n).write_text("x")
+    files = list_files(spark, str(tmp_path), "G_*")
+    assert sorted(r.FileNM for r in files.collect()) == ["G_SRV_20010101_1000.html", "G_SRV_20010101_1000.svg"]
+    assert expired_files(files, "2001-07-31 12:00:00", days=90).count() == 2
+    lines = spark.createDataFrame([(1, "digraph {"), (5, "}")], "SectionNBR int, LineTXT string")
+    write_graph_snapshot(lines, str(tmp_path / "out"), "DEV", "20010101_1000")
+    back = spark.read.text(str(tmp_path / "out" / "archive")).collect()
+    assert {r.value for r in back} == {"digraph {", "}"}
