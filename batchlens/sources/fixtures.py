@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -138,20 +139,33 @@ class FixtureCatalog(dict):
         root = None
         if materialize:
             from batchlens.session import ensure_checkpoint_dir
-            tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+            # folder, definitions and input file sizes/times name the copy, so a
+            # changed definition or input never reuses a stale one
+            sig = [os.path.abspath(sf_dir)] + [sql for _, sql in FIXTURE_VIEWS]
+            for t in DRIVER_TABLES:
+                p = os.path.join(sf_dir, f"{t}.parquet")
+                if os.path.exists(p):
+                    st = os.stat(p)
+                    sig.append(f"{t}:{st.st_size}:{int(st.st_mtime)}")
+            tag = hashlib.sha1("\n".join(sig).encode()).hexdigest()[:16]
             root = ensure_checkpoint_dir(spark).rstrip("/") + f"/batchlens-catalog/{tag}"
         with _lock:
             for t in DRIVER_TABLES:
                 spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")).createOrReplaceTempView(t)
                 self[t] = spark.table(t)
+            lazy = {}
             for name, sql in FIXTURE_VIEWS:
-                df = spark.sql(sql)
-                if root is not None:
-                    path = f"{root}/{name}"
-                    if not _exists(spark, path + "/_SUCCESS"):
-                        df.write.mode("overwrite").parquet(path)
-                    df = spark.read.parquet(path)
-                df.createOrReplaceTempView(name)
+                lazy[name] = spark.sql(sql)
+                lazy[name].createOrReplaceTempView(name)
+            if root is not None:
+                todo = [n for n in lazy if not _exists(spark, f"{root}/{n}/_SUCCESS")]
+                # independent write jobs, submitted concurrently (the scheduler
+                # interleaves their tasks); each write is atomic per folder
+                with ThreadPoolExecutor(max_workers=8) as pool:
+                    list(pool.map(lambda n: lazy[n].write.mode("overwrite").parquet(f"{root}/{n}"), todo))
+                for name in lazy:
+                    spark.read.parquet(f"{root}/{name}").createOrReplaceTempView(name)
+            for name in lazy:
                 self[name] = spark.table(name)
 
 
