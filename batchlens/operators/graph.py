@@ -55,11 +55,15 @@ def broken_view(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFram
 
 
 def adjacency(edges: DataFrame) -> DataFrame:
-    """A-9: parents per child (child keyed case-insensitively), as a sorted
-    '|'-joined list for stable comparison plus the count."""
-    g = edges.groupBy(F.lower("ToNodeKey").alias("ChildKey")).agg(
-        F.array_sort(F.collect_set("FromNodeKey")).alias("_p"))
-    return g.select("ChildKey", F.concat_ws("|", "_p").alias("ParentKeys"), F.size("_p").cast("bigint").alias("ParentCNT"))
+    """A-9: the parents of each child (child keyed case-insensitively), one
+    row per (child, parent) with the child's parent count.
+
+    Rows instead of a collected list: a child with a huge number of parents
+    never has to fit in one array or one task; the count is a partial
+    aggregate joined back on the child key."""
+    pairs = edges.select(F.lower("ToNodeKey").alias("ChildKey"), F.col("FromNodeKey").alias("ParentKey")).distinct()
+    counts = pairs.groupBy("ChildKey").agg(F.count(F.lit(1)).alias("ParentCNT"))
+    return pairs.join(counts, "ChildKey")
 
 
 def view_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -27,8 +27,8 @@ def test_not_run_view_adds_direct_parents_case_insensitively(spark):
 
 def test_adjacency_and_chain(spark):
     nodes, edges = _graph(spark)
-    adj = {r.ChildKey: r.ParentKeys for r in adjacency(edges).collect()}
-    assert adj["m.c"] == "M.b"
+    adj = {(r.ChildKey, r.ParentKey): r.ParentCNT for r in adjacency(edges).collect()}
+    assert adj[("m.c", "M.b")] == 1 and adj[("m.e", "M.a")] == 1
     ch = {(r.SeedKey, r.NodeKey): r.DepthNBR for r in upstream_chain(edges).collect()}
     assert ch[("m.c", "m.a")] == 2 and ch[("gone.d", "m.a")] == 2 and ch[("m.b", "m.a")] == 1
     cyc = spark.createDataFrame([("x", "y", "s"), ("y", "x", "s")], EDGES)
