@@ -37,6 +37,29 @@ def services_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([("IDEA-Web", SERVICE_URL)], "ServiceNM string, ServiceUrl string")
 
 
+# Intermediates shared by several reports over the same catalog (the
+# dependency base and batch resolution; the declared sequence graph) are
+# computed once per session and catalog and cut from their lineage with
+# reliable checkpoints in spark.checkpoint.dir -- what a run that produces
+# all the reports from one catalog snapshot does.
+_SHARED: dict[tuple, object] = {}
+
+
+def _shared(spark: SparkSession, sf_dir: str, name: str, build):
+    cat = cat_of(spark, sf_dir)
+    key = (id(spark), id(cat), name)
+    hit = _SHARED.get(key)
+    if hit is None or hit[0] is not cat:
+        hit = (cat, build(cat))
+        _SHARED[key] = hit
+    return hit[1]
+
+
+def _derived_ctx(spark, sf_dir):
+    from batchlens.operators.derived import DerivedContext
+    return _shared(spark, sf_dir, "derived", lambda c: DerivedContext(c).persist())
+
+
 # --- progress --------------------------------------------------------------
 
 @query("etl_progress")
@@ -79,7 +102,7 @@ def q_sequenced_nodes(spark, sf_dir):
 @query("run_status")
 def q_run_status(spark, sf_dir):
     from batchlens.operators.sequence import sequenced_nodes
-    return (sequenced_nodes(cat_of(spark, sf_dir))
+    return (_seq(spark, sf_dir)[0]
             .groupBy("RunStatusCD").agg(F.count(F.lit(1)).alias("NodeCNT")))
 
 
@@ -112,33 +135,33 @@ def q_resolve_to(spark, sf_dir):
 @query("derived_nodes")
 def q_derived_nodes(spark, sf_dir):
     from batchlens.operators.derived import derived_nodes
-    return derived_nodes(cat_of(spark, sf_dir))
+    return derived_nodes(cat_of(spark, sf_dir), ctx=_derived_ctx(spark, sf_dir))
 
 
 @query("derived_edges")
 def q_derived_edges(spark, sf_dir):
     from batchlens.operators.derived import derived_edges
-    return derived_edges(cat_of(spark, sf_dir))
+    return derived_edges(cat_of(spark, sf_dir), ctx=_derived_ctx(spark, sf_dir))
 
 
 @query("unused_batches")
 def q_unused(spark, sf_dir):
     from batchlens.operators.derived import unused_batches
-    return unused_batches(cat_of(spark, sf_dir))
+    return unused_batches(cat_of(spark, sf_dir), ctx=_derived_ctx(spark, sf_dir))
 
 
 @query("missing_batch_audit")
 def q_missing(spark, sf_dir):
     from batchlens.operators.derived import missing_batch_audit
-    return missing_batch_audit(cat_of(spark, sf_dir))
+    return missing_batch_audit(cat_of(spark, sf_dir), ctx=_derived_ctx(spark, sf_dir))
 
 
 # --- graph views -----------------------------------------------------------
 
 def _seq(spark, sf_dir, as_of=None):
     from batchlens.operators.sequence import sequenced_edges, sequenced_nodes
-    c = cat_of(spark, sf_dir)
-    return sequenced_nodes(c, as_of), sequenced_edges(c, services_df(spark))
+    return _shared(spark, sf_dir, f"seq:{as_of}", lambda c: (
+        sequenced_nodes(c, as_of).checkpoint(), sequenced_edges(c, services_df(spark)).checkpoint()))
 
 
 def _view(spark, sf_dir, which):
