@@ -32,3 +32,21 @@ def test_stream_equals_batch(spark, tmp_path):
     hours = {str(r.HourStartDTS): r.EventCNT for r in
              run_available_now(hourly_active(s()), "update", ["HourStartDTS"], "t4").collect()}
     assert hours == {"2024-01-01 06:00:00": 3, "2024-01-01 07:00:00": 1}
+
+
+def test_retention_on_load_foreach_batch(spark, tmp_path):
+    from batchlens.streaming.jobs import retention_on_load
+    loads = spark.createDataFrame([(100, 1), (100, 1), (101, 2)], "JobID bigint, EntityID bigint")
+    loads.coalesce(1).write.parquet(str(tmp_path / "loads"))
+    config = spark.createDataFrame([(1, 30), (3, 0)], "EntityID bigint, PurgeLookbackDaysNBR int")
+
+    def plan_fn(batch):  # the post-entity hook: plan only for configured entities that just loaded
+        return batch.join(config, "EntityID")
+
+    sink = str(tmp_path / "plans")
+    stream = spark.readStream.schema("JobID bigint, EntityID bigint").parquet(str(tmp_path / "loads"))
+    q = (stream.writeStream.foreachBatch(retention_on_load(plan_fn, sink))
+         .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = [(r.JobID, r.EntityID, r.PurgeLookbackDaysNBR) for r in spark.read.parquet(sink).collect()]
+    assert got == [(100, 1, 30)]
