@@ -67,15 +67,20 @@ def adjacency(edges: DataFrame) -> DataFrame:
 
 
 def view_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """A-11: seeds, visible nodes and visible edges per filtered view."""
+    """A-11: seeds, visible nodes and visible edges per filtered view -- one
+    conditional aggregate per view over tagged rows (no joins)."""
     out = None
     for name, seeds in (("NotRun", not_run_seeds(nodes)), ("BrokenRefs", broken_seeds(nodes))):
         vn, ve = filtered_view(nodes, edges, seeds)
-        row = (seeds.agg(F.countDistinct(F.lower("NodeKey")).alias("SeedCNT")).withColumn("_k", F.lit(1))
-               .join(vn.agg(F.count(F.lit(1)).alias("NodeRowCNT"),
-                            F.countDistinct(F.lower("NodeKey")).alias("NodeCNT")).withColumn("_k", F.lit(1)), "_k")
-               .join(ve.agg(F.count(F.lit(1)).alias("EdgeCNT")).withColumn("_k", F.lit(1)), "_k")
-               .select(F.lit(name).alias("ViewNM"), "SeedCNT", "NodeCNT", "NodeRowCNT", "EdgeCNT"))
+        tagged = (seeds.select(F.lit("seed").alias("kind"), F.lower("NodeKey").alias("k"))
+                  .unionByName(vn.select(F.lit("node").alias("kind"), F.lower("NodeKey").alias("k")))
+                  .unionByName(ve.select(F.lit("edge").alias("kind"), F.lit(None).cast("string").alias("k"))))
+        row = tagged.agg(
+            F.countDistinct(F.when(F.col("kind") == "seed", F.col("k"))).alias("SeedCNT"),
+            F.countDistinct(F.when(F.col("kind") == "node", F.col("k"))).alias("NodeCNT"),
+            F.count(F.when(F.col("kind") == "node", 1)).alias("NodeRowCNT"),
+            F.count(F.when(F.col("kind") == "edge", 1)).alias("EdgeCNT")).select(
+            F.lit(name).alias("ViewNM"), "SeedCNT", "NodeCNT", "NodeRowCNT", "EdgeCNT")
         out = row if out is None else out.unionByName(row)
     return out
 

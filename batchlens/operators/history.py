@@ -38,15 +38,15 @@ def monthly_effective_history(events: DataFrame, calendar: DataFrame, as_of: str
            .filter((F.year("MonthStartDTS") > F.year(now) - years)
                    & (F.last_day("MonthStartDTS") <= F.last_day(now)))
            .withColumn("MonthEndDTS", F.last_day("MonthStartDTS")))
-    bounds = cal.agg(F.min("MonthStartDTS").alias("lo"), F.max("MonthStartDTS").alias("hi"))
+    # the calendar filter's own bounds (first month of the window, current
+    # month) clamp each event's month range: no lookup of the calendar needed
+    lo = F.make_date(F.year(now) - (years - 1), F.lit(1), F.lit(1))
+    hi = F.trunc(now, "MM")
     f, t = F.col("EventFromEffectiveDTS"), F.col("EventToEffectiveDTS")
-    m0 = F.greatest(F.trunc(F.to_date(f), "MM"), F.col("lo"))
-    m1 = F.least(F.trunc(F.to_date(t), "MM"), F.col("hi"))
-    # bounds is a global aggregate: exactly one row, so broadcasting it is bounded
-    ex = events.withColumn("_k", F.lit(1)).join(F.broadcast(bounds.withColumn("_k", F.lit(1))), "_k")
-    ex = (ex.filter(f.isNotNull() & t.isNotNull() & (m0 <= m1))
-            .withColumn("MonthStartDTS", F.explode(F.sequence(m0, m1, F.expr("INTERVAL 1 MONTH"))))
-            .drop("_k", "lo", "hi"))
+    m0 = F.greatest(F.trunc(F.to_date(f), "MM"), lo)
+    m1 = F.least(F.trunc(F.to_date(t), "MM"), hi)
+    ex = (events.filter(f.isNotNull() & t.isNotNull() & (m0 <= m1))
+                .withColumn("MonthStartDTS", F.explode(F.sequence(m0, m1, F.expr("INTERVAL 1 MONTH")))))
     j = ex.join(cal, "MonthStartDTS")
     # exact overlap test on the original values (month keys are a superset)
     j = j.filter((f <= F.col("MonthEndDTS")) & (t >= F.col("MonthStartDTS")))
