@@ -193,10 +193,9 @@ def app_id(marts: DataFrame, app_mart: str = "ETLSequencedBatches") -> DataFrame
 def sequenced_edges(cat, services: DataFrame) -> DataFrame:
     """JOB-2: declared edges with link URL and style (PF-19)."""
     esb = cat["ETLSequencedBatches"]
-    params = (service_base_url(services).withColumn("_k", F.lit(1))
-              .join(app_id(cat["DataMartBASE"]).withColumn("_k", F.lit(1)), "_k"))
-    # both parameter relations are single-row aggregates: broadcast is bounded
-    x = esb.withColumn("_k", F.lit(1)).join(F.broadcast(params), "_k", "left")
+    # both parameters are single-row aggregates, evaluated once as scalar subqueries
+    x = esb.withColumns({"BaseUrl": service_base_url(services).scalar(),
+                         "AppID": app_id(cat["DataMartBASE"]).scalar()})
     from_key = tsql_concat(F.col("FromDataMartNM"), ".", amp_to_and(F.col("FromBatchDefinitionNM")))
     to_key = tsql_concat(F.col("ToDataMartNM"), ".", amp_to_and(F.col("ToBatchDefinitionNM")))
     link = tsql_concat(F.col("BaseUrl"), "applications/", F.col("AppID"), "/entry/", F.col("ID"))
