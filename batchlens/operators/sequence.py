@@ -178,7 +178,7 @@ def service_base_url(services: DataFrame, service_name: str = "IDEA-Web") -> Dat
     """SRC-6: one-row lookup of the service URL, '/' appended when missing.
 
     A global aggregate always yields exactly one row (NULL when the service is
-    absent), which is the size bound that makes broadcasting it safe."""
+    absent), so it can be used as a scalar subquery."""
     url = F.col("ServiceUrl")
     fixed = F.when(F.substring(url, -1, 1) == "/", url).otherwise(tsql_concat(url, "/"))
     return services.filter(F.col("ServiceNM") == service_name).agg(F.max(fixed).alias("BaseUrl"))
