@@ -67,3 +67,11 @@ def test_list_files_and_snapshot_sink(spark, tmp_path):
     write_graph_snapshot(lines, str(tmp_path / "out"), "DEV", "20010101_1000")
     back = spark.read.text(str(tmp_path / "out" / "archive")).collect()
     assert {r.value for r in back} == {"digraph {", "}"}
+
+
+def test_edge_diff(spark):
+    from batchlens.operators.graph import edge_diff
+    old = spark.createDataFrame([("a", "b", "solid"), ("b", "c", "solid")], EDGES)
+    new = spark.createDataFrame([("a", "b", "dashed"), ("c", "d", "solid")], EDGES)
+    got = {(r.FromNodeKey, r.ToNodeKey): r.ChangeCD for r in edge_diff(old, new).collect()}
+    assert got == {("a", "b"): "CHANGED", ("b", "c"): "REMOVED", ("c", "d"): "ADDED"}
