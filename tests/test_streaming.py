@@ -1,7 +1,6 @@
 """Streaming jobs equal their batch twins over a file stream."""
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from batchlens.streaming.jobs import (dedup_loads, history_stream, hourly_active, refresh_latest,
                                       run_available_now, status_counts)
