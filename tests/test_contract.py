@@ -10,8 +10,9 @@ from conftest import SF_SMALL
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="driver test data not present")
 
 FAST = ["etl_progress", "sequenced_nodes", "sequenced_edges", "resolve_batch_from", "derived_edges",
-        "unused_batches", "missing_batch_audit", "not_run_view_nodes", "purge_log", "validate_snapshot",
-        "lineage_refs", "refresh_outcome", "monthly_effective_history", "snapshot_index", "stream_status_counts"]
+        "unused_batches", "missing_batch_audit", "not_run_view_nodes", "purge_plan", "purge_kept", "purge_log",
+        "validate_snapshot", "dot_lines", "lineage_refs", "refresh_outcome", "monthly_effective_history",
+        "snapshot_index", "stream_status_counts"]
 
 
 def test_every_query_has_an_oracle():
@@ -38,6 +39,10 @@ def test_oracle_parity(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     rel = con.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    types = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE",
+             "timestamp_ntz": "TIMESTAMP"}
+    spark_types = {f.name: types.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     order = [rel.columns.index(c) for c in df.columns]
     orows = [tuple(r[i] for i in order) for r in rel.fetchall()]
     assert _norm(df.collect()) == _norm(orows)
