@@ -160,8 +160,13 @@ def q_missing(spark, sf_dir):
 
 def _seq(spark, sf_dir, as_of=None):
     from batchlens.operators.sequence import sequenced_edges, sequenced_nodes
-    return _shared(spark, sf_dir, f"seq:{as_of}", lambda c: (
-        sequenced_nodes(c, as_of).checkpoint(), sequenced_edges(c, services_df(spark)).checkpoint()))
+    from concurrent.futures import ThreadPoolExecutor
+
+    def build(c):
+        parts = (sequenced_nodes(c, as_of), sequenced_edges(c, services_df(spark)))
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            return tuple(pool.map(lambda df: df.checkpoint(), parts))
+    return _shared(spark, sf_dir, f"seq:{as_of}", build)
 
 
 def _view(spark, sf_dir, which):
