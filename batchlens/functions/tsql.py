@@ -65,3 +65,13 @@ def ne_true(a: Column, b) -> Column:
 
 def eq_true(a: Column, b) -> Column:
     return F.coalesce(a == col_or_lit(b), F.lit(False))
+
+
+def fill_template(template: Column, values: dict) -> Column:
+    """F-20: substitute each placeholder of a text template (e.g. a page
+    skeleton) by a column or literal, in the given order -- a chain of
+    built-in ``replace`` calls, evaluated per row."""
+    out = template
+    for placeholder, value in values.items():
+        out = F.replace(out, F.lit(placeholder), col_or_lit(value).cast("string"))
+    return out

@@ -73,6 +73,12 @@ def environment_inventory(variables: DataFrame, environments: DataFrame) -> Data
             .select("variable_id", "environment_id", "environment_name", "name", F.col("value").alias("PlainValue")))
 
 
+def write_documents_json(docs: DataFrame, path: str) -> None:
+    """SNK-3: one JSON document per line (the nested shape is kept: arrays of
+    structs stay arrays of objects)."""
+    docs.write.mode("overwrite").json(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """SNK-2: CSV with header, UTF-8."""
     df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)

@@ -92,3 +92,16 @@ def test_load_references_versions(spark, tmp_path):
     load_references(spark, v2, d)
     assert sorted((r.DestinationBindingID, r.ParsedColumnNM) for r in latest_references(spark, d).collect()) == [
         (1, "a"), (2, "c")]
+
+
+def test_fill_template_and_document_json(spark, tmp_path):
+    from batchlens.functions.tsql import fill_template
+    from batchlens.operators.documents import write_documents_json
+    df = spark.createDataFrame([("<h1>NAME_PLACEHOLDER</h1>[SNAPSHOTS_PLACEHOLDER]", "Dev graph")], "tpl string, nm string")
+    out = df.select(fill_template(F.col("tpl"), {"NAME_PLACEHOLDER": F.col("nm"), "SNAPSHOTS_PLACEHOLDER": "[]"}).alias("t"))
+    assert out.first().t == "<h1>Dev graph</h1>[[]]"
+    (tmp_path / "b.json").write_text(json.dumps(DOC))
+    docs = read_bindings(spark, str(tmp_path / "b.json"))
+    write_documents_json(docs.select("Id", "Name", "AttributeValues"), str(tmp_path / "out"))
+    back = spark.read.json(str(tmp_path / "out")).first()
+    assert back.Id == 42 and len(back.AttributeValues) == 3
