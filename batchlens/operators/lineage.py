@@ -9,11 +9,11 @@ per row."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from batchlens.sources.sinks import read_latest, table_versions, write_new_version
+
 # The two reference patterns (Python ``re`` with IGNORECASE;
 # ``(?iU)`` gives Java the same Unicode-aware \w and case folding).
 TABLE_PATTERN = r'(?:FROM|JOIN)\s+(?:\[?([\w]+)\]?\.)?(?:\[?([\w]+)\]?\.)?\[?([\w]+)\]?'
@@ -96,31 +96,13 @@ def load_references(spark, new: DataFrame, table_dir: str) -> str:
     ``table_dir`` (SNK-6 creates it when missing). The result is written to a
     new version folder -- never over the files it was computed from -- and
     the new version's path is returned; readers take the latest version."""
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_dir)
-    fs = jpath.getFileSystem(hconf)
-    versions = []
-    if fs.exists(jpath):
-        versions = sorted(st.getPath().getName() for st in fs.listStatus(jpath)
-                          if st.isDirectory() and st.getPath().getName().startswith("version="))
     new = new.select(*REF_COLUMNS)
-    if versions:
-        existing = spark.read.parquet(f"{table_dir}/{versions[-1]}")
-        out = keyed_replace(existing, new)
-    else:
-        out = new
-    nxt = f"version={len(versions) + 1:08d}-{uuid.uuid4().hex[:8]}"
-    out.write.mode("errorifexists").parquet(f"{table_dir}/{nxt}")
-    return f"{table_dir}/{nxt}"
+    out = keyed_replace(read_latest(spark, table_dir), new) if table_versions(spark, table_dir) else new
+    return write_new_version(out, table_dir)
 
 
 def latest_references(spark, table_dir: str) -> DataFrame:
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_dir)
-    fs = jpath.getFileSystem(hconf)
-    versions = sorted(st.getPath().getName() for st in fs.listStatus(jpath)
-                      if st.isDirectory() and st.getPath().getName().startswith("version="))
-    return spark.read.parquet(f"{table_dir}/{versions[-1]}")
+    return read_latest(spark, table_dir)
 
 
 def verify_sample(refs: DataFrame, n: int = 10) -> DataFrame:

@@ -2,10 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _fs(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def table_versions(spark: SparkSession, table_dir: str) -> list[str]:
+    """Version folders (``version=...``) of a versioned table, oldest first."""
+    jpath, fs = _fs(spark, table_dir)
+    if not fs.exists(jpath):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(jpath)
+                  if st.isDirectory() and st.getPath().getName().startswith("version="))
+
+
+def read_latest(spark: SparkSession, table_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{table_dir}/{table_versions(spark, table_dir)[-1]}")
+
+
+def write_new_version(df: DataFrame, table_dir: str) -> str:
+    """Write ``df`` as the next version folder of ``table_dir`` (never over the
+    files it may have been computed from) and return its path."""
+    n = len(table_versions(df.sparkSession, table_dir))
+    path = f"{table_dir}/version={n + 1:08d}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("errorifexists").parquet(path)
+    return path
+
+
 def write_graph_snapshot(lines: DataFrame, root: str, env: str, snapshot_ts: str) -> None:
     """SNK-1: the ordered DOT lines as the 'latest' copy of ``env`` and as a
     timestamped copy, partitioned by env and snapshot stamp (yyyyMMdd_HHmm)."""
