@@ -38,8 +38,8 @@ def etl_progress(batch_history: DataFrame, table_history: DataFrame, batch_ids=N
     bh = bh.groupBy("BatchID").agg(F.count(F.lit(1)).alias("m"))
     g = (pre.join(bh, "BatchID").groupBy("StatusCD")
             .agg(F.sum(F.col("n") * F.col("m")).cast("bigint").alias("Count")))
-    w = Window.partitionBy()  # over the per-status aggregate only (a handful of rows)
-    total = F.sum("Count").over(w)
+    # grand total as a scalar subquery over the per-status aggregate
+    total = g.agg(F.sum("Count")).scalar()
     return g.select("StatusCD", status_class(F.col("StatusCD")).alias("StatusClassNM"), "Count",
                     total.cast("bigint").alias("TotalCount"),
                     F.round(F.col("Count") * 100.0 / total, 1).alias("SharePct"))
