@@ -59,20 +59,27 @@ def extract_references(df: DataFrame, id_col: str = "DestinationBindingID",
 
     Each text is handled inside its own row (regex arrays + higher-order
     functions), so the job is a narrow map over the input: no shuffle, no
-    row ids, and the whole text is always scanned.
+    row ids, and the whole text is always scanned. Table references become a
+    per-text map (built once), so resolving column qualifiers costs one map
+    lookup each.
     """
     txt = F.col(sql_col)
+    tables = _all_matches(txt, TABLE_PATTERN, 3, "t")
     src = (df.filter(txt.isNotNull() & (txt != ""))
-             .select(F.col(id_col).alias("_bid"),
-                     _all_matches(txt, TABLE_PATTERN, 3, "t").alias("_tables"),
+             .select(F.col(id_col).alias("_bid"), tables.alias("_tables"),
                      _all_matches(txt, COLUMN_PATTERN, 4, "c").alias("_cols")))
-    x = src.select("_bid", "_tables", F.explode("_cols").alias("m"))
+    # per text, once: lower(table) -> its last occurrence. Distinct keys, each
+    # mapped to the element at its last position, so the map has no duplicate
+    # keys and every column lookup below is a single map access.
+    keys = F.transform("_tables", lambda t: F.lower(t["t3"]))
+    last = lambda k: F.element_at(
+        F.col("_tables"), (F.size(keys) - F.array_position(F.reverse(keys), k) + F.lit(1)).cast("int"))
+    lookup = F.map_from_entries(F.transform(
+        F.filter(F.array_distinct(keys), lambda k: k != ""), lambda k: F.struct(k.alias("k"), last(k).alias("v"))))
+    x = src.select("_bid", lookup.alias("_lookup"), F.explode("_cols").alias("m"))
     ne = lambda c: F.nullif(c, F.lit(""))
     q1, q2 = ne(F.col("m.c1")), ne(F.col("m.c2"))
-    # last table whose lower-cased name equals the first qualifier
-    hit = F.try_element_at(
-        F.filter("_tables", lambda t: F.lower(F.nullif(t["t3"], F.lit(""))) == F.lower(q1)), F.lit(-1))
-    x = x.withColumn("_hit", hit)
+    x = x.withColumn("_hit", F.when(q1.isNotNull(), F.try_element_at(F.col("_lookup"), F.lower(q1))))
     found = F.col("_hit").isNotNull()
     two = q2.isNotNull()
     return x.select(
