@@ -38,8 +38,11 @@ def etl_progress(batch_history: DataFrame, table_history: DataFrame, batch_ids=N
     bh = bh.groupBy("BatchID").agg(F.count(F.lit(1)).alias("m"))
     g = (pre.join(bh, "BatchID").groupBy("StatusCD")
             .agg(F.sum(F.col("n") * F.col("m")).cast("bigint").alias("Count")))
-    # grand total as a scalar subquery over the per-status aggregate
-    total = g.agg(F.sum("Count")).scalar()
+    # W-4 over the per-status aggregate (one row per status code), not over
+    # the history: the unpartitioned window sees a handful of rows, and the
+    # total needs no second pass over the input (a scalar subquery would
+    # re-plan the whole aggregate)
+    total = F.sum("Count").over(Window.partitionBy())
     return g.select("StatusCD", status_class(F.col("StatusCD")).alias("StatusClassNM"), "Count",
                     total.cast("bigint").alias("TotalCount"),
                     F.round(F.col("Count") * 100.0 / total, 1).alias("SharePct"))
