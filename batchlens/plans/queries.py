@@ -18,7 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # Service registry row used by the sequence edges (the catalog's discovery
 # service table is not part of the driver tables).
-SERVICE_URL = "https://idea.example.org"
+SERVICE_URL = "https://catalog-service.example.org"
 
 
 def query(name: str):
