@@ -59,11 +59,17 @@ def refresh_latest(stream: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("CheckCNT"), F.max("ts").alias("LatestDTS")))
 
 
-def dedup_loads(stream: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """ST-3: duplicate-load guard -- the first load per (object, day) passes,
-    repeats within the watermark are dropped."""
-    return (stream.withWatermark("ts", watermark)
-            .withColumn("LoadDT", F.to_date("ts"))
+def dedup_loads(stream: DataFrame, watermark: str | None = None, period: str = "day") -> DataFrame:
+    """ST-3: duplicate-load guard -- the first load per (object, period)
+    passes, repeats within the watermark are dropped. ``period`` is 'day'
+    (Daily snapshots) or 'month' (Monthly); the default watermark covers one
+    period so the state of a period lives exactly as long as it can repeat."""
+    if period not in ("day", "month"):
+        raise ValueError("period must be 'day' or 'month'")
+    wm = watermark or ("1 day" if period == "day" else "31 days")
+    key = F.to_date("ts") if period == "day" else F.trunc(F.to_date("ts"), "MM")
+    return (stream.withWatermark("ts", wm)
+            .withColumn("LoadDT", key)
             .dropDuplicatesWithinWatermark(["ObjectID", "LoadDT"])
             .select("ObjectID", "LoadDT"))
 

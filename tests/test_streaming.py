@@ -49,3 +49,11 @@ def test_retention_on_load_foreach_batch(spark, tmp_path):
     q.awaitTermination()
     got = [(r.JobID, r.EntityID, r.PurgeLookbackDaysNBR) for r in spark.read.parquet(sink).collect()]
     assert got == [(100, 1, 30)]
+
+
+def test_dedup_loads_monthly(spark, tmp_path):
+    folder = str(tmp_path / "events")
+    _events(spark, folder)
+    loads = run_available_now(dedup_loads(history_stream(spark, folder + "/batch1"), period="month"), "append",
+                              name="t5")
+    assert sorted((r.ObjectID, str(r.LoadDT)) for r in loads.collect()) == [(1, "2024-01-01"), (2, "2024-01-01")]
