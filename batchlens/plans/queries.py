@@ -438,3 +438,9 @@ def q_stream_dedup(spark, sf_dir):
 def q_stream_hourly(spark, sf_dir):
     from batchlens.streaming.jobs import hourly_active, run_available_now
     return run_available_now(hourly_active(_stream(spark, sf_dir)), "update", ["HourStartDTS"], "hourly_active")
+
+
+@query("stream_refresh_outcome")
+def q_stream_refresh_outcome(spark, sf_dir):
+    from batchlens.streaming.jobs import run_refresh_monitor
+    return run_refresh_monitor(_stream(spark, sf_dir), cat_of(spark, sf_dir)["RefreshOperation"])

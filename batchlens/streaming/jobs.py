@@ -119,3 +119,84 @@ def run_available_now(stream_df: DataFrame, mode: str, keys: list[str] | None =
         w = Window.partitionBy(*keys).orderBy(F.desc("_batch_id"))
         out = out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
     return out.drop("_batch_id")
+
+
+def refresh_monitor_handler(state_dir: str):
+    """ST-2: ``foreachBatch`` handler keeping per-object refresh state as
+    batch-numbered parquet versions below ``state_dir`` (shared folder).
+
+    Each micro-batch (ObjectID, event_id, ts, StatusCD) is reduced with
+    partial aggregates -- check count, first terminal check, checks before
+    it, latest check -- so a hot object reaches the merge as one row; the
+    merge is a full outer join with the previous state. A version is named
+    after its batch id and skipped when it exists, so a retried batch is not
+    counted twice. Assumes each object's checks arrive in time order across
+    batches (an append-only history)."""
+    from batchlens.operators.refresh import DONE_STATUSES, FAILED_STATUS
+    from batchlens.sources.sinks import _fs, table_versions
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        target = f"{state_dir}/version={batch_id:010d}"
+        jpath, fs = _fs(spark, target + "/_SUCCESS")
+        if fs.exists(jpath):
+            return
+        terminal = F.col("StatusCD").isin(*DONE_STATUSES, FAILED_STATUS)
+        chk = F.struct("ts", "event_id", "StatusCD")
+        agg = batch.groupBy("ObjectID").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.when(terminal, chk)).alias("ft"), F.max(chk).alias("last"))
+        before = (batch.join(agg.select("ObjectID", "ft"), "ObjectID")
+                  .groupBy("ObjectID").agg(F.count(F.when(
+                      F.struct("ts", "event_id") < F.struct(F.col("ft.ts"), F.col("ft.event_id")), 1)).alias("b")))
+        cur = agg.join(before, "ObjectID")
+        versions = [v for v in table_versions(spark, state_dir) if v < f"version={batch_id:010d}"]
+        if versions:
+            prev = spark.read.parquet(f"{state_dir}/{versions[-1]}")
+        else:
+            prev = spark.createDataFrame([], "ObjectID bigint, CheckCNT bigint, FirstTerminalAttemptNBR bigint, "
+                                             "FirstTerminalStatusCD string, Latest struct<ts:timestamp,event_id:bigint,StatusCD:string>")
+        p, c = prev.alias("p"), cur.alias("c")
+        prev_n = F.coalesce(F.col("p.CheckCNT"), F.lit(0))
+        merged = p.join(c, F.col("p.ObjectID") == F.col("c.ObjectID"), "full_outer").select(
+            F.coalesce(F.col("p.ObjectID"), F.col("c.ObjectID")).alias("ObjectID"),
+            (prev_n + F.coalesce(F.col("c.n"), F.lit(0))).cast("bigint").alias("CheckCNT"),
+            F.coalesce(F.col("p.FirstTerminalAttemptNBR"),
+                       F.when(F.col("c.ft").isNotNull(), prev_n + F.col("c.b") + 1)).cast("bigint")
+            .alias("FirstTerminalAttemptNBR"),
+            F.when(F.col("p.FirstTerminalAttemptNBR").isNotNull(), F.col("p.FirstTerminalStatusCD"))
+            .otherwise(F.col("c.ft.StatusCD")).alias("FirstTerminalStatusCD"),
+            F.greatest(F.col("p.Latest"), F.col("c.last")).alias("Latest"))
+        merged.write.mode("overwrite").parquet(target)
+
+    return handle
+
+
+def refresh_monitor_outcome(state: DataFrame, operations: DataFrame) -> DataFrame:
+    """Outcome per configured object from the monitor state (same rules as
+    the batch ``refresh_outcome``)."""
+    from batchlens.operators.refresh import DONE_STATUSES, check_flag
+    x = operations.join(state, "ObjectID", "left").withColumn("CheckCNT", F.coalesce("CheckCNT", F.lit(0)))
+    retry = F.col("RetryAttemptNBR")
+    fta = F.col("FirstTerminalAttemptNBR")
+    outcome = (F.when(retry == 0, "NOT_CHECKED")
+                .when(fta <= retry, F.when(F.col("FirstTerminalStatusCD").isin(*DONE_STATUSES), "COMPLETED")
+                      .otherwise("FAILED"))
+                .when(F.col("CheckCNT") >= retry, "DID_NOT_COMPLETE")
+                .otherwise("PENDING"))
+    return x.select(
+        "ObjectID", "ObjectNM", "ObjectTypeCD", "RetryAttemptNBR", check_flag(retry).alias("CheckRefreshStatusFLG"),
+        F.col("CheckCNT").cast("bigint").alias("CheckCNT"), F.col("Latest.StatusCD").alias("LatestStatusCD"),
+        F.least(F.col("CheckCNT"), retry).cast("bigint").alias("ChecksUsedCNT"),
+        fta.cast("bigint").alias("TerminalAttemptNBR"), outcome.alias("OutcomeCD"))
+
+
+def run_refresh_monitor(stream: DataFrame, operations: DataFrame, name: str = "refresh_monitor") -> DataFrame:
+    """Run ST-2 over everything available now; return the outcome per object."""
+    from batchlens.sources.sinks import read_latest
+    spark = stream.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream-{name}-{uuid.uuid4().hex[:10]}"
+    q = (stream.select("ObjectID", "event_id", "ts", "StatusCD").writeStream
+         .option("checkpointLocation", base + "/checkpoint")
+         .foreachBatch(refresh_monitor_handler(base + "/state")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return refresh_monitor_outcome(read_latest(spark, base + "/state"), operations)

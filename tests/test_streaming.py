@@ -1,6 +1,8 @@
 """Streaming jobs equal their batch twins over a file stream."""
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 
 from batchlens.streaming.jobs import (dedup_loads, history_stream, hourly_active, refresh_latest,
                                       run_available_now, status_counts)
@@ -57,3 +59,44 @@ def test_dedup_loads_monthly(spark, tmp_path):
     loads = run_available_now(dedup_loads(history_stream(spark, folder + "/batch1"), period="month"), "append",
                               name="t5")
     assert sorted((r.ObjectID, str(r.LoadDT)) for r in loads.collect()) == [(1, "2024-01-01"), (2, "2024-01-01")]
+
+
+def test_refresh_monitor_across_batches_equals_batch_outcome(spark, tmp_path):
+    from batchlens.operators.refresh import refresh_outcome
+    from batchlens.streaming.jobs import refresh_monitor_handler, refresh_monitor_outcome, run_refresh_monitor, status_of
+    from batchlens.sources.sinks import read_latest
+    rnd_types = ["view", "click", "purchase", "signup", "error"]
+    folder = tmp_path / "hist"
+    rows_all = []
+    eid = 0
+    for part in range(3):                      # three files -> three micro-batches, time ordered
+        rows = []
+        for obj in range(1, 6):
+            for k in range(4):
+                et = rnd_types[(obj * 7 + part * 3 + k) % 5] if not (obj == 2 and part < 2) else "view"
+                rows.append((eid, dt.datetime(2024, 1, 1 + part, obj, k), obj, et, 1.0, "{}"))
+                eid += 1
+        rows_all += rows
+        spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+                                    "value double, props string").coalesce(1).write.parquet(str(folder / f"p{part}"))
+    ops = spark.createDataFrame([(o, f"o{o}", "Dataflow", r) for o, r in [(1, 2), (2, 9), (3, 12), (4, 0), (5, 1), (6, 3)]],
+                                "ObjectID bigint, ObjectNM string, ObjectTypeCD string, RetryAttemptNBR int")
+    s = (spark.readStream.schema("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+                                 "props STRING").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+         .parquet(str(folder))
+         .select("event_id", F.col("user_id").alias("ObjectID"), F.col("ts").cast("timestamp").alias("ts"),
+                 status_of(F.col("event_type")).alias("StatusCD")))
+    got = {r.ObjectID: tuple(r) for r in run_refresh_monitor(s, ops, "t6").collect()}
+    hist = spark.createDataFrame(rows_all, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+                                           "value double, props string").select(
+        "event_id", F.col("user_id").alias("ObjectID"), "ts", status_of(F.col("event_type")).alias("StatusCD"))
+    want = {r.ObjectID: tuple(r) for r in refresh_outcome(hist, ops).collect()}
+    assert got == want
+    # a retried batch id is not applied twice
+    state_dir = str(tmp_path / "state")
+    h = refresh_monitor_handler(state_dir)
+    one = hist.filter("ObjectID = 1").withColumn("ts", F.col("ts").cast("timestamp"))
+    h(one, 0)
+    h(one, 0)
+    assert read_latest(spark, state_dir).filter("ObjectID = 1").first().CheckCNT == 12
+    assert refresh_monitor_outcome(read_latest(spark, state_dir), ops).filter("ObjectID = 1").first().CheckCNT == 12
