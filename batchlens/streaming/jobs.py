@@ -171,18 +171,26 @@ def refresh_monitor_handler(state_dir: str):
     return handle
 
 
-def refresh_monitor_outcome(state: DataFrame, operations: DataFrame) -> DataFrame:
+def refresh_monitor_outcome(state: DataFrame, operations: DataFrame, timeout: str | None = None) -> DataFrame:
     """Outcome per configured object from the monitor state (same rules as
-    the batch ``refresh_outcome``)."""
-    from batchlens.operators.refresh import DONE_STATUSES, check_flag
+    the batch ``refresh_outcome``). With ``timeout`` (an interval such as
+    '2 hours'), an object still waiting whose last check is older than the
+    newest check seen minus the timeout is TIMED_OUT instead of PENDING."""
+    from batchlens.operators.refresh import DONE_STATUSES, WAIT_STATUSES, check_flag
     x = operations.join(state, "ObjectID", "left").withColumn("CheckCNT", F.coalesce("CheckCNT", F.lit(0)))
     retry = F.col("RetryAttemptNBR")
     fta = F.col("FirstTerminalAttemptNBR")
     outcome = (F.when(retry == 0, "NOT_CHECKED")
                 .when(fta <= retry, F.when(F.col("FirstTerminalStatusCD").isin(*DONE_STATUSES), "COMPLETED")
                       .otherwise("FAILED"))
-                .when(F.col("CheckCNT") >= retry, "DID_NOT_COMPLETE")
-                .otherwise("PENDING"))
+                .when(F.col("CheckCNT") >= retry, "DID_NOT_COMPLETE"))
+    if timeout is not None:
+        # the newest check of any object: a one-row aggregate of the state
+        newest = state.agg(F.max("Latest.ts")).scalar()
+        stale = (F.col("Latest.StatusCD").isin(*WAIT_STATUSES)
+                 & (F.col("Latest.ts") < newest - F.expr(f"INTERVAL {timeout}")))
+        outcome = outcome.when(stale, "TIMED_OUT")
+    outcome = outcome.otherwise("PENDING")
     return x.select(
         "ObjectID", "ObjectNM", "ObjectTypeCD", "RetryAttemptNBR", check_flag(retry).alias("CheckRefreshStatusFLG"),
         F.col("CheckCNT").cast("bigint").alias("CheckCNT"), F.col("Latest.StatusCD").alias("LatestStatusCD"),

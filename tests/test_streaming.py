@@ -100,3 +100,19 @@ def test_refresh_monitor_across_batches_equals_batch_outcome(spark, tmp_path):
     h(one, 0)
     assert read_latest(spark, state_dir).filter("ObjectID = 1").first().CheckCNT == 12
     assert refresh_monitor_outcome(read_latest(spark, state_dir), ops).filter("ObjectID = 1").first().CheckCNT == 12
+
+
+def test_refresh_monitor_timeout(spark):
+    from batchlens.streaming.jobs import refresh_monitor_outcome
+    t = dt.datetime
+    state = spark.createDataFrame([
+        (1, 3, None, None, (t(2024, 1, 1, 1), 1, "InProgress")),
+        (2, 3, None, None, (t(2024, 1, 1, 9), 2, "Unknown")),
+        (3, 3, 2, "Completed", (t(2024, 1, 1, 2), 3, "Completed"))],
+        "ObjectID bigint, CheckCNT bigint, FirstTerminalAttemptNBR bigint, FirstTerminalStatusCD string, "
+        "Latest struct<ts:timestamp,event_id:bigint,StatusCD:string>")
+    ops = spark.createDataFrame([(1, "a", "x", 10), (2, "b", "x", 10), (3, "c", "x", 10)],
+                                "ObjectID bigint, ObjectNM string, ObjectTypeCD string, RetryAttemptNBR int")
+    got = {r.ObjectID: r.OutcomeCD for r in refresh_monitor_outcome(state, ops, "2 hours").collect()}
+    assert got == {1: "TIMED_OUT", 2: "PENDING", 3: "COMPLETED"}
+    assert {r.ObjectID: r.OutcomeCD for r in refresh_monitor_outcome(state, ops).collect()}[1] == "PENDING"
