@@ -75,3 +75,11 @@ def test_edge_diff(spark):
     new = spark.createDataFrame([("a", "b", "dashed"), ("c", "d", "solid")], EDGES)
     got = {(r.FromNodeKey, r.ToNodeKey): r.ChangeCD for r in edge_diff(old, new).collect()}
     assert got == {("a", "b"): "CHANGED", ("b", "c"): "REMOVED", ("c", "d"): "ADDED"}
+
+
+def test_downstream_chain(spark):
+    nodes, edges = _graph(spark)
+    down = {(r.SeedKey, r.NodeKey): r.DepthNBR for r in upstream_chain(edges, direction="down").collect()}
+    assert down[("m.a", "m.c")] == 2 and down[("m.a", "gone.d")] == 2 and ("m.c", "m.a") not in down
+    seeded = upstream_chain(edges, seeds=spark.createDataFrame([("M.C",)], "NodeKey string"))
+    assert {(r.NodeKey, r.DepthNBR) for r in seeded.collect()} == {("m.b", 1), ("m.a", 2)}

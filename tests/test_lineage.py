@@ -43,3 +43,11 @@ def test_keyed_replace_is_idempotent(spark):
     twice = keyed_replace(once, new)
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
     assert once.count() == 2
+
+
+def test_verify_sample_orders_and_limits(spark):
+    from batchlens.operators.lineage import verify_sample
+    schema = ", ".join(f"{c} {'bigint' if i == 0 else 'string'}" for i, c in enumerate(REF_COLUMNS))
+    refs = spark.createDataFrame([(i % 7, None, None, None, f"c{i}", None) for i in range(30)], schema)
+    got = [(r.DestinationBindingID, r.ParsedColumnNM) for r in verify_sample(refs).collect()]
+    assert len(got) == 10 and got == sorted(got)
