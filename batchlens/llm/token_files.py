@@ -37,7 +37,7 @@ from batchlens.llm.shards import RenamedFile, file_system, ranges, shard_of
 END = 1
 SHARD_BYTES = 8 << 20  #: text bytes of a shard
 FILE_TOKENS = 4 << 20
-CACHE = 1_000_000
+CACHE = 600_000  #: chunks of a generation; the one before is kept as well
 ROUNDS, PAIRS, LEAST_USES = 4, 1024, 12
 MAGIC = b"RPAIR001"
 HEADER = "<8s5q"  # magic, documents, terminals, rules, symbols, bytes of a symbol
@@ -51,7 +51,7 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.tokenizer, self.known, self.old = Tokenizer.from_file(path), {"": b""}, {}
         self.terminals = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     @staticmethod
@@ -65,32 +65,47 @@ class Encoder:
         return kept.encoders[path]
 
     def _learn(self, chunks: set[str]) -> None:
-        """Encode chunks not met before; letters and the marks after them are separate tokens."""
-        known, parts = self.known, {}
+        """Make chunks known: those of the older generation are kept, the others encoded. Letters and the marks
+        after them are separate tokens."""
+        known, old = self.known, self.old
+        parts, new = [], {}
         for c in chunks:
+            ids = old.get(c)
+            if ids is not None:
+                known[c] = ids
+                continue
             core = c.rstrip(SUFFIXES)
-            parts[c] = (core, c[len(core):]) if core.isascii() and core.isalpha() else (c, "")
-        new = sorted({p for pair in parts.values() for p in pair if p not in known})
+            if len(core) == len(c) or not (core.isascii() and core.isalpha()):
+                new[c] = None
+                continue
+            parts.append((c, core, c[len(core):]))
+            for p in (core, c[len(core):]):
+                if p not in known:
+                    new[p] = None
         if new:
-            done = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(done.ids, "<u4")
-            cuts = np.searchsorted(np.array(done.word_ids), np.arange(len(new) + 1))
-            for i, p in enumerate(new):
-                known[p] = ids[cuts[i]:cuts[i + 1]].tobytes()
-        for c, (core, tail) in parts.items():
-            if tail:
-                known[c] = known[core] + known[tail]
+            done = self.tokenizer.encode(list(new), is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(done.ids, "<u4").tobytes()
+            cuts = (4 * np.searchsorted(np.array(done.word_ids), np.arange(len(new) + 1))).tolist()
+            known.update((p, ids[x:y]) for p, x, y in zip(new, cuts, cuts[1:], strict=False))
+        for c, core, tail in parts:
+            known[c] = known[core] + known[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = set().union(*split) - self.known.keys() if split else set()
+        if len(self.known) > CACHE:
+            self.old, self.known = self.known, {"": b""}
+        get = self.known.get
+        # A-Z alone, as the tokenizer lowers them: fewer kinds of chunks
+        split = [(t.lower() if t.isascii() else t).replace("\n", " ").split(" ") for t in texts]
+        found = [list(map(get, chunks)) for chunks in split]
+        gaps = [[i for i, x in enumerate(ids) if x is None] if None in ids else [] for ids in found]
+        missing = {chunks[i] for chunks, gap in zip(split, gaps, strict=True) for i in gap}
         if missing:
-            if len(self.known) > CACHE:
-                self.known = {"": b""}
-                missing = set().union(*split)
             self._learn(missing)
-        ids = self.known.__getitem__
-        return [b"".join(map(ids, chunks)) for chunks in split]
+            known = self.known
+            for chunks, ids, gap in zip(split, found, gaps, strict=True):
+                for i in gap:
+                    ids[i] = known[chunks[i]]
+        return [b"".join(ids) for ids in found]
 
 
 def repair(ids: np.ndarray, last: np.ndarray, terminals: int):
