@@ -74,7 +74,8 @@ def trigrams(texts: list[str]):
         bucket = (h >> np.uint32(20)).astype(np.intp)  # 12 bits: DIMENSIONS
         ends = np.cumsum([len(p) + 2 for _, p in held])
         bucket = np.append(bucket, [0, 0])
-        bucket[ends - 1] = bucket[ends - 2] = DIMENSIONS  # windows that leave the text
+        for back in range(1, 5):
+            bucket[ends - back] = DIMENSIONS  # windows that leave the text
         yield [r for r, _ in held], bucket, np.concatenate(([0], ends[:-1]))
 
 

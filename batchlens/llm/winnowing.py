@@ -84,7 +84,7 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                      .select("doc_id", "k", "item", "start", "length"))
     if not found:
         return docs.sparkSession.createDataFrame([], words.select("doc_id", "k").schema.add("item", "string")
-                                                 .add("start", "int").add("length", "int"))
+                                                 .add("start", "integer").add("length", "integer"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
