@@ -40,10 +40,14 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return spark.checkpoint.dir; set a scratch one only when unset (tests, local runs).
 
-    On a cluster the shared folder named by ``spark.checkpoint.dir`` is used as is.
+    On a cluster the shared folder named by ``spark.checkpoint.dir`` is used as is; without one this raises,
+    as a folder of one machine is not seen by the others.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master.split("[")[0] != "local":
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         d = tempfile.mkdtemp(prefix="batchlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

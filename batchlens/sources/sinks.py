@@ -14,12 +14,15 @@ def _fs(spark: SparkSession, path: str):
 
 
 def table_versions(spark: SparkSession, table_dir: str) -> list[str]:
-    """Version folders (``version=...``) of a versioned table, oldest first."""
+    """Committed version folders (``version=...``) of a versioned table, oldest first.
+
+    A folder without Spark's ``_SUCCESS`` mark is one that a writer has not finished; it is never read."""
     jpath, fs = _fs(spark, table_dir)
     if not fs.exists(jpath):
         return []
     return sorted(st.getPath().getName() for st in fs.listStatus(jpath)
-                  if st.isDirectory() and st.getPath().getName().startswith("version="))
+                  if st.isDirectory() and st.getPath().getName().startswith("version=")
+                  and fs.exists(_fs(spark, f"{st.getPath()}/_SUCCESS")[0]))
 
 
 def read_latest(spark: SparkSession, table_dir: str) -> DataFrame:
@@ -28,10 +31,18 @@ def read_latest(spark: SparkSession, table_dir: str) -> DataFrame:
 
 def write_new_version(df: DataFrame, table_dir: str) -> str:
     """Write ``df`` as the next version folder of ``table_dir`` (never over the
-    files it may have been computed from) and return its path."""
-    n = len(table_versions(df.sparkSession, table_dir))
+    files it may have been computed from) and return its path.
+
+    Raises if another writer has committed a version meanwhile: its rows would be lost to readers of this one."""
+    spark = df.sparkSession
+    base = table_versions(spark, table_dir)
+    n = int(base[-1].removeprefix("version=")[:8]) if base else 0
     path = f"{table_dir}/version={n + 1:08d}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(path)
+    if table_versions(spark, table_dir) != [*base, path.rsplit("/", 1)[1]]:
+        jpath, fs = _fs(spark, f"{path}/_SUCCESS")
+        fs.delete(jpath, False)
+        raise RuntimeError(f"another version of {table_dir} was committed meanwhile")
     return path
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from batchlens.operators.refresh import ACTIVE_FIRST_HOUR, ACTIVE_LAST_HOUR
+from batchlens.sources.sinks import _fs
 from batchlens.session import ensure_checkpoint_dir
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -99,22 +100,24 @@ def run_available_now(stream_df: DataFrame, mode: str, keys: list[str] | None =
     """Run a streaming query over everything available now and return its
     final result as a batch DataFrame.
 
-    Each micro-batch is appended to a changelog below spark.checkpoint.dir;
+    Each micro-batch is written to a folder of a changelog below spark.checkpoint.dir;
     for ``update`` mode the row of the latest batch per ``keys`` wins."""
     spark = stream_df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream-{name}-{uuid.uuid4().hex[:10]}"
     sink, ckpt = base + "/changelog", base + "/checkpoint"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(sink)
+        # a folder for each batch: one that is run again replaces its rows
+        (batch.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
+         .write.mode("overwrite").parquet(f"{sink}/b{batch_id:010d}"))
 
     q = (stream_df.writeStream.outputMode(mode).option("checkpointLocation", ckpt)
          .foreachBatch(write).trigger(availableNow=True).start())
     q.awaitTermination()
-    try:
-        out = spark.read.parquet(sink)
-    except Exception:  # noqa: BLE001 -- no batch produced rows
+    jpath, fs = _fs(spark, sink)
+    if not fs.exists(jpath):  # there was no batch
         return spark.createDataFrame([], stream_df.schema)
+    out = spark.read.option("recursiveFileLookup", "true").parquet(sink)
     if mode == "update" and keys:
         w = Window.partitionBy(*keys).orderBy(F.desc("_batch_id"))
         out = out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

@@ -105,3 +105,27 @@ def test_fill_template_and_document_json(spark, tmp_path):
     write_documents_json(docs.select("Id", "Name", "AttributeValues"), str(tmp_path / "out"))
     back = spark.read.json(str(tmp_path / "out")).first()
     assert back.Id == 42 and len(back.AttributeValues) == 3
+
+
+def test_unfinished_and_overtaken_versions(spark, tmp_path):
+    """A folder that was not committed is not read; a writer that was overtaken raises and leaves no version."""
+    import pytest
+    from batchlens.sources.sinks import read_latest, table_versions, write_new_version
+    root = str(tmp_path / "t")
+    write_new_version(spark.range(100), root)
+    spark.range(26).write.parquet(f"{root}/version=00000002-unfinished")
+    (tmp_path / "t" / "version=00000002-unfinished" / "_SUCCESS").unlink()
+    assert read_latest(spark, root).count() == 100
+
+    class Slow:
+        """A table to write; another writer commits first."""
+        sparkSession = spark
+
+        @property
+        def write(self):
+            write_new_version(spark.range(7), root)
+            return spark.range(5).write
+
+    with pytest.raises(RuntimeError):
+        write_new_version(Slow(), root)
+    assert read_latest(spark, root).count() == 7 and len(table_versions(spark, root)) == 2
