@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from batchlens.session import as_of_literal
 
-RE_STAMP = r"_(\d{8})_(\d{4})\.(svg|html)$"
-RE_PREFIX = r"^(.*)_\d{8}_\d{4}\.(?:svg|html)$"
+RE_STAMP = r"_(\d{8})_(\d{4})\.(gv|svg|html)$"
+RE_PREFIX = r"^(.*)_\d{8}_\d{4}\.(?:gv|svg|html)$"
 
 
 def with_stamp(files: DataFrame, name_col: str = "FileNM") -> DataFrame:

@@ -21,8 +21,8 @@ def refresh_outcome(history: DataFrame, operations: DataFrame) -> DataFrame:
     """JOB-26: per configured object, the latest status (W-2), the number of
     status checks, and the outcome of polling at most RetryAttemptNBR times:
 
-    COMPLETED / FAILED -- the first terminal status seen within the allowed
-    checks; DID_NOT_COMPLETE -- all allowed checks saw InProgress/Unknown;
+    COMPLETED / FAILED / STOPPED (by any other status) -- the first status
+    within the allowed checks that is neither InProgress nor Unknown; DID_NOT_COMPLETE -- all allowed checks saw InProgress/Unknown;
     PENDING -- fewer checks than allowed so far, none terminal;
     NOT_CHECKED -- retry count 0.
 
@@ -32,7 +32,7 @@ def refresh_outcome(history: DataFrame, operations: DataFrame) -> DataFrame:
     number is one plus the count of earlier rows.
     """
     order = F.struct("ts", "event_id")
-    terminal = F.col("StatusCD").isin(*DONE_STATUSES, FAILED_STATUS)
+    terminal = ~F.col("StatusCD").isin(*WAIT_STATUSES)
     first = (history.groupBy("ObjectID").agg(
         F.count(F.lit(1)).alias("CheckCNT"),
         F.max_by("StatusCD", order).alias("LatestStatusCD"),
@@ -51,7 +51,8 @@ def refresh_outcome(history: DataFrame, operations: DataFrame) -> DataFrame:
     term_attempt = F.when(F.col("_ft").isNotNull(), F.col("_before") + 1)
     outcome = (F.when(retry == 0, "NOT_CHECKED")
                 .when(term_attempt <= retry,
-                      F.when(F.col("FirstTerminalStatusCD").isin(*DONE_STATUSES), "COMPLETED").otherwise("FAILED"))
+                      F.when(F.col("FirstTerminalStatusCD").isin(*DONE_STATUSES), "COMPLETED")
+                      .when(F.col("FirstTerminalStatusCD") == FAILED_STATUS, "FAILED").otherwise("STOPPED"))
                 .when(F.col("CheckCNT") >= retry, "DID_NOT_COMPLETE")
                 .otherwise("PENDING"))
     return x.select(

@@ -86,9 +86,9 @@ SELECT DISTINCT user_id AS ObjectID, 'object-' || CAST(user_id AS VARCHAR(20)) A
     ("RefreshHistory", """
 SELECT event_id, user_id AS ObjectID, ts, CASE event_type WHEN 'view' THEN 'InProgress' WHEN 'click' THEN 'Unknown' WHEN 'purchase' THEN 'Completed' WHEN 'signup' THEN 'Success' ELSE 'Failed' END AS StatusCD FROM events"""),
     ("SnapshotFiles", """
-SELECT DISTINCT 'BatchSequence_ENV' || CAST(user_id % 2 AS VARCHAR(20)) || '_' || CAST(200101 + (event_id % 12) AS VARCHAR(20)) || CAST(10 + event_id % 18 AS VARCHAR(20)) || '_' || CAST(10 + event_id % 14 AS VARCHAR(20)) || CAST(10 + event_id % 50 AS VARCHAR(20)) || CASE WHEN event_type IN ('view','click','error') THEN '.svg' ELSE '.html' END AS FileNM FROM events WHERE event_id % 9 = 0"""),
+SELECT DISTINCT 'BatchSequence_ENV' || CAST(user_id % 2 AS VARCHAR(20)) || '_' || CAST(200101 + (event_id % 12) AS VARCHAR(20)) || CAST(10 + event_id % 18 AS VARCHAR(20)) || '_' || CAST(10 + event_id % 14 AS VARCHAR(20)) || CAST(10 + event_id % 50 AS VARCHAR(20)) || CASE WHEN event_type IN ('view','click','error') THEN '.svg' ELSE '.html' END AS FileNM FROM events"""),
     ("EffectiveEvents", """
-SELECT o_custkey AS EmployeeID, o_orderdate AS EventFromEffectiveDTS, o_orderdate + INTERVAL '1' DAY * CAST(o_orderkey % 120 AS INT) AS EventToEffectiveDTS, o_orderpriority AS EventCodeDSC, o_orderstatus AS CompanyCD, o_orderkey FROM orders WHERE o_orderkey % 20 = 0"""),
+SELECT o_custkey AS EmployeeID, o_orderdate AS EventFromEffectiveDTS, o_orderdate + INTERVAL '1' DAY * CAST(o_orderkey % 120 AS INT) AS EventToEffectiveDTS, o_orderpriority AS EventCodeDSC, o_orderstatus AS CompanyCD, o_orderkey FROM orders"""),
 ]
 
 FIXTURE_NAMES = [n for n, _ in FIXTURE_VIEWS]

@@ -135,8 +135,8 @@ def refresh_monitor_handler(state_dir: str):
     after its batch id and skipped when it exists, so a retried batch is not
     counted twice. Assumes each object's checks arrive in time order across
     batches (an append-only history)."""
-    from batchlens.operators.refresh import DONE_STATUSES, FAILED_STATUS
-    from batchlens.sources.sinks import _fs, table_versions
+    from batchlens.operators.refresh import WAIT_STATUSES
+    from batchlens.sources.sinks import table_versions
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -144,7 +144,7 @@ def refresh_monitor_handler(state_dir: str):
         jpath, fs = _fs(spark, target + "/_SUCCESS")
         if fs.exists(jpath):
             return
-        terminal = F.col("StatusCD").isin(*DONE_STATUSES, FAILED_STATUS)
+        terminal = ~F.col("StatusCD").isin(*WAIT_STATUSES)
         chk = F.struct("ts", "event_id", "StatusCD")
         agg = batch.groupBy("ObjectID").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.when(terminal, chk)).alias("ft"), F.max(chk).alias("last"))
@@ -179,13 +179,13 @@ def refresh_monitor_outcome(state: DataFrame, operations: DataFrame, timeout: st
     the batch ``refresh_outcome``). With ``timeout`` (an interval such as
     '2 hours'), an object still waiting whose last check is older than the
     newest check seen minus the timeout is TIMED_OUT instead of PENDING."""
-    from batchlens.operators.refresh import DONE_STATUSES, WAIT_STATUSES, check_flag
+    from batchlens.operators.refresh import DONE_STATUSES, FAILED_STATUS, WAIT_STATUSES, check_flag
     x = operations.join(state, "ObjectID", "left").withColumn("CheckCNT", F.coalesce("CheckCNT", F.lit(0)))
     retry = F.col("RetryAttemptNBR")
     fta = F.col("FirstTerminalAttemptNBR")
     outcome = (F.when(retry == 0, "NOT_CHECKED")
                 .when(fta <= retry, F.when(F.col("FirstTerminalStatusCD").isin(*DONE_STATUSES), "COMPLETED")
-                      .otherwise("FAILED"))
+                      .when(F.col("FirstTerminalStatusCD") == FAILED_STATUS, "FAILED").otherwise("STOPPED"))
                 .when(F.col("CheckCNT") >= retry, "DID_NOT_COMPLETE"))
     if timeout is not None:
         # the newest check of any object: a one-row aggregate of the state

@@ -30,3 +30,12 @@ def test_run_calendar(spark):
     assert [r.ActiveFLG for r in rows] == [False, True, True, False]
     assert [r.NextRunDTS for r in rows] == [d(2024, 1, 1, 6), d(2024, 1, 1, 7), d(2024, 1, 1, 21), d(2024, 1, 2, 6)]
     assert rows[0].WaitSecondsNBR == 50 * 60
+
+
+def test_other_status_stops_polling(spark):
+    """A status that is none of the known words ends the polling, whatever comes after it."""
+    from batchlens.operators.refresh import refresh_outcome
+    history = spark.sql("SELECT * FROM VALUES (1L, 1, timestamp_ntz'2001-01-01 00:00:00', 'Cancelled'), "
+                        "(2L, 1, timestamp_ntz'2001-01-01 00:01:00', 'Completed') AS t(event_id, ObjectID, ts, StatusCD)")
+    ops = spark.sql("SELECT 1 AS ObjectID, 'a' AS ObjectNM, 'Model' AS ObjectTypeCD, 3 AS RetryAttemptNBR")
+    assert [r.OutcomeCD for r in refresh_outcome(history, ops).collect()] == ["STOPPED"]
