@@ -1,7 +1,7 @@
 """Driver queries: each runs one job over the fixture catalog of a data folder.
 
-Every query reads the driver tables (through the fixture views) in full, so
-its work grows with the scale factor.
+Every query reads the driver tables through the fixture views, whose SQL says
+which rows model which catalog table, so its work grows with the scale factor.
 """
 
 from __future__ import annotations
