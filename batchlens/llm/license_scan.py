@@ -97,16 +97,15 @@ def candidates(words: DataFrame, prefixes: DataFrame, tokens: list[str]) -> Data
     """(document, block, template) rows that pass the prefix, positional and length filters."""
     listed = F.array(*[F.lit(t) for t in tokens])
     last = F.greatest(F.lit(0), F.ceil((F.size("w") - BLOCK) / F.lit(STEP)).cast("int"))
-    # blocks are cut only around prefix tokens, so texts without one end here
-    near = (words.where(F.arrays_overlap("w", listed))
-            .withColumn("last", last)
-            .withColumn("b", F.explode(F.array_distinct(F.flatten(F.filter(
-                F.transform("w", lambda x, i: F.when(x.isin(tokens), F.array(
-                    F.greatest(F.lit(0), F.floor((i - STEP) / STEP).cast("int")),
-                    F.least(F.floor(i / STEP).cast("int"), F.col("last"))))),
-                lambda x: x.isNotNull())))))
-            .where("b <= last"))
-    block = near.select("doc_id", "k", "b", F.slice("w", F.col("b") * STEP + 1, BLOCK).alias("block"))
+    # blocks are cut only around prefix tokens, and inside the generator: no row carries its whole text along
+    places = F.array_distinct(F.flatten(F.filter(
+        F.transform("w", lambda x, i: F.when(x.isin(tokens), F.array(
+            F.greatest(F.lit(0), F.floor((i - STEP) / STEP).cast("int")),
+            F.least(F.floor(i / STEP).cast("int"), last)))),
+        lambda x: x.isNotNull())))
+    cut = F.transform(F.filter(places, lambda b: b <= last), lambda b: F.struct(
+        b.alias("b"), F.slice("w", b * STEP + 1, BLOCK).alias("block")))
+    block = words.select("doc_id", "k", F.inline(cut))
     matched = block.withColumn("token", F.explode(F.array_intersect("block", listed)))
     return (matched.join(F.broadcast(prefixes), "token")  # as small as the templates are
             .where(F.col("need") <= F.size("tokens") - F.col("place"))
