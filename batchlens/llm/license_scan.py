@@ -3,7 +3,9 @@
 Templates are token sets: the base phrases, of which a block must contain
 all tokens, and longer notices, of which it must contain ``THRESHOLD``. A
 text's blocks are windows of ``BLOCK`` words, one every ``STEP`` words, so any
-passage of up to ``BLOCK - STEP + 1`` words lies whole in some block.
+passage of up to ``BLOCK - STEP + 1`` words lies whole in some block. Texts are
+split once: what is kept of them is the template tokens they hold, with their
+places, in cells of ``STEP`` words; a block is its cells.
 
 * Order: template tokens are sorted by their frequency in the whole table,
   the rarest first.
@@ -70,14 +72,27 @@ def templates() -> list[dict]:
     return out
 
 
-def _split(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", row_key().alias("k"), words_of(ascii_lower(text), PLAIN_WORD).alias("w"))
+VOCABULARY = sorted({t for s in templates() for t in s["tokens"]})
 
 
-def token_frequency(words: DataFrame, vocabulary: list[str]) -> dict[str, int]:
+def marked(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """doc_id, k, n_words and the cells: of each ``STEP`` words the template tokens, with their places."""
+    words = docs.select("doc_id", row_key().alias("k"),
+                        words_of(ascii_lower(F.coalesce("text", F.lit(""))), PLAIN_WORD).alias("w"))
+
+    def cell(c: Column) -> Column:
+        tokens = F.transform(F.slice("w", c * STEP + 1, STEP), lambda x, i: F.when(
+            x.isin(vocabulary), F.struct((i + c * STEP).alias("at"), x.alias("token"))))
+        return F.filter(tokens, lambda m: m.isNotNull())
+
+    last = F.greatest(F.lit(0), F.ceil(F.size("w") / F.lit(STEP)).cast("int") - 1)
+    return words.select("doc_id", "k", F.size("w").alias("n_words"),
+                        F.transform(F.sequence(F.lit(0), last), cell).alias("cells"))
+
+
+def token_frequency(marks: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     """How often each template token occurs in the whole table; the result is as small as the templates."""
-    seen = words.select(F.explode(F.filter("w", lambda x: x.isin(vocabulary))).alias("token"))
+    seen = marks.select(F.explode(F.flatten("cells")).alias("m")).select("m.token")
     found = {r["token"]: r["n"] for r in seen.groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
     return {t: found.get(t, 0) for t in vocabulary}
 
@@ -93,35 +108,33 @@ def prefix_table(spark, spec: list[dict], frequency: dict[str, int]) -> DataFram
                                        "phrase array<string>, label string, base boolean")
 
 
-def candidates(words: DataFrame, prefixes: DataFrame, tokens: list[str]) -> DataFrame:
+def candidates(marks: DataFrame, prefixes: DataFrame, tokens: list[str]) -> DataFrame:
     """(document, block, template) rows that pass the prefix, positional and length filters."""
-    listed = F.array(*[F.lit(t) for t in tokens])
-    last = F.greatest(F.lit(0), F.ceil((F.size("w") - BLOCK) / F.lit(STEP)).cast("int"))
-    # blocks are cut only around prefix tokens, and inside the generator: no row carries its whole text along
-    places = F.array_distinct(F.flatten(F.filter(
-        F.transform("w", lambda x, i: F.when(x.isin(tokens), F.array(
-            F.greatest(F.lit(0), F.floor((i - STEP) / STEP).cast("int")),
-            F.least(F.floor(i / STEP).cast("int"), last)))),
-        lambda x: x.isNotNull())))
-    cut = F.transform(F.filter(places, lambda b: b <= last), lambda b: F.struct(
-        b.alias("b"), F.slice("w", b * STEP + 1, BLOCK).alias("block")))
-    block = words.select("doc_id", "k", F.inline(cut))
-    matched = block.withColumn("token", F.explode(F.array_intersect("block", listed)))
+    last = F.greatest(F.lit(0), F.ceil((F.col("n_words") - BLOCK) / F.lit(STEP)).cast("int"))
+    cut = F.transform(F.sequence(F.lit(0), last), lambda b: F.struct(
+        b.alias("b"), F.flatten(F.slice("cells", b + 1, BLOCK // STEP)).alias("block")))
+    # blocks without a prefix token end here
+    cut = F.filter(cut, lambda x: F.exists(x["block"], lambda m: m["token"].isin(tokens)))
+    block = marks.select("doc_id", "k", F.inline(cut))
+    held = F.col("block.token")
+    matched = block.withColumn("token", F.explode(F.array_intersect(held, F.array(*[F.lit(t) for t in tokens]))))
     return (matched.join(F.broadcast(prefixes), "token")  # as small as the templates are
             .where(F.col("need") <= F.size("tokens") - F.col("place"))
-            .where(F.size(F.array_intersect(F.slice("tokens", 1, F.col("place")), "block")) == 0)
-            .where(F.size(F.array_distinct("block")) >= F.col("need")))
+            .where(F.size(F.array_intersect(F.slice("tokens", 1, F.col("place")), held)) == 0)
+            .where(F.size(F.array_distinct(held)) >= F.col("need")))
 
 
 def verify(found: DataFrame) -> DataFrame:
     """Blocks that reach the threshold, with the places of base phrases; ``share`` of the template they hold."""
-    overlap = F.size(F.array_intersect("tokens", "block"))
+    held, at = F.col("block.token"), F.col("block.at")
+    overlap = F.size(F.array_intersect("tokens", held))
+    length = F.size("phrase")
 
     def stands(i: Column) -> Column:
-        return F.slice("block", i + 1, F.size("phrase")) == F.col("phrase")
+        return (F.slice(held, i + 1, length) == F.col("phrase")) & (
+            F.get(at, i + length - 1) - F.get(at, i) == length - 1)
 
-    starts = F.transform(
-        F.filter(F.sequence(F.lit(0), F.size("block") - 1), stands), lambda i: i + F.col("b") * STEP)
+    starts = F.transform(F.filter(F.sequence(F.lit(0), F.size("block") - 1), stands), lambda i: F.get(at, i))
     return (found.withColumn("overlap", overlap).where("overlap >= need")
             .withColumn("starts", F.when(F.col("base"), starts).otherwise(F.array().cast("array<int>")))
             .where("NOT base OR size(starts) > 0")
@@ -129,21 +142,20 @@ def verify(found: DataFrame) -> DataFrame:
                     (F.col("overlap") / F.size("tokens")).alias("share")))
 
 
-def matches(docs: DataFrame, words: DataFrame) -> DataFrame:
+def matches(marks: DataFrame) -> DataFrame:
     """Every text block that meets a template."""
     spec = templates()
-    vocabulary = sorted({t for s in spec for t in s["tokens"]})
-    frequency = token_frequency(words, vocabulary)
-    prefixes = prefix_table(docs.sparkSession, spec, frequency)
+    frequency = token_frequency(marks, VOCABULARY)
+    prefixes = prefix_table(marks.sparkSession, spec, frequency)
     tokens = sorted({t for s in spec for t in sorted(s["tokens"], key=lambda x: (frequency[x], x))
                      [:len(s["tokens"]) - s["need"] + 1]})
-    return verify(candidates(words, prefixes, tokens))
+    return verify(candidates(marks, prefixes, tokens))
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
     """Per document: word count, places of the base phrases, labels and the best containment."""
-    words = _split(docs.select("doc_id", "text"))
-    found = matches(docs, words)
+    marks = written(marked(docs.select("doc_id", "text"), VOCABULARY), "license-marks")
+    found = matches(marks)
     place = F.explode_outer(F.when(F.size("starts") > 0, F.col("starts")))
     # a place may lie in two blocks and a row may repeat: distinct before counting
     per_place = (found.select("doc_id", "k", "template", "label", "base", "share", place.alias("start"))
@@ -154,7 +166,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
         F.max("start").cast("long").alias("last_word"),
         joined(F.sort_array(F.collect_set(F.when(F.col("base"), F.col("label")))), ",").alias("base_labels"),
         joined(F.sort_array(F.collect_set("label")), ",").alias("labels"), F.max("share").alias("score"))
-    sizes = words.select("doc_id", "k", F.size("w").cast("long").alias("n_words"))
+    sizes = marks.select("doc_id", "k", F.col("n_words").cast("long").alias("n_words"))
     found = written(hits, "license-hits")
     return sizes.join(found, same_row(sizes, found), "left").select(
         sizes["doc_id"], "n_words", F.coalesce("n_base", F.lit(0)).alias("n_base"), "first_word", "last_word",
