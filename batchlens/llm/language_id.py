@@ -35,7 +35,8 @@ FAMILIES = {
 }
 SAMPLE_PER_LANGUAGE = 500
 DIMENSIONS = 4096
-SLICE = 1 << 20  #: bytes of text held as arrays at once
+SLICE = 1 << 16  #: bytes of text held as arrays at once
+FEW = 256  #: sample rows whose frequencies are held at once
 UNKNOWN = "und"
 #: Documents below this score are rejected by the filter.
 MIN_SCORE = 0.2
@@ -49,7 +50,7 @@ def family_of(language: str) -> str:
     return next((f for f, members in FAMILIES.items() if language in members), language)
 
 
-def _slices(texts: list[bytes]):
+def _slices(texts):
     """Lists of (row, bytes) with at most SLICE bytes in all; a longer text comes in pieces that overlap by two."""
     held, size = [], 0
     for row, text in enumerate(texts):
@@ -66,7 +67,7 @@ def _slices(texts: list[bytes]):
 
 def trigrams(texts: list[str]):
     """Yields (rows, bucket of each trigram, first trigram of each row) slice by slice."""
-    folded = [b" " + re.sub(rb" +", b" ", t.encode("utf-8", "replace").translate(FOLD)) + b" " for t in texts]
+    folded = (b" " + re.sub(rb" +", b" ", t.encode("utf-8", "replace").translate(FOLD)) + b" " for t in texts)
     for held in _slices(folded):
         b = np.frombuffer(b"".join(p + b"\0\0" for _, p in held), np.uint8).astype(np.uint32)
         h = (b[:-2] * np.uint32(0x9E3779B1)) ^ (b[1:-1] * np.uint32(0x85EBCA77)) ^ (b[2:] * np.uint32(0xC2B2AE3D))
@@ -183,7 +184,9 @@ def train(docs: DataFrame) -> Model | None:
     def vectors(batches):
         for pdf in batches:
             pdf = pdf[[bool(LETTER.search(t)) for t in pdf.text]] if len(pdf) else pdf
-            yield pd.DataFrame({"lang": pdf.lang, "x": [v.tobytes() for v in frequencies(list(pdf.text))]})
+            for at in range(0, len(pdf), FEW):
+                few = pdf.iloc[at:at + FEW]
+                yield pd.DataFrame({"lang": few.lang, "x": [v.tobytes() for v in frequencies(list(few.text))]})
 
     sample = labelled.where(dice < share).select("lang", "text").mapInPandas(vectors, "lang string, x binary")
     rows = sorted(((r["lang"], bytes(r["x"])) for r in sample.collect()))
