@@ -21,7 +21,7 @@ def month_calendar(spark, start: str, end: str) -> DataFrame:
 
 def monthly_effective_history(events: DataFrame, calendar: DataFrame, as_of: str | None = None,
                               years: int = 15, entity: str = "EmployeeID",
-                              tie_break: str | None = "o_orderkey") -> DataFrame:
+                              tie_break: str | None = None) -> DataFrame:
     """J-13 + W-1.
 
     The month-overlap join (from <= month end AND to >= month start) is done
@@ -31,7 +31,7 @@ def monthly_effective_history(events: DataFrame, calendar: DataFrame, as_of: str
     calendar would otherwise match each month once per day). ``row_number``
     = 1 per (entity, month) is planned with a partial group limit before the
     shuffle, so a hot entity does not funnel all its rows into one sort.
-    ``tie_break`` completes the order so the pick is deterministic.
+    ``tie_break`` names a column that completes the order, so the pick is deterministic.
     """
     now = F.to_date(as_of_literal(as_of))
     cal = (calendar.select(F.trunc("MonthStartDTS", "MM").alias("MonthStartDTS")).distinct()

@@ -276,10 +276,10 @@ def _target_of():
     return F.col("TableID") % 10
 
 
-def _plan(spark, sf_dir, invocations=None):
+def _plan(spark, sf_dir):
     from batchlens.operators.retention import purge_plan
     c = cat_of(spark, sf_dir)
-    return purge_plan(c["SAMSnapshotTableManagementBASE"], c, invocations=invocations)
+    return purge_plan(c["SAMSnapshotTableManagementBASE"], c)
 
 
 @query("purge_plan")
@@ -297,19 +297,15 @@ def q_purge_kept(spark, sf_dir):
 
 @query("purge_log")
 def q_purge_log(spark, sf_dir):
-    from batchlens.operators.retention import daily_counts, hook_invocations, purge_log
+    from batchlens.operators.retention import daily_counts, purge_log
     c = cat_of(spark, sf_dir)
-    inv = hook_invocations(c)
-    latest = inv.groupBy("EntityID").agg(F.max("JobID").alias("JobID")).join(inv, ["EntityID", "JobID"])
-    plan = _plan(spark, sf_dir, latest)
-    counts = daily_counts(c["SnapshotRows"], "l_shipdate", "TableID")
-    return purge_log(plan, counts, _target_of())
+    return purge_log(_plan(spark, sf_dir), daily_counts(c["SnapshotRows"], "l_shipdate", "TableID"), _target_of())
 
 
 def _validate(spark, sf_dir):
-    from batchlens.operators.retention import daily_counts, validate_snapshot
+    from batchlens.operators.retention import daily_counts, period_rows, validate_snapshot
     c = cat_of(spark, sf_dir)
-    counts = daily_counts(c["SnapshotRows"], "LastLoadDTS", "TableID")
+    counts = daily_counts(period_rows(c["SnapshotRows"], "LastLoadDTS"), "LastLoadDTS", "TableID")
     return validate_snapshot(c["SAMSnapshotTableManagementBASE"], c, counts, _target_of())
 
 
@@ -403,16 +399,15 @@ def q_monthly(spark, sf_dir):
     from batchlens.operators.history import month_calendar, monthly_effective_history
     c = cat_of(spark, sf_dir)
     cal = month_calendar(spark, "1995-01-01", "2001-07-31")
-    return monthly_effective_history(c["EffectiveEvents"], cal)
+    return monthly_effective_history(c["EffectiveEvents"], cal, tie_break="o_orderkey")
 
 
 # --- streaming (run to completion with availableNow; oracle = batch SQL) ------
 
 def _stream(spark, sf_dir):
-    import os
     from batchlens.streaming.jobs import history_stream
     apply_conf(spark)
-    return history_stream(spark, os.path.abspath(sf_dir), "events.parquet")
+    return history_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 @query("stream_status_counts")

@@ -43,7 +43,7 @@ SELECT o_orderkey AS BindingID, o_custkey % np AS DestinationEntityID, o_custkey
   CASE o_orderstatus WHEN 'O' THEN 'Active' WHEN 'F' THEN 'Inactive' ELSE 'Draft' END AS BindingStatusCD
   FROM orders CROSS JOIN (SELECT COUNT(*) AS np FROM part) k WHERE o_orderkey % 7 = 0"""),
     ("BindingDependencyBASE", """
-SELECT l_orderkey AS BindingID, l_partkey AS SourceEntityID FROM lineitem WHERE l_linenumber = 1"""),
+SELECT l_orderkey AS BindingID, l_partkey AS SourceEntityID FROM lineitem"""),
     ("ETLBatchDefinitionTableBASE", """
 SELECT p_partkey AS TableID, p_partkey % ns AS BatchDefinitionID FROM part CROSS JOIN (SELECT COUNT(*) AS ns FROM supplier) k WHERE p_size < 10"""),
     ("ETLBatchHistoryBASE", """
@@ -78,7 +78,7 @@ SELECT BindingID AS ObjectID, 'UserDefinedSQL' AS AttributeNM,
     ("SAMSnapshotTableManagementBASE", """
 SELECT p_partkey + 1 AS ID, p_partkey AS TableID, CASE p_partkey % 4 WHEN 3 THEN 0 WHEN 2 THEN NULL ELSE 1 END AS PurgeDataFLG,
   CASE WHEN p_partkey % 5 = 4 THEN NULL ELSE 'l_shipdate' END AS PurgeDateFieldNM, CASE p_partkey % 6 WHEN 0 THEN 0 WHEN 5 THEN NULL ELSE CAST(p_partkey % 6 AS INT) * 365 END AS PurgeLookbackDaysNBR,
-  CASE WHEN p_partkey % 7 = 6 THEN 0 ELSE 1 END AS ValidateSnapshotFLG, CASE p_partkey % 3 WHEN 0 THEN 'Daily' WHEN 1 THEN 'Monthly' ELSE 'Weekly' END AS SnapshotPeriodCD FROM part WHERE p_partkey < 40"""),
+  CASE WHEN p_partkey % 7 = 6 THEN 0 ELSE 1 END AS ValidateSnapshotFLG, CASE p_partkey % 3 WHEN 0 THEN 'Daily' WHEN 1 THEN 'Monthly' ELSE 'Weekly' END AS SnapshotPeriodCD FROM part"""),
     ("SnapshotRows", """
 SELECT l_suppkey % 10 AS TableID, l_orderkey, l_linenumber, l_shipdate, l_shipdate AS LastLoadDTS FROM lineitem"""),
     ("RefreshOperation", """

@@ -5,8 +5,11 @@ time is cast from TIMESTAMP_NTZ to TIMESTAMP before ``withWatermark``.
 Results go through ``foreachBatch`` into a changelog folder below
 ``spark.checkpoint.dir`` (one parquet part per micro-batch, tagged with the
 batch id), so update-mode aggregates are exact when read back: the latest
-version of each key wins. Checkpoints live in the same shared folder, so a
-restarted query resumes where it stopped.
+version of each key wins. Checkpoints live in the same shared folder.
+
+Watermarks are an argument. Without one no row is late: results equal the batch
+twin's whatever the order and number of files, as a backfill needs, and state
+grows with the keys. A live stream passes one to bound its state.
 """
 
 from __future__ import annotations
@@ -32,20 +35,23 @@ def status_of(event_type):
     return F.coalesce(m[event_type], F.lit(STATUS_DEFAULT))
 
 
-def history_stream(spark: SparkSession, folder: str, file_glob: str = "*.parquet",
-                   max_files_per_trigger: int = 64) -> DataFrame:
-    """Run/refresh history files arriving in ``folder`` (those matching
-    ``file_glob``) as a stream: ObjectID, event_id, ts (TIMESTAMP), StatusCD."""
+def history_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 64) -> DataFrame:
+    """Run/refresh history arriving at ``path`` (a folder, or one file) as a
+    stream: ObjectID, event_id, ts (TIMESTAMP), StatusCD."""
     s = (spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-         .option("pathGlobFilter", file_glob).parquet(folder))
+         .option("recursiveFileLookup", "true").parquet(path))
     return s.select("event_id", F.col("user_id").alias("ObjectID"), F.col("ts").cast("timestamp").alias("ts"),
                     status_of(F.col("event_type")).alias("StatusCD"))
 
 
-def status_counts(stream: DataFrame, window: str = "1 hour", watermark: str = "2 hours") -> DataFrame:
-    """ST-1: run-status counts per tumbling event-time window; late rows
-    within the watermark still update their window, older state is dropped."""
-    return (stream.withWatermark("ts", watermark)
+def _watermarked(stream: DataFrame, watermark: str | None) -> DataFrame:
+    return stream if watermark is None else stream.withWatermark("ts", watermark)
+
+
+def status_counts(stream: DataFrame, window: str = "1 hour", watermark: str | None = None) -> DataFrame:
+    """ST-1: run-status counts per tumbling event-time window; with a
+    watermark, rows within it still update their window and older state goes."""
+    return (_watermarked(stream, watermark)
             .groupBy(F.window("ts", window).alias("w"), "StatusCD")
             .agg(F.count(F.lit(1)).alias("EventCNT"))
             .select(F.col("w.start").alias("WindowStartDTS"), F.col("w.end").alias("WindowEndDTS"),
@@ -62,23 +68,20 @@ def refresh_latest(stream: DataFrame) -> DataFrame:
 
 def dedup_loads(stream: DataFrame, watermark: str | None = None, period: str = "day") -> DataFrame:
     """ST-3: duplicate-load guard -- the first load per (object, period)
-    passes, repeats within the watermark are dropped. ``period`` is 'day'
-    (Daily snapshots) or 'month' (Monthly); the default watermark covers one
-    period so the state of a period lives exactly as long as it can repeat."""
+    passes, repeats are dropped. ``period`` is 'day' (Daily snapshots) or
+    'month' (Monthly). With a watermark (at least the period), keys older
+    than it are forgotten."""
     if period not in ("day", "month"):
         raise ValueError("period must be 'day' or 'month'")
-    wm = watermark or ("1 day" if period == "day" else "31 days")
     key = F.to_date("ts") if period == "day" else F.trunc(F.to_date("ts"), "MM")
-    return (stream.withWatermark("ts", wm)
-            .withColumn("LoadDT", key)
-            .dropDuplicatesWithinWatermark(["ObjectID", "LoadDT"])
-            .select("ObjectID", "LoadDT"))
+    loads = _watermarked(stream, watermark).withColumn("LoadDT", key)
+    drop = loads.dropDuplicates if watermark is None else loads.dropDuplicatesWithinWatermark
+    return drop(["ObjectID", "LoadDT"]).select("ObjectID", "LoadDT")
 
 
-def hourly_active(stream: DataFrame, watermark: str = "2 hours") -> DataFrame:
+def hourly_active(stream: DataFrame, watermark: str | None = None) -> DataFrame:
     """ST-5: hourly buckets restricted to the 06:00-20:59 active window."""
-    return (stream.filter(F.hour("ts").between(ACTIVE_FIRST_HOUR, ACTIVE_LAST_HOUR))
-            .withWatermark("ts", watermark)
+    return (_watermarked(stream.filter(F.hour("ts").between(ACTIVE_FIRST_HOUR, ACTIVE_LAST_HOUR)), watermark)
             .groupBy(F.window("ts", "1 hour").alias("w"))
             .agg(F.count(F.lit(1)).alias("EventCNT"))
             .select(F.col("w.start").alias("HourStartDTS"), "EventCNT"))
@@ -87,11 +90,12 @@ def hourly_active(stream: DataFrame, watermark: str = "2 hours") -> DataFrame:
 def retention_on_load(plan_fn, sink_dir: str):
     """ST-4: ``foreachBatch`` handler -- each micro-batch of completed loads
     (columns JobID, EntityID) runs ``plan_fn(loads) -> DataFrame`` (for
-    example the purge plan restricted to those invocations) and appends the
-    result, tagged with the batch id, below ``sink_dir``."""
+    example the purge plan restricted to those invocations) and writes the
+    result to the batch's own folder below ``sink_dir``; a batch that runs
+    again replaces it."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         out = plan_fn(batch.select("JobID", "EntityID").distinct())
-        out.withColumn("_batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_dir)
+        out.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
     return handle
 
 

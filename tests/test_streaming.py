@@ -35,6 +35,24 @@ def test_stream_equals_batch(spark, tmp_path):
     assert hours == {"2024-01-01 06:00:00": 3, "2024-01-01 07:00:00": 1}
 
 
+def test_unordered_files_equal_batch(spark, tmp_path):
+    """Rows days apart in files of any order, one file a micro-batch: nothing is late without a watermark."""
+    t = dt.datetime
+    rows = [(i, t(2024, 1, 1 + (i * 5) % 9, 6 + i % 4, i % 60), i % 3, "view", 1.0, "{}") for i in range(60)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    folder = str(tmp_path / "unordered")
+    for part in (2, 0, 1):
+        spark.createDataFrame(sorted(rows, key=lambda r: r[1])[part::3][::-1], schema).coalesce(1).write.mode(
+            "append").parquet(folder)
+    s = lambda: history_stream(spark, folder, 1)
+    counts = run_available_now(status_counts(s()), "update", ["WindowStartDTS", "StatusCD"], "u1")
+    assert counts.agg(F.sum("EventCNT")).first()[0] == 60
+    hours = run_available_now(hourly_active(s()), "update", ["HourStartDTS"], "u2")
+    assert hours.agg(F.sum("EventCNT")).first()[0] == 60
+    loads = run_available_now(dedup_loads(s()), "append", name="u3").collect()
+    assert sorted((r.ObjectID, r.LoadDT) for r in loads) == sorted({(r[2], r[1].date()) for r in rows})
+
+
 def test_retention_on_load_foreach_batch(spark, tmp_path):
     from batchlens.streaming.jobs import retention_on_load
     loads = spark.createDataFrame([(100, 1), (100, 1), (101, 2)], "JobID bigint, EntityID bigint")
@@ -51,6 +69,8 @@ def test_retention_on_load_foreach_batch(spark, tmp_path):
     q.awaitTermination()
     got = [(r.JobID, r.EntityID, r.PurgeLookbackDaysNBR) for r in spark.read.parquet(sink).collect()]
     assert got == [(100, 1, 30)]
+    retention_on_load(plan_fn, sink)(loads, 0)  # a batch that runs again
+    assert spark.read.parquet(sink).count() == 1
 
 
 def test_dedup_loads_monthly(spark, tmp_path):
