@@ -41,7 +41,7 @@ SELECT p_partkey AS EntityID, p_partkey + 100000 AS ContentID FROM part"""),
     ("BindingBASE", """
 SELECT o_orderkey AS BindingID, o_custkey % np AS DestinationEntityID, o_custkey % 25 AS DataMartID, o_orderkey % 5 AS SourceConnectionID,
   CASE o_orderstatus WHEN 'O' THEN 'Active' WHEN 'F' THEN 'Inactive' ELSE 'Draft' END AS BindingStatusCD
-  FROM orders CROSS JOIN (SELECT COUNT(*) AS np FROM part) k WHERE o_orderkey % 7 = 0"""),
+  FROM orders CROSS JOIN (SELECT COUNT(*) AS np FROM part) k"""),
     ("BindingDependencyBASE", """
 SELECT l_orderkey AS BindingID, l_partkey AS SourceEntityID FROM lineitem"""),
     ("ETLBatchDefinitionTableBASE", """
