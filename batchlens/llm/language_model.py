@@ -4,7 +4,11 @@ Every word is predicted from the ``SIDE`` words before and after it; the sum of
 the conditional log-probabilities scores the document (Wang and Cho, 2019).
 Word ids come from counts over the whole table: the ``WORDS`` most frequent
 words have ids of their own, the others share ``RARE`` hashed ids. The output
-is a two-level softmax over ``CLASSES`` classes of ``WIDTH`` ids.
+is a two-level softmax over ``CLASSES`` classes of ``WIDTH`` ids. A word that
+shares its id has the id's probability times its own part of the id's count,
+(n + 1) / (words counted + different words + 1), where n is read from the table
+of all counts by a join; the last 1 is for words never counted. ``log_prob`` is
+the sum over the ids, ``word_log_prob`` and its mean are those of the words.
 
 Training: each task runs Adam over the documents it reads, predicting every
 ``EVERY``-th word of each document from its whole context, and returns its
@@ -21,10 +25,11 @@ blocks of ``BLOCK`` words; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from itertools import compress
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.llm.common import SPACE_WORD, ascii_lower, table, words_of, written
@@ -67,8 +72,12 @@ class Vocabulary(dict):
         return Vocabulary, (self.words,)
 
     def ids(self, text: str | None) -> np.ndarray:
+        return self.split(text)[1]
+
+    def split(self, text: str | None) -> tuple[list[bytes], np.ndarray]:
+        """The words and their ids."""
         words = (text or "").encode("utf-8", "replace").lower().split()
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        return words, np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -77,6 +86,27 @@ def count_words(docs: DataFrame) -> DataFrame:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def bucket() -> Column:
+    """Which of the shared ids a rare word has, as in ``Vocabulary``."""
+    return F.pmod(F.crc32(F.encode("word", "utf-8")), F.lit(RARE)).cast("int")
+
+
+def rare_counts(counts: DataFrame, words: list[str]) -> DataFrame:
+    """(word, n) of the words that share an id."""
+    top = counts.sparkSession.createDataFrame([(w,) for w in words], "word string")
+    return counts.join(F.broadcast(top), "word", "left_anti")
+
+
+def within_buckets(rows: DataFrame, rare: DataFrame) -> DataFrame:
+    """(row, within): summed log of each rare word's part of its id, for ``rows`` (row, rare: words between spaces)."""
+    sums = rare.groupBy(bucket().alias("bucket")).agg((F.sum("n") + F.count(F.lit(1))).alias("n")).collect()
+    room = dict.fromkeys(range(RARE), 1) | {r["bucket"]: r["n"] + 1 for r in sums}
+    room = F.array(*[F.lit(float(room[b])) for b in range(RARE)])
+    words = rows.select("row", F.explode(F.split("rare", " ")).alias("word")).join(rare, "word", "left")
+    part = F.log((F.coalesce("n", F.lit(0)) + 1) / F.get(room, bucket()))
+    return words.select("row", part.alias("part")).groupBy("row").agg(F.sum("part").alias("within"))
+
+
 def initial(counts: np.ndarray, seed: int = 11) -> dict[str, np.ndarray]:
     """Random weights; the biases hold the corpus frequencies, so training starts from the unigram model."""
     rng = np.random.default_rng(seed)
@@ -168,14 +198,12 @@ def _trainer(start: dict, vocabulary: Vocabulary):
     return train
 
 
-def train(docs: DataFrame) -> tuple[dict, Vocabulary]:
+def train(docs: DataFrame, counts: DataFrame | None = None) -> tuple[dict, Vocabulary]:
     """The network averaged over all tasks, and the vocabulary."""
-    counts = written(count_words(docs), "word-counts")
+    counts = written(count_words(docs), "word-counts") if counts is None else counts
     top = counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()
-    total = docs.sparkSession.createDataFrame([(r["word"],) for r in top], "word string")
     words = [r["word"] for r in top]
-    rest = counts.join(F.broadcast(total), "word", "left_anti").groupBy(
-        F.pmod(F.crc32(F.encode("word", "utf-8")), F.lit(RARE)).cast("int").alias("bucket")).agg(F.sum("n").alias("n"))
+    rest = rare_counts(counts, words).groupBy(bucket().alias("bucket")).agg(F.sum("n").alias("n"))
     n = np.zeros(IDS)
     n[:len(words)] = [r["n"] for r in top]
     for r in rest.collect():
@@ -209,9 +237,9 @@ class Scorer:
             out[rows] += _log_softmax(h[rows] @ p["D"][k] + p["d"][k])[np.arange(len(rows)), within[rows]]
         return out
 
-    def score(self, texts) -> tuple[np.ndarray, np.ndarray]:
-        """(words, summed log-probability) of each text."""
-        n, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    def score(self, texts) -> tuple[np.ndarray, np.ndarray, list[str | None]]:
+        """(words, summed log-probability of their ids, words that share an id) of each text."""
+        n, total, rare = np.zeros(len(texts), np.int64), np.zeros(len(texts)), []
         held, size = [], 0
 
         def flush():
@@ -224,8 +252,9 @@ class Scorer:
                 np.add.at(total, row[at], self.log_probabilities(ids, at))
 
         for r, text in enumerate(texts):
-            ids = self.vocabulary.ids(text)
+            words, ids = self.vocabulary.split(text)
             n[r] = len(ids)
+            rare.append(b" ".join(compress(words, (ids >= WORDS).tolist())).decode() or None)
             if len(ids):
                 held.append((r, ids))
                 size += len(ids)
@@ -234,20 +263,30 @@ class Scorer:
                 held, size = [], 0
         if held:
             flush()
-        return n, total
+        return n, total, rare
 
 
-def language_model(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, log_prob (summed), mean_log_prob (a word)."""
-    scorer = Scorer(*train(docs))
+def scored(docs: DataFrame, scorer: Scorer, rare: DataFrame) -> DataFrame:
+    """The result for ``docs``; ``rare`` has the counts of the words that share an id."""
 
-    @F.pandas_udf("n_words long, log_prob double")
+    @F.pandas_udf("n_words long, log_prob double, rare string")
     def score(text: pd.Series) -> pd.DataFrame:
-        n, total = scorer.score([t if isinstance(t, str) else None for t in text])
-        return pd.DataFrame({"n_words": n, "log_prob": total})
+        n, total, rare = scorer.score([t if isinstance(t, str) else None for t in text])
+        return pd.DataFrame({"n_words": n, "log_prob": total, "rare": pd.Series(rare, dtype=object)})
+
+    rows = docs.select("doc_id", score(F.col("text")).alias("s")).select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "s.n_words", "s.log_prob", "s.rare")
+    rows = written(rows, "scored")
+    found = rows.drop("rare").join(within_buckets(rows, rare), "row", "left").drop("row")
+    found = found.withColumn("word_log_prob", F.col("log_prob") + F.coalesce("within", F.lit(0.0))).drop("within")
+    return found.withColumn("mean_log_prob", F.expr("try_divide(word_log_prob, n_words)"))
 
-    found = docs.select("doc_id", score(F.col("text")).alias("s")).select("doc_id", "s.n_words", "s.log_prob")
-    return found.withColumn("mean_log_prob", F.expr("try_divide(log_prob, n_words)"))
+
+def language_model(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, log_prob (summed over ids), word_log_prob (summed over words), mean_log_prob (a word)."""
+    counts = written(count_words(docs), "word-counts")
+    p, vocabulary = train(docs, counts)
+    return scored(docs, Scorer(p, vocabulary), rare_counts(counts, vocabulary.words))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -212,6 +212,35 @@ def test_language_model(spark, awkward, empty):
     assert language_model.language_model(empty).count() == 0
 
 
+def test_language_model_rare_words(spark):
+    """A word that shares its id counts with its own part of the id, and an unseen one with the smallest."""
+    docs = table(spark, SF, "documents")
+    counts = collections.Counter(w for r in docs.collect() for w in (r.text or "").encode().lower().split())
+    p, vocabulary = language_model.train(docs)
+    rare, words = collections.defaultdict(dict), set(vocabulary.words)
+    for w, n in counts.items():
+        if w.decode() not in words:
+            rare[zlib.crc32(w) % language_model.RARE][w] = n
+
+    def within(w):
+        if w.decode() in words:
+            return 0.0
+        own = rare[zlib.crc32(w) % language_model.RARE]
+        return np.log((own.get(w, 0) + 1) / (sum(own.values()) + len(own) + 1))
+
+    table_of = language_model.rare_counts(language_model.count_words(docs), vocabulary.words)
+    junk = "qzxv kkjq\nXXÜq wvvz qqqj zzzk vvxq jjkw qqxz zzvk"
+    texts = [docs.first().text, junk, None, "", "the the", docs.first().text]
+    trial = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in language_model.scored(trial, language_model.Scorer(p, vocabulary), table_of).collect()}
+    assert len(got) == 6 and got[2].word_log_prob == 0 and got[2].mean_log_prob is None
+    for i, t in enumerate(texts):
+        want = got[i].log_prob + sum(map(within, (t or "").encode().lower().split()))
+        assert abs(got[i].word_log_prob - want) < 1e-6 * max(1, abs(want))
+    rows = language_model.language_model(docs).where("n_words >= 50").collect()
+    assert got[1].mean_log_prob < np.quantile([r.mean_log_prob for r in rows], 0.02)
+
+
 def brute_components(rows, k, percent):
     sets = []
     for r in rows:
