@@ -11,8 +11,8 @@ of all counts by a join; the last 1 is for words never counted. ``log_prob`` is
 the sum over the ids, ``word_log_prob`` and its mean are those of the words.
 
 Training: each task runs Adam over the documents it reads, predicting every
-``EVERY``-th word of each document from its whole context, and returns its
-weights with the number of words they have seen; Spark averages them, weighted,
+word of each document from its whole context, ``BATCH`` words a step, and
+returns its weights with the number of words they have seen; Spark averages them, weighted,
 in one grouped sum. No document is left out, what is gathered grows with the
 input, and only the averaged network (a fixed number of floats) reaches the
 driver.
@@ -40,9 +40,8 @@ RARE = 64
 WORDS = IDS - RARE
 SIDE = 2
 EMBEDDING, HIDDEN = 16, 32
-EVERY = 8
-BATCH, RATE = 512, 0.005
-BLOCK = 1 << 16
+BATCH, RATE = 4096, 0.005
+BLOCK = 1 << 13
 KNOWN_LIMIT = 500_000  #: words whose ids a task remembers
 
 SHAPES = {"E": (IDS + 1, EMBEDDING), "W": (2 * SIDE, EMBEDDING, HIDDEN), "b": (HIDDEN,), "C": (HIDDEN, CLASSES),
@@ -123,35 +122,57 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = x - x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(1, keepdims=True)
+    return x
+
+
 def _by_class(of: np.ndarray):
     """Positions of each class that occurs."""
-    order = np.argsort(of, kind="stable")
+    order = np.argsort(of.astype(np.int16), kind="stable")  # 16 bits: sorted by digits
     cuts = np.searchsorted(of[order], np.arange(CLASSES + 1))
     return [(k, order[cuts[k]:cuts[k + 1]]) for k in range(CLASSES) if cuts[k] < cuts[k + 1]]
 
 
+def _summed(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sum of the ``rows`` of each id."""
+    out = np.zeros((IDS + 1, rows.shape[1]), rows.dtype)
+    order = np.argsort(ids.astype(np.int16), kind="stable")
+    of = ids[order]
+    first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+    out[of[first]] = np.add.reduceat(rows.take(order, axis=0), first, axis=0)
+    return out
+
+
 def step(p: dict, context: np.ndarray, target: np.ndarray) -> dict:
     """Gradients of the mean negative log-probability of ``target`` (n) given ``context`` (n, 2 SIDE)."""
     n = len(target)
-    e = p["E"][context]
-    h = np.tanh(np.einsum("nkd,kdh->nh", e, p["W"], optimize=True) + p["b"])
+    z = p["b"] + np.zeros((n, 1), np.float32)
+    for k in range(2 * SIDE):
+        z += (p["E"] @ p["W"][k]).take(context[:, k], axis=0)
+    h = np.tanh(z, out=z)
     of, within = target // WIDTH, target % WIDTH
     g = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-    top = np.exp(_log_softmax(h @ p["C"] + p["c"]))
+    top = _softmax(h @ p["C"] + p["c"])
     top[np.arange(n), of] -= 1
     top /= n
     g["C"], g["c"] = h.T @ top, top.sum(0)
     dh = top @ p["C"].T
     for k, at in _by_class(of):
-        low = np.exp(_log_softmax(h[at] @ p["D"][k] + p["d"][k]))
+        own = h.take(at, axis=0)
+        low = _softmax(own @ p["D"][k] + p["d"][k])
         low[np.arange(len(at)), within[at]] -= 1
         low /= n
-        g["D"][k], g["d"][k] = h[at].T @ low, low.sum(0)
+        g["D"][k], g["d"][k] = own.T @ low, low.sum(0)
         dh[at] += low @ p["D"][k].T
     dz = dh * (1 - h * h)
     g["b"] = dz.sum(0)
-    g["W"] = np.einsum("nkd,nh->kdh", e, dz, optimize=True)
-    np.add.at(g["E"], context.ravel(), np.einsum("nh,kdh->nkd", dz, p["W"], optimize=True).reshape(-1, EMBEDDING))
+    for k in range(2 * SIDE):
+        by_id = _summed(context[:, k], dz)
+        g["W"][k] = p["E"].T @ by_id
+        g["E"] += by_id @ p["W"][k].T
     return g
 
 
@@ -177,17 +198,16 @@ def _trainer(start: dict, vocabulary: Vocabulary):
         for pdf in batches:
             for text in pdf.text:
                 ids = vocabulary.ids(text if isinstance(text, str) else None)
-                at = np.arange(len(ids) % EVERY, len(ids), EVERY)  # the last word, and every EVERY-th before it
-                if len(at) == 0:
-                    at = np.arange(len(ids))
                 padded = _padded(ids)
-                held.append((np.stack([padded[at + SIDE + o] for o in OFFSETS], 1), ids[at]))
-                size += len(at)
-                while size >= BATCH:
-                    context, target = (np.concatenate(x) for x in zip(*held, strict=True))
-                    learn(context[:BATCH], target[:BATCH])
-                    seen, size = seen + BATCH, size - BATCH
-                    held = [(context[BATCH:], target[BATCH:])]
+                for a in range(0, len(ids), BATCH):
+                    at = np.arange(a, min(a + BATCH, len(ids)))
+                    held.append((np.stack([padded[at + SIDE + o] for o in OFFSETS], 1), ids[at]))
+                    size += len(at)
+                    if size >= BATCH:
+                        context, target = (np.concatenate(x) for x in zip(*held, strict=True))
+                        learn(context[:BATCH], target[:BATCH])
+                        seen, size = seen + BATCH, size - BATCH
+                        held = [(context[BATCH:], target[BATCH:])]
         if size:
             learn(*(np.concatenate(x) for x in zip(*held, strict=True)))
             seen += size
@@ -227,14 +247,14 @@ class Scorer:
 
     def log_probabilities(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
         p = self.p
-        z = self.tables[0][padded[at + OFFSETS[0]]] + p["b"]
+        z = self.tables[0].take(padded[at + OFFSETS[0]], axis=0) + p["b"]
         for k in range(1, 2 * SIDE):
-            z += self.tables[k][padded[at + OFFSETS[k]]]
-        h, target = np.tanh(z), padded[at]
+            z += self.tables[k].take(padded[at + OFFSETS[k]], axis=0)
+        h, target = np.tanh(z, out=z), padded[at]
         of, within = target // WIDTH, target % WIDTH
         out = _log_softmax(h @ p["C"] + p["c"])[np.arange(len(at)), of].astype(np.float64)
         for k, rows in _by_class(of):
-            out[rows] += _log_softmax(h[rows] @ p["D"][k] + p["d"][k])[np.arange(len(rows)), within[rows]]
+            out[rows] += _log_softmax(h.take(rows, axis=0) @ p["D"][k] + p["d"][k])[np.arange(len(rows)), within[rows]]
         return out
 
     def score(self, texts) -> tuple[np.ndarray, np.ndarray, list[str | None]]:

@@ -241,6 +241,43 @@ def test_language_model_rare_words(spark):
     assert got[1].mean_log_prob < np.quantile([r.mean_log_prob for r in rows], 0.02)
 
 
+def test_language_model_trains_on_every_word(monkeypatch):
+    """Each word of each document is a target once, with the words around it, and the gradients are exact."""
+    import pandas as pd
+
+    seen, step = [], language_model.step
+    monkeypatch.setattr(language_model, "BATCH", 64)
+    monkeypatch.setattr(language_model, "step", lambda p, c, t: seen.extend(map(tuple, np.column_stack((c, t)))) or step(p, c, t))
+    texts = [" ".join(f"w{i * i % 89}" for i in range(n)) for n in (1, 7, 300, 64)] + [None, ""]
+    vocabulary = language_model.Vocabulary([f"w{i}" for i in range(60)])
+    start = language_model.initial(np.ones(language_model.IDS))
+    (out,) = language_model._trainer(start, vocabulary)([pd.DataFrame({"text": texts})])
+    want = []
+    for t in texts:
+        x = language_model._padded(vocabulary.ids(t))
+        want += [(x[i - 2], x[i - 1], x[i + 1], x[i + 2], x[i]) for i in range(2, len(x) - 2)]
+    assert sorted(seen) == sorted(want) and out.n[0] == len(want) == 372
+
+    p = {k: v.astype(np.float64) for k, v in start.items()}
+    context, target = np.array([w[:4] for w in want]), np.array([w[4] for w in want])
+
+    def loss():
+        h = np.tanh(sum(p["E"][context[:, k]] @ p["W"][k] for k in range(4)) + p["b"])
+        c, d = target // language_model.WIDTH, target % language_model.WIDTH
+        top = language_model._log_softmax(h @ p["C"] + p["c"])[np.arange(len(c)), c]
+        low = language_model._log_softmax(np.einsum("nh,nhw->nw", h, p["D"][c]) + p["d"][c])[np.arange(len(c)), d]
+        return -(top + low).mean()
+
+    g = step(p, context, target)
+    for k, at in (("E", (3, 5)), ("E", (language_model.IDS, 2)), ("W", (0, 4, 7)), ("W", (3, 1, 1)), ("b", (9,)),
+                  ("C", (2, 1)), ("D", (1, 4, 6))):
+        p[k][at] += 1e-5
+        up = loss()
+        p[k][at] -= 2e-5
+        assert abs((up - loss()) / 2e-5 - g[k][at]) < 1e-6 + 1e-3 * abs(g[k][at])
+        p[k][at] += 1e-5
+
+
 def brute_components(rows, k, percent):
     sets = []
     for r in rows:
