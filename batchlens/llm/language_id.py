@@ -11,6 +11,11 @@ language (chosen by a hash of the row); of those only the fixed-size frequency
 vectors reach the driver. Languages missing from ``FAMILIES`` form a family of
 their own; the languages are those that occur in the labelled rows.
 
+The filter also asks how well a text's trigrams fit the language found, as no
+machine has seen text of other languages: their mean log frequency in the
+language's training rows must come closer to the median of these rows than to
+random trigrams, or at least reach the lowest hundredth of these rows.
+
 Defined results: NULL text or text without a letter is ``und`` with score 0;
 without labelled rows every text is; ties go to the language that sorts first;
 equal rows get equal results; an empty table gives an empty result. Each row is
@@ -40,6 +45,8 @@ FEW = 256  #: sample rows whose frequencies are held at once
 UNKNOWN = "und"
 #: Documents below this score are rejected by the filter.
 MIN_SCORE = 0.2
+#: Added to a trigram's frequency in a language.
+FLOOR = 1e-6
 LETTER = re.compile(r"[^\W\d_]")
 
 #: Bytes to bytes: ASCII letters in lower case, other ASCII as spaces, the rest as it is.
@@ -138,14 +145,36 @@ class Model:
             fits.append(linear_svm(z[on], np.where(label[on] == a, 1, -1)))
         self.weights = np.stack([w * scale for w, _ in fits], 1).astype(np.float32)
         self.bias = np.array([b for _, b in fits])
+        self.fit = np.stack([np.log(x[label == a].mean(0) + FLOOR) for a in self.languages], 1).astype(np.float32)
+        #: Lowest mean log frequency that the filter accepts for each language.
+        self.least = []
+        for i, a in enumerate(self.languages):
+            own = x[label == a] @ self.fit[:, i]
+            self.least.append(min((np.median(own) + self.fit[:, i].mean()) / 2, np.quantile(own, 0.01)))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        plain = [t if t is not None and LETTER.search(t) else "" for t in texts]
-        m = margins(plain, self.weights) + self.bias
+        plain = self._plain(texts)
+        return self._named(plain, margins(plain, self.weights) + self.bias)
+
+    def accepts(self, texts: list[str | None]) -> np.ndarray:
+        """Whether each text has a language, a score of MIN_SCORE and trigrams that fit the language."""
+        plain = self._plain(texts)
+        m = margins(plain, np.hstack([self.weights, self.fit]))
+        n = len(self.bias)
+        names, scores = self._named(plain, m[:, :n] + self.bias)
+        at = [self.languages.index(a) if a != UNKNOWN else -1 for a in names]
+        return np.array([k >= 0 and scores[i] >= MIN_SCORE and m[i, n + k] >= self.least[k] for i, k in enumerate(at)],
+                        bool)
+
+    @staticmethod
+    def _plain(texts: list[str | None]) -> list[str]:
+        return [t if t is not None and LETTER.search(t) else "" for t in texts]
+
+    def _named(self, plain: list[str], m: np.ndarray) -> tuple[list[str], np.ndarray]:
         sure = 1 / (1 + np.exp(-4 * np.clip(m, -20, 20)))
         n = len(self.families)
         best = m[:, :n].argmax(1)
-        names, scores = [], np.zeros(len(texts))
+        names, scores = [], np.zeros(len(plain))
         for i, text in enumerate(plain):
             if not text:
                 names.append(UNKNOWN)
@@ -216,8 +245,15 @@ def language_id(docs: DataFrame) -> DataFrame:
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """Rows whose language is recognised, with the columns of ``docs``."""
-    p = predictor(train(docs))(docs["text"])
-    return docs.where((p["lang_pred"] != UNKNOWN) & (p["score"] >= MIN_SCORE))
+    model = train(docs)
+
+    @F.pandas_udf("boolean")
+    def accepted(text: pd.Series) -> pd.Series:
+        if model is None:
+            return pd.Series(np.zeros(len(text), bool))
+        return pd.Series(model.accepts([t if isinstance(t, str) else None for t in text]))
+
+    return docs.where(accepted(docs["text"]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

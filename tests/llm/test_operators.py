@@ -67,6 +67,25 @@ def test_language_id(spark, awkward, empty):
     language_id.SLICE = size
 
 
+def test_language_filter_rejects(spark):
+    """Text in another language and letter gibberish go, held-out rows stay."""
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    texts = [" ".join("".join(rng.choice(letters, rng.integers(2, 10))) for _ in range(80)) for _ in range(20)]
+    texts += [x * 4 for x in (
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki. ",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. ",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler. ",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. ",
+        "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. ")]
+    other = spark.createDataFrame([(10_000_000 + i, x, None) for i, x in enumerate(texts)], "doc_id long, text string, lang string")
+    left = collections.Counter(r.doc_id for r in language_id.filter_documents(docs.unionByName(other)).collect())
+    clean = [r.doc_id for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 4 == 2 and len((r.text or "").split()) >= 50]
+    assert len(clean) > 20 and all(left[d] for d in clean)
+    assert not [d for d in left if d >= 10_000_000]
+
+
 def test_quality_model(spark, awkward, empty):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     got = quality_model.quality_model(docs, labels).join(labels, "doc_id").collect()
