@@ -511,8 +511,8 @@ def links(docs: DataFrame, described: DataFrame, clusters: DataFrame, k: int, pe
     return _tiled(rows, solve)
 
 
-def parity_join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, k (tells rows of one doc_id apart), n_shingles, component_id of every row."""
+def grouped(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, k (tells rows of one doc_id apart), n_shingles, root (of the group; NULL without shingles) of every row."""
     docs = docs.select("doc_id", "text")
     described = written(sets(docs, k), "shingle-sets")
     rows = described.count()
@@ -520,33 +520,40 @@ def parity_join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     clusters = components(candidate_edges(entries, described, percent))
     found = components(links(docs, described, clusters, k, percent))
     group = F.coalesce("root", "node")
-    grouped = described.join(found, "node", "left").select("doc_id", "k", "n_shingles", group.alias("root"))
-    least = grouped.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return grouped.join(least, "root", "left").select(
+    return described.join(found, "node", "left").select("doc_id", "k", "n_shingles", group.alias("root"))
+
+
+def parity_join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, k, n_shingles, component_id (the group's smallest doc_id) of every row."""
+    rows = grouped(docs, k, percent)
+    least = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
+    return rows.join(least, "root", "left").select(
         "doc_id", "k", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each group stays, that with the smallest doc_id; the columns of ``docs``."""
-    found = written(parity_join(docs, k, percent).select("doc_id", "k", "component_id"), "groups")
-    gone = found.where("doc_id != component_id OR doc_id IS NULL AND component_id IS NOT NULL").select(
-        F.col("doc_id").alias("gone_id"), F.col("k").alias("gone_k")).distinct()
+    """One row of each group stays, that with the smallest doc_id (NULL last), then the smallest k; the columns of
+    ``docs``. Rows without shingles stay."""
+    found = written(grouped(docs, k, percent).where("root IS NOT NULL").select("doc_id", "k", "root"), "groups")
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k")).alias("r"),
+                                      F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = written(first.select("root", F.col("r.doc_id").alias("first_id"), F.col("r.k").alias("first_k")), "first")
+    linked = found.join(broadcast_if_small(first, first.count(), BROADCAST_ROWS), "root")
+    is_first = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("k") == F.col("first_k"))
+    gone = linked.where(~is_first).select(F.col("doc_id").alias("gone_id"), F.col("k").alias("gone_k")).distinct()
     gone = broadcast_if_small(gone, gone.count(), BROADCAST_ROWS)
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"])
-                     & (F.xxhash64(docs["doc_id"], docs["text"]) == gone["gone_k"]), "left_anti")
-    again = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    # rows that share the smallest doc_id of a group: the one with the smallest text stays
-    return left if again.isEmpty() else _one_each(left, found)
+    key = F.xxhash64(docs["doc_id"], docs["text"])
+    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (key == gone["gone_k"]), "left_anti")
+    again = linked.where(is_first).groupBy(F.col("doc_id").alias("one_id"), F.col("k").alias("one_k")).agg(
+        F.count(F.lit(1)).alias("n")).where("n > 1")
+    # the row that stays, several times
+    return left if again.isEmpty() else _one_each(left, written(again, "again"))
 
 
-def _one_each(docs: DataFrame, found: DataFrame) -> DataFrame:
-    linked = found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("k").alias("least"),
-                                                                        F.count(F.lit(1)).alias("n")).where("n > 1")
-    linked = linked.select(F.col("doc_id").alias("one_id"), "least")
-    key = F.xxhash64(docs["doc_id"], docs["text"])
-    known = docs.join(linked, docs["doc_id"] == linked["one_id"], "left_anti")
-    first = docs.join(linked, (docs["doc_id"] == linked["one_id"]) & (key == linked["least"]), "left_semi")
-    return known.unionByName(first.dropDuplicates(["doc_id"]))
+def _one_each(docs: DataFrame, again: DataFrame) -> DataFrame:
+    same = docs["doc_id"].eqNullSafe(again["one_id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == again["one_k"])
+    first = docs.join(again, same, "left_semi")
+    return docs.join(again, same, "left_anti").unionByName(first.dropDuplicates(["doc_id", "text"]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -326,6 +326,27 @@ def test_parity_join(spark, awkward, empty, k, percent):
     assert parity_join.parity_join(empty, k, percent).count() == 0
 
 
+def test_near_copies_of_repeated_and_null_ids(spark, awkward):
+    """One row of each group of texts stays, whatever the ids are."""
+    words = {c: [f"{c}{i}" for i in range(60)] for c in "abcdef"}
+    text = {c: " ".join(w) for c, w in words.items()}
+    near = {c: " ".join([*w[:-1], "other"]) for c, w in words.items()}
+    rows = [(1, text["a"]), (1, text["b"]), (1, text["c"]), (2, near["a"]), (1, text["b"]),  # an id with three texts
+            (None, text["d"]), (None, near["d"]), (None, text["d"]),  # copies without ids
+            (None, text["e"]), (9, near["e"]), (None, text["f"]), (None, text["f"]),
+            (3, None), (3, None), (None, ""), (4, "  ")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, k string")
+    out = parity_join.drop_near_copies(docs)
+    assert out.columns == docs.columns
+    got = collections.Counter((r.doc_id, r.text) for r in out.collect())
+    one_d = [t for t in (text["d"], near["d"]) if (None, t) in got]
+    assert len(one_d) == 1
+    assert got == collections.Counter([(1, text["a"]), (1, text["b"]), (1, text["c"]), (None, one_d[0]), (9, near["e"]),
+                                       (None, text["f"]), (3, None), (3, None), (None, ""), (4, "  ")])
+    left = collections.Counter(r.doc_id for r in parity_join.drop_near_copies(awkward).collect())
+    assert left[11] == 2 and left[None] == 1 and left[6] + left[7] == 1 and left[9] + left[10] == 1
+
+
 def test_sketch_loses_no_link():
     """Sets at the threshold always share a key and always pass the sketch distance."""
     rng = np.random.default_rng(3)
