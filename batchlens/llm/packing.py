@@ -5,7 +5,9 @@ into the open bin they leave the least room in, or else into a new bin of the
 size that costs least for each token it can still receive (``cost``: a share
 for each sequence, one for each token and one that grows with attention). When
 all pieces are placed, each bin shrinks to the smallest permitted length that
-holds its contents. Documents longer than the largest length are cut.
+holds its contents. Documents longer than the largest length are cut. Lengths
+are words, not token ids; a word counts once for each ``LONGEST`` characters
+begun, so text without blanks has its length too.
 
 Pieces are dealt by a hash of their document to blocks of about ``BLOCK``
 pieces, which are packed independently, each in bounded memory: what is lost is
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 
 from batchlens.llm.common import SPACE_WORD, table
 
+LONGEST = 64  #: characters of a word that count as one
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 BLOCK = 20_000
 SEQUENCE_COST = 64.0  #: tokens' worth of work that every sequence takes
@@ -68,9 +71,9 @@ def pack(lengths: list[int], capacities=CAPACITIES) -> list[tuple[int, int, int,
 
 
 def pieces(docs: DataFrame, capacities=CAPACITIES) -> DataFrame:
-    """doc_id, piece, start, length: words and an end mark, cut at the largest capacity."""
+    """doc_id, piece, start, length: words (long ones in parts) and an end mark, cut at the largest capacity."""
     most = max(capacities)
-    n = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(SPACE_WORD)) + 1
+    n = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(f"{SPACE_WORD[:-1]}{{1,{LONGEST}}}")) + 1
     return (docs.select("doc_id", n.cast("long").alias("n"))
             .select("doc_id", "n", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / most).cast("int"))).alias("piece"))
             .select("doc_id", "piece", (F.col("piece").cast("long") * most).alias("start"),

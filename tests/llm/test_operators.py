@@ -169,6 +169,17 @@ def test_packing(spark, awkward, empty):
     assert packing.best_fit(empty).count() == 0
 
 
+def test_packing_of_long_words(spark):
+    """Text without blanks counts by its characters and is cut like any other."""
+    texts = ["x" * 64, "x" * 65, "語" * 1_000_000, "a " + "b" * 640 + "\nc"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    total, most = collections.Counter(), 0
+    for r in packing.best_fit(docs).collect():
+        total[r.doc_id] += r.length
+        most = max(most, r.length)
+    assert total == {0: 2, 1: 3, 2: 15_626, 3: 13} and most == 8192
+
+
 def test_packing_is_best_fit():
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 900, 300).tolist()
