@@ -61,3 +61,9 @@ def same_row(a: DataFrame, b: DataFrame) -> Column:
 def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     """A broadcast hint only where the counted rows stay within ``limit``."""
     return F.broadcast(df) if rows <= limit else df
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Removes a scratch table of ``work_path`` that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
