@@ -191,7 +191,7 @@ def oracle() -> str:
     def assigned(n: int) -> str:
         return f"""a{n} AS MATERIALIZED (SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min([d, j]) AS near
             FROM (SELECT r, vec_id, v, j, CAST(list_sum(list_transform(list_zip(v, c),
-                  z -> (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM kept, c{n}) GROUP BY r)"""
+                  lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM kept, c{n}) GROUP BY r)"""
 
     steps = []
     for n in range(ROUNDS):
@@ -204,9 +204,9 @@ def oracle() -> str:
     rounds = ",\n".join(steps)
     return f"""WITH kept AS MATERIALIZED (
         SELECT row_number() OVER () AS r, vec_id,
-               list_transform(embedding, x -> CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+               list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
         FROM embeddings WHERE len(embedding) = {COMPONENTS}
-          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('{SEED}:' || vec_id), v) - 1 AS BIGINT) AS j, v AS c
         FROM kept QUALIFY j < {K}),
     {rounds}

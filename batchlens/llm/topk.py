@@ -213,8 +213,8 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 ORACLE = f"""WITH kept AS MATERIALIZED (
-    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> floor({SCALE} * CAST(x AS DOUBLE))) AS v
-    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0)
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
 SELECT q.vec_id AS query_id,
        CAST(row_number() OVER (PARTITION BY q.r ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id) AS INTEGER) AS rank,
        c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score

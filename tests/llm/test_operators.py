@@ -38,7 +38,7 @@ def empty(spark):
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     cur = con.execute(queries.ORACLES[name])
