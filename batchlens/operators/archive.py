@@ -6,7 +6,7 @@ Inputs are file listings ``FileNM`` (plus optionally ``ModifiedDTS``); see
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.session import as_of_literal
@@ -40,13 +40,23 @@ def snapshot_index(files: DataFrame, name_col: str = "FileNM") -> DataFrame:
         .orderBy(F.desc("timestamp"), "filename"))
 
 
-def snapshot_index_json(index: DataFrame) -> DataFrame:
-    """SNK-3: the index of each series as one JSON array (newest first);
-    a series always yields an array."""
+def snapshot_stamp(ts=None) -> Column:
+    """F-14: the stamp of a snapshot's file names, yyyyMMdd_HHmm, of a time (the as_of time by default)."""
+    return F.date_format(as_of_literal() if ts is None else ts, "yyyyMMdd_HHmm")
+
+
+def snapshot_index_json(index: DataFrame, series: DataFrame | None = None) -> DataFrame:
+    """SNK-3: the index of each series as one JSON array (newest first), the
+    document that a page embeds. ``series`` (SeriesNM) names the series wanted;
+    one without snapshots yields ``[]``."""
     entry = F.struct(F.col("timestamp").alias("_ts"), "filename", "htmlFile", "date", "time",
                      "timeFormatted", "timestamp")
     g = index.groupBy("SeriesNM").agg(F.sort_array(F.collect_list(entry), asc=False).alias("_a"))
-    return g.select("SeriesNM", F.to_json(F.transform("_a", lambda s: s.dropFields("_ts"))).alias("SnapshotsJSON"))
+    g = g.select("SeriesNM", F.to_json(F.transform("_a", lambda s: s.dropFields("_ts"))).alias("SnapshotsJSON"))
+    if series is None:
+        return g
+    return (series.select("SeriesNM").distinct().join(g, "SeriesNM", "left")
+            .select("SeriesNM", F.coalesce("SnapshotsJSON", F.lit("[]")).alias("SnapshotsJSON")))
 
 
 def snapshots_per_day(index: DataFrame) -> DataFrame:
@@ -55,10 +65,16 @@ def snapshots_per_day(index: DataFrame) -> DataFrame:
 
 
 def expired_files(files: DataFrame, as_of: str | None = None, days: int = 90,
-                  name_col: str = "FileNM", time_col: str | None = None) -> DataFrame:
+                  name_col: str = "FileNM", time_col: str | None = None, graph: str | None = None,
+                  environment: str | None = None) -> DataFrame:
     """JOB-15: files older than ``days`` before as_of (by modification time
-    when given, else by the name's snapshot stamp). Returns the list;
-    deleting is left to the caller."""
+    when given, else by the name's snapshot stamp), of one ``graph`` and
+    ``environment`` if given: names ``<graph>_<environment>...`` with a stamp of
+    this century. Returns the list; deleting is left to the caller."""
+    if graph is not None or environment is not None:
+        name = F.col(name_col)
+        files = files.filter(name.startswith(f"{graph}_{environment or ''}") if graph is not None
+                             else name.contains(f"_{environment}")).filter(name.contains("_20"))
     x = with_stamp(files, name_col)
     ts = F.col(time_col) if time_col else F.col("SnapshotDTS")
     cutoff = as_of_literal(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")

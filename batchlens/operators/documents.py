@@ -11,6 +11,8 @@ ATTRIBUTE = T.StructType([
     T.StructField("ObjectId", T.LongType()), T.StructField("Id", T.LongType()),
     T.StructField("AttributeName", T.StringType()), T.StructField("AttributeValue", T.StringType())])
 
+CORRUPT = "_corrupt_record"  # text of a document that is no JSON
+
 # Declared schema of a source-binding document; absent fields read as NULL.
 BINDING_SCHEMA = T.StructType([
     T.StructField("Id", T.LongType()), T.StructField("DestinationEntityId", T.LongType()),
@@ -20,21 +22,30 @@ BINDING_SCHEMA = T.StructType([
     T.StructField("GroupingColumn", T.StringType()), T.StructField("GroupingFormat", T.StringType()),
     T.StructField("ContentId", T.StringType()), T.StructField("BindingType", T.StringType()),
     T.StructField("GrainName", T.StringType()), T.StructField("LoadTypeCode", T.StringType()),
+    # a linked object, or its name: an object is kept as its JSON text
+    T.StructField("DestinationEntity", T.StringType()), T.StructField("DataMart", T.StringType()),
+    T.StructField("SourceConnection", T.StringType()),
     T.StructField("AttributeValues", T.ArrayType(ATTRIBUTE)),
     T.StructField("SourcedByEntities", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
     T.StructField("IncrementalConfigurations", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
     T.StructField("ObjectRelationships", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
+    T.StructField(CORRUPT, T.StringType()),
 ])
 
 CORE_FIELDS = ["Id", "DestinationEntityId", "DataMartId", "Name", "Classification", "Description", "Status",
                "SourceConnectionId", "GroupingColumn", "GroupingFormat", "ContentId", "BindingType", "GrainName",
-               "LoadTypeCode"]
+               "LoadTypeCode", "DestinationEntity", "DataMart", "SourceConnection"]
+# name of each nested table and its field
+NESTED = {"sourced_by": "SourcedByEntities", "incremental": "IncrementalConfigurations",
+          "relationships": "ObjectRelationships"}
 
 
-def read_bindings(spark, path: str) -> DataFrame:
-    """SRC-3: binding documents (one JSON document per file) with the
-    declared schema; no inference pass over the data."""
-    return spark.read.schema(BINDING_SCHEMA).option("multiLine", True).json(path)
+def read_bindings(spark, path: str, one_per_line: bool = False) -> DataFrame:
+    """SRC-3: binding documents (one JSON document per file, or per line,
+    which splits large files) with the declared schema; no inference pass over
+    the data. What is no JSON is kept in the corrupt-record column."""
+    return (spark.read.schema(BINDING_SCHEMA).option("multiLine", not one_per_line)
+            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
 
 
 def flatten_bindings(docs: DataFrame) -> dict[str, DataFrame]:
@@ -45,13 +56,36 @@ def flatten_bindings(docs: DataFrame) -> dict[str, DataFrame]:
     attrs = (docs.select(F.col("Id").alias("BindingId"), F.explode_outer("AttributeValues").alias("a"))
              .filter(F.col("a").isNotNull()).select("BindingId", "a.*"))
     out = {"core": core, "attributes": attrs}
-    for name, col in (("sourced_by", "SourcedByEntities"), ("incremental", "IncrementalConfigurations"),
-                      ("relationships", "ObjectRelationships")):
+    for name, col in NESTED.items():
         out[name] = (docs.select(F.col("Id").alias("BindingId"), F.posexplode(col).alias("Pos", "e"))
                      .select("BindingId", "Pos", F.explode("e").alias("Key", "Value")))
     return out
 
 
+def flatten_all(docs: DataFrame) -> DataFrame:
+    """JOB-24, all tables in one pass over the documents: (BindingId, TableNM,
+    Pos, FieldNM, ValueTXT). A document becomes one array of its core fields and
+    of the fields of all its nested records, exploded once; absent core fields
+    are NULL, and a text that is no JSON is the only row of its document."""
+    def cell(table: str, pos, name, value):
+        return F.struct(F.lit(table).alias("TableNM"), pos.cast("int").alias("Pos"), name.alias("FieldNM"),
+                        value.cast("string").alias("ValueTXT"))
+
+    zero = F.lit(0)
+    parts = [F.array(*[cell("core", zero, F.lit(c), F.col(c)) for c in CORE_FIELDS])]
+    parts.append(F.flatten(F.transform(F.col("AttributeValues"), lambda a, i: F.array(
+        *[cell("attributes", i, F.lit(f.name), a[f.name]) for f in ATTRIBUTE.fields]))))
+    def records(name: str, col: str):
+        return F.flatten(F.transform(F.col(col), lambda e, i: F.transform(
+            F.map_entries(e), lambda kv: cell(name, i, kv["key"], kv["value"]))))
+
+    parts += [records(name, col) for name, col in NESTED.items()]
+    empty = F.array().cast("array<struct<TableNM:string,Pos:int,FieldNM:string,ValueTXT:string>>")
+    cells = F.when(F.col(CORRUPT).isNotNull(), F.array(cell("corrupt", zero, F.lit(CORRUPT), F.col(CORRUPT)))).otherwise(
+        F.concat(*[F.coalesce(p, empty) for p in parts]))
+    return docs.select(F.col("Id").alias("BindingId"), F.inline(cells))
+
+
 def pivot_attributes(attrs: DataFrame) -> DataFrame:
     """Optional attribute pivot: one row per binding, one column per
     attribute name (names collected by Spark's pivot)."""

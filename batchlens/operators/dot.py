@@ -34,6 +34,8 @@ RE_STYLE = r'style="(\w+)"'
 RE_HREF = r'href="([^"]*)"'
 RE_TS = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})"
 RE_FILE = r"([^/\\]+)\.gv$"
+RE_ENV_FOLDER = r"/env=([^/]+)/"
+RE_STAMP_FOLDER = r"/snapshot_ts=(\d{8})_(\d{4})/"
 RE_FILE_STAMP = r"_(\d{8})_(\d{4})\.gv$"
 
 
@@ -107,15 +109,24 @@ def parse_dot_edges(lines: DataFrame, text_col: str = "value") -> DataFrame:
 
 
 def read_dot_archive(spark, path: str) -> tuple[DataFrame, DataFrame]:
-    """JOB-11 / SRC-4: read every DOT file under ``path`` (a glob is fine);
-    environment and snapshot time come from the file name
+    """JOB-11 / SRC-4: nodes and edges of every DOT file under ``path`` (a glob
+    is fine), each with the graph, environment and snapshot time it comes from.
+
+    They are columns of the source: from the file name
     ``<name>_<server>_<yyyyMMdd>_<HHmm>.gv`` (NULL snapshot for the 'latest'
-    copy without a stamp)."""
-    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("FilePath"))
+    copy without a stamp), or from the folders ``env=<server>`` and
+    ``snapshot_ts=<yyyyMMdd>_<HHmm>`` that ``sinks.write_graph_snapshot`` writes.
+    Lines are parsed where they are read, so files of any number and size are
+    split over tasks."""
+    raw = spark.read.option("recursiveFileLookup", "true").text(path).select("value", F.col("_metadata.file_path").alias("FilePath"))
     fname = F.regexp_extract("FilePath", RE_FILE, 1)
     stamp = F.concat(F.regexp_extract("FilePath", RE_FILE_STAMP, 1), F.regexp_extract("FilePath", RE_FILE_STAMP, 2))
+    env = F.nullif(F.regexp_extract("FilePath", RE_ENV_FOLDER, 1), F.lit(""))
+    folder_stamp = F.concat(F.regexp_extract("FilePath", RE_STAMP_FOLDER, 1), F.regexp_extract("FilePath", RE_STAMP_FOLDER, 2))
+    graph = F.nullif(F.regexp_extract(fname, r"^(.*?)(?:_\d{8}_\d{4})?$", 1), F.lit(""))
     raw = raw.select(
-        "value", "FilePath",
-        F.regexp_extract(fname, r"^(.*?)(?:_\d{8}_\d{4})?$", 1).alias("GraphNM"),
-        F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMddHHmm")).alias("SnapshotDTS"))
+        "value", "FilePath", graph.alias("GraphNM"),
+        F.coalesce(F.nullif(F.regexp_extract(graph, r"_([^_]+)$", 1), F.lit("")), env).alias("EnvironmentNM"),
+        F.try_to_timestamp(F.coalesce(F.nullif(stamp, F.lit("")), F.nullif(folder_stamp, F.lit(""))),
+                           F.lit("yyyyMMddHHmm")).alias("SnapshotDTS"))
     return parse_dot_nodes(raw), parse_dot_edges(raw)

@@ -8,12 +8,11 @@ node names that way)."""
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.operators.sequence import MISSED, MISSED_UNSCHEDULED
+from batchlens.session import ensure_checkpoint_dir
 
 def not_run_seeds(nodes: DataFrame) -> DataFrame:
     """Nodes whose label says 'Did not run today'."""
@@ -67,22 +66,39 @@ def adjacency(edges: DataFrame) -> DataFrame:
 
 
 def view_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """A-11: seeds, visible nodes and visible edges per filtered view -- one
-    conditional aggregate per view over tagged rows (no joins)."""
-    out = None
-    for name, seeds in (("NotRun", not_run_seeds(nodes)), ("BrokenRefs", broken_seeds(nodes))):
-        vn, ve = filtered_view(nodes, edges, seeds)
-        tagged = (seeds.select(F.lit("seed").alias("kind"), F.lower("NodeKey").alias("k"))
-                  .unionByName(vn.select(F.lit("node").alias("kind"), F.lower("NodeKey").alias("k")))
-                  .unionByName(ve.select(F.lit("edge").alias("kind"), F.lit(None).cast("string").alias("k"))))
-        row = tagged.agg(
-            F.countDistinct(F.when(F.col("kind") == "seed", F.col("k"))).alias("SeedCNT"),
-            F.countDistinct(F.when(F.col("kind") == "node", F.col("k"))).alias("NodeCNT"),
-            F.count(F.when(F.col("kind") == "node", 1)).alias("NodeRowCNT"),
-            F.count(F.when(F.col("kind") == "edge", 1)).alias("EdgeCNT")).select(
-            F.lit(name).alias("ViewNM"), "SeedCNT", "NodeCNT", "NodeRowCNT", "EdgeCNT")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """A-11: seeds, visible nodes and visible edges per filtered view.
+
+    Both views are counted together: keys are reduced to one row with a flag
+    for each view, the flags travel along the edges once, and one aggregate
+    counts both. No view is built."""
+    views = {"NotRun": F.col("RunStatusCD").isin(MISSED, MISSED_UNSCHEDULED),
+             "BrokenRefs": F.col("BrokenMartFLG") | F.col("BrokenBatchFLG")}
+    names = list(views)
+    # one row a key: how many node rows it has, and whether it is a seed of each view
+    keys = nodes.groupBy(F.lower("NodeKey").alias("k")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.max(F.coalesce(c, F.lit(False))).alias(f"s{i}") for i, c in enumerate(views.values())])
+    seeds = [f"s{i}" for i in range(len(names))]
+    e = edges.select(F.lower("FromNodeKey").alias("p"), F.lower("ToNodeKey").alias("c"))
+    seeded = keys.filter(F.greatest(*[F.col(x).cast("int") for x in seeds]) == 1).select("k", *seeds)
+    # a key is visible if it is a seed or the parent of one
+    parents = e.join(seeded, F.col("c") == F.col("k")).select(F.col("p").alias("k"), *seeds)
+    visible = seeded.unionByName(parents).groupBy("k").agg(*[F.max(x).alias(f"v{x[1:]}") for x in seeds])
+    node_rows = keys.join(visible, "k", "left").select(
+        *[F.coalesce(F.col(x), F.lit(False)).alias(x) for x in seeds],
+        *[F.coalesce(F.col(f"v{i}"), F.lit(False)).alias(f"v{i}") for i in range(len(names))], "n", F.lit(0).alias("e"))
+    ends = [visible.select(F.col("k").alias(x), *[F.col(f"v{i}").alias(f"{x}{i}") for i in range(len(names))]) for x in "pc"]
+    edge_rows = e.join(ends[0], "p").join(ends[1], "c").select(
+        *[F.lit(False).alias(x) for x in seeds],
+        *[(F.col(f"p{i}") & F.col(f"c{i}")).alias(f"v{i}") for i in range(len(names))], F.lit(0).cast("bigint").alias("n"), F.lit(1).alias("e"))
+    one = node_rows.unionByName(edge_rows).agg(*[
+        x for i in range(len(names)) for x in (
+            F.count(F.when(F.col(f"s{i}"), 1)).alias(f"SeedCNT{i}"),
+            F.count(F.when(F.col(f"v{i}") & (F.col("e") == 0), 1)).alias(f"NodeCNT{i}"),
+            F.coalesce(F.sum(F.when(F.col(f"v{i}"), F.col("n"))), F.lit(0)).alias(f"NodeRowCNT{i}"),
+            F.count(F.when(F.col(f"v{i}") & (F.col("e") == 1), 1)).alias(f"EdgeCNT{i}"))])
+    counts = ["SeedCNT", "NodeCNT", "NodeRowCNT", "EdgeCNT"]
+    return one.select(F.inline(F.array(*[F.struct(F.lit(v).alias("ViewNM"), *[F.col(f"{c}{i}").alias(c) for c in counts])
+                                         for i, v in enumerate(names)])))
 
 
 def _node_state(nodes: DataFrame) -> DataFrame:
@@ -127,44 +143,59 @@ def edge_diff(old: DataFrame, new: DataFrame) -> DataFrame:
              .filter(F.col("ChangeCD").isNotNull()))
 
 
-_chain_ids = itertools.count()
+def _links(edges: DataFrame, direction: str) -> DataFrame:
+    src, dst = ("ToNodeKey", "FromNodeKey") if direction == "up" else ("FromNodeKey", "ToNodeKey")
+    return edges.select(F.lower(src).alias("a"), F.lower(dst).alias("b")).distinct()
 
 
 def upstream_chain(edges: DataFrame, seeds: DataFrame | None = None, max_depth: int | None = None,
                    direction: str = "up") -> DataFrame:
     """JOB-14: every ancestor (``direction='up'``) or descendant of each seed
-    with its shortest depth.
-
-    A recursive CTE run inside the engine: each step extends the walks by
-    one edge and de-duplicates (seed, node, depth) within the step, so
-    converging paths collapse at once and the work is bounded by
-    pairs x depth -- no path enumeration. Shortest paths are shorter than
-    the number of nodes, so the depth bound defaults to that count (exact,
-    and it ends cycles); ``max_depth`` can stop earlier. Keys compare
-    lower-case; ``seeds`` (column NodeKey) defaults to every node.
-    """
-    spark = edges.sparkSession
-    i = next(_chain_ids)
-    src, dst = ("ToNodeKey", "FromNodeKey") if direction == "up" else ("FromNodeKey", "ToNodeKey")
-    e = edges.select(F.lower(src).alias("a"), F.lower(dst).alias("b")).distinct()
-    nodes = e.select(F.col("a").alias("k")).unionByName(e.select(F.col("b").alias("k"))).distinct()
+    (column NodeKey; keys compare lower-case) with its shortest depth.
+
+    With ``seeds`` a frontier moves one level a round; a node that a seed has
+    reached is never visited again for it, so cycles end, and there are as many
+    rounds as the deepest node found has levels. Without seeds every node is
+    one, and each round doubles the depth instead (``all_chains``). Every
+    round is cut with a checkpoint; only row counts reach the driver."""
+    ensure_checkpoint_dir(edges.sparkSession)
+    e = _links(edges, direction).checkpoint()
     if seeds is None:
-        s = nodes.select(F.col("k").alias("s"))
-    else:
-        s = seeds.select(F.lower("NodeKey").alias("s")).distinct()
-    if max_depth is None:
-        max_depth = max(1, nodes.count())
-    ev, sv = f"_bl_chain_edges_{i}", f"_bl_chain_seeds_{i}"
-    e.createOrReplaceTempView(ev)
-    s.createOrReplaceTempView(sv)
-    limit = max(int(max_depth) + 2, int(spark.conf.get("spark.sql.cteRecursionLevelLimit", "100")))
-    spark.conf.set("spark.sql.cteRecursionLevelLimit", str(limit))
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    return spark.sql(f"""
-        WITH RECURSIVE r(SeedKey, NodeKey, Depth) AS (
-          SELECT DISTINCT s.s, e.b, 1 FROM {sv} s JOIN {ev} e ON e.a = s.s
-          UNION ALL
-          SELECT DISTINCT r.SeedKey, e.b, r.Depth + 1 FROM r JOIN {ev} e ON e.a = r.NodeKey
-          WHERE r.Depth < {int(max_depth)}
-        )
-        SELECT SeedKey, NodeKey, CAST(min(Depth) AS BIGINT) AS DepthNBR FROM r GROUP BY SeedKey, NodeKey""")
+        return all_chains(e, max_depth)
+    found = (seeds.select(F.lower("NodeKey").alias("a")).distinct().join(e, "a")
+             .select(F.col("a").alias("SeedKey"), F.col("b").alias("NodeKey"), F.lit(1).cast("bigint").alias("DepthNBR"))
+             .checkpoint())
+    parts, frontier, depth = [found], found, 1
+    while not frontier.isEmpty() and (max_depth is None or depth < max_depth):
+        depth += 1
+        reached = (frontier.join(e, frontier["NodeKey"] == e["a"]).select("SeedKey", F.col("b").alias("NodeKey")).distinct())
+        frontier = (reached.join(found, ["SeedKey", "NodeKey"], "left_anti")
+                    .withColumn("DepthNBR", F.lit(depth).cast("bigint")).checkpoint())
+        parts.append(frontier)
+        found = found.unionByName(frontier)
+        if len(parts) > 16:
+            parts = [found.checkpoint()]
+            found = parts[0]
+    return found
+
+
+def all_chains(links: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """Shortest depths between all nodes (a -> b) by path doubling.
+
+    If all depths up to d are known, a shortest path of d + r (r up to d) goes
+    through a node at depth d and on from there, so joining the pairs of depth d
+    with all known pairs gives every depth up to 2 d: as many rounds as the
+    logarithm of the greatest depth, also on cycles."""
+    known = links.select("a", "b", F.lit(1).cast("bigint").alias("d"))
+    depth = 1
+    while max_depth is None or depth < max_depth:
+        edge = known.filter(F.col("d") == depth)
+        if edge.isEmpty():
+            break
+        on = known.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("d").alias("r"))
+        longer = (edge.join(on, edge["b"] == on["x"]).groupBy(F.col("a"), F.col("y").alias("b"))
+                  .agg((F.min("r") + depth).alias("d")).join(known, ["a", "b"], "left_anti"))
+        known = known.unionByName(longer.select("a", "b", "d")).checkpoint()
+        depth *= 2
+    out = known if max_depth is None else known.filter(F.col("d") <= max_depth)
+    return out.select(F.col("a").alias("SeedKey"), F.col("b").alias("NodeKey"), F.col("d").alias("DepthNBR"))

@@ -57,4 +57,5 @@ def monthly_effective_history(events: DataFrame, calendar: DataFrame, as_of: str
     return (j.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
              .select("MonthStartDTS", "MonthEndDTS", entity, "EventFromEffectiveDTS", "EventToEffectiveDTS",
                      F.col("EventCodeDSC").alias("RemoteWorkDSC"), "CompanyCD",
+                     *(["SourceDSC"] if "SourceDSC" in events.columns else []),
                      *([tie_break] if tie_break else [])))

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchlens.sources.sinks import read_latest, table_versions, write_new_version
+from batchlens.sources import tables
+from batchlens.sources.sinks import read_latest
 
 # The two reference patterns (Python ``re`` with IGNORECASE;
 # ``(?iU)`` gives Java the same Unicode-aware \w and case folding).
@@ -41,9 +42,10 @@ def downstream_bindings(cat, source_mart: str | None = None) -> DataFrame:
 
 def _all_matches(text, pattern: str, ngroups: int, prefix: str):
     """Array of structs, one per match, fields ``<prefix>1..n`` (groups that
-    did not participate are '')."""
-    return F.arrays_zip(*[F.regexp_extract_all(text, F.lit(FLAGS + pattern), i).alias(f"{prefix}{i}")
-                          for i in range(1, ngroups + 1)])
+    did not participate are ''). The text is scanned once; the groups are taken
+    from the short matches, where the pattern finds the same groups again."""
+    return F.transform(F.regexp_extract_all(text, F.lit(FLAGS + pattern), 0), lambda m: F.struct(
+        *[F.regexp_extract(m, "^" + FLAGS + pattern, i).alias(f"{prefix}{i}") for i in range(1, ngroups + 1)]))
 
 
 def extract_references(df: DataFrame, id_col: str = "DestinationBindingID",
@@ -90,6 +92,27 @@ def extract_references(df: DataFrame, id_col: str = "DestinationBindingID",
         ne(F.col("m.c3")).alias("ParsedColumnNM"), ne(F.col("m.c4")).alias("ParsedColumnAliasNM"))
 
 
+def parsed_bindings(cat) -> DataFrame:
+    """References of every binding's user-defined SQL, each text parsed once (``extract_references``)."""
+    return extract_references(cat["ObjectAttributeBASE"].filter(F.col("AttributeNM") == "UserDefinedSQL"),
+                              "ObjectID", "AttributeValueLongTXT")
+
+
+def downstream_references(cat, parsed: DataFrame | None = None, source_mart: str | None = None) -> DataFrame:
+    """JOB-20 over JOB-22: the references of each row of ``downstream_bindings``.
+
+    A binding occurs there once per dependency, with the same text: it is
+    parsed once, and its references are repeated as often as it occurs."""
+    parsed = parsed_bindings(cat) if parsed is None else parsed
+    rows = cat["SummaryBindingDependency"]
+    if source_mart is not None:
+        rows = rows.filter(F.col("SourceDataMartNM") == source_mart)
+    times = (rows.filter(F.col("SourceDataMartNM") != F.col("DestinationDataMartNM"))
+             .groupBy("DestinationBindingID").agg(F.count(F.lit(1)).alias("_times")))
+    return parsed.join(times, "DestinationBindingID").withColumn(
+        "_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))).select(*REF_COLUMNS)
+
+
 def keyed_replace(existing: DataFrame, new: DataFrame, key: str = "DestinationBindingID") -> DataFrame:
     """SNK-4: delete the rows whose key occurs in the new batch, then insert
     the batch (null-safe anti join on the distinct new keys)."""
@@ -98,20 +121,37 @@ def keyed_replace(existing: DataFrame, new: DataFrame, key: str = "DestinationBi
     return kept.unionByName(new.select(*existing.columns))
 
 
-def load_references(spark, new: DataFrame, table_dir: str) -> str:
-    """JOB-21: keyed replace into a versioned parquet table under
-    ``table_dir`` (SNK-6 creates it when missing). The result is written to a
-    new version folder -- never over the files it was computed from -- and
-    the new version's path is returned; readers take the latest version."""
-    new = new.select(*REF_COLUMNS)
-    out = keyed_replace(read_latest(spark, table_dir), new) if table_versions(spark, table_dir) else new
-    return write_new_version(out, table_dir)
+#: Declared columns of the reference table, which is created with them when it is missing (SNK-6).
+REF_SCHEMA = ", ".join(f"{c} {'bigint' if c == 'DestinationBindingID' else 'string'}" for c in REF_COLUMNS)
+
+
+def load_references(spark, new: DataFrame, table_dir: str, retries: int = 5) -> str:
+    """JOB-21: keyed replace into a versioned table under ``table_dir`` (SNK-6
+    creates it when missing); the new version's commit record.
+
+    The replacement is committed on the version that it was computed from; if
+    another load has committed since, it is computed anew from that one, so
+    neither load loses the other's rows."""
+    base = tables.create(spark, table_dir, REF_SCHEMA)
+    for attempt in range(retries + 1):
+        out = keyed_replace(tables.read(spark, base), new.select(*REF_COLUMNS))
+        try:
+            return tables.replace(out, base).record
+        except tables.Conflict:
+            if attempt == retries:
+                raise
+            base = tables.version(spark, table_dir)
 
 
 def latest_references(spark, table_dir: str) -> DataFrame:
     return read_latest(spark, table_dir)
 
 
+def first_record(df: DataFrame) -> DataFrame:
+    """S-5: the first record, a sample to try a parser on."""
+    return df.limit(1)
+
+
 def verify_sample(refs: DataFrame, n: int = 10) -> DataFrame:
     """S-3: the post-load check -- first ``n`` rows in key order."""
     return refs.orderBy(*REF_COLUMNS).limit(n)

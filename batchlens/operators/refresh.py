@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Refresh status words and outcome codes.
@@ -26,29 +26,26 @@ def refresh_outcome(history: DataFrame, operations: DataFrame) -> DataFrame:
     PENDING -- fewer checks than allowed so far, none terminal;
     NOT_CHECKED -- retry count 0.
 
-    All from per-object aggregates (partial aggregation; no per-object sort),
-    so an object with a third of all history rows is still one cheap group:
-    the first terminal check is a min over (ts, event_id), and its attempt
-    number is one plus the count of earlier rows.
+    Polling looks at no check after the allowed ones, so only an object's
+    earliest checks matter, as many as any object is allowed: a group limit
+    that each task applies before the shuffle, so an object with a third of
+    all history rows sends a few rows a task, and the history is never joined
+    with itself. ``TerminalAttemptNBR`` is NULL if no allowed check was terminal.
+    Count and latest check are partial aggregates.
     """
-    order = F.struct("ts", "event_id")
-    terminal = ~F.col("StatusCD").isin(*WAIT_STATUSES)
-    first = (history.groupBy("ObjectID").agg(
-        F.count(F.lit(1)).alias("CheckCNT"),
-        F.max_by("StatusCD", order).alias("LatestStatusCD"),
-        F.max("ts").alias("LatestDTS"),
-        F.min(F.when(terminal, order)).alias("_ft")))
-    first = first.withColumn("_ft_ts", F.col("_ft.ts")).withColumn("_ft_id", F.col("_ft.event_id"))
-    # status at the first terminal check and the number of rows before it
-    before = (history.join(first.select("ObjectID", "_ft_ts", "_ft_id"), "ObjectID")
-              .groupBy("ObjectID").agg(
-                  F.count(F.when(F.struct("ts", "event_id") < F.struct(F.col("_ft_ts"), F.col("_ft_id")), 1)).alias("_before"),
-                  F.max(F.when((F.col("ts") == F.col("_ft_ts")) & (F.col("event_id") == F.col("_ft_id")),
-                               F.col("StatusCD"))).alias("FirstTerminalStatusCD")))
-    x = (operations.join(first, "ObjectID", "left").join(before, "ObjectID", "left")
-         .withColumn("CheckCNT", F.coalesce("CheckCNT", F.lit(0))))
+    most = max(operations.agg(F.max("RetryAttemptNBR")).first()[0] or 0, 1)
+    checks = history.select("ObjectID", "ts", "event_id", "StatusCD")
+    at = F.row_number().over(Window.partitionBy("ObjectID").orderBy("ts", "event_id"))
+    earliest = checks.withColumn("_at", at).filter(F.col("_at") <= most)
+    terminal = (earliest.filter(~F.col("StatusCD").isin(*WAIT_STATUSES)).groupBy("ObjectID").agg(
+        F.min(F.struct("_at", "StatusCD")).alias("_first")))
+    seen = checks.groupBy("ObjectID").agg(
+        F.count(F.lit(1)).alias("CheckCNT"), F.max_by("StatusCD", F.struct("ts", "event_id")).alias("LatestStatusCD"))
+    x = (operations.join(seen, "ObjectID", "left").join(terminal, "ObjectID", "left")
+         .withColumn("CheckCNT", F.coalesce("CheckCNT", F.lit(0)))
+         .withColumn("FirstTerminalStatusCD", F.col("_first.StatusCD")))
     retry = F.col("RetryAttemptNBR")
-    term_attempt = F.when(F.col("_ft").isNotNull(), F.col("_before") + 1)
+    term_attempt = F.when(F.col("_first._at") <= retry, F.col("_first._at"))
     outcome = (F.when(retry == 0, "NOT_CHECKED")
                 .when(term_attempt <= retry,
                       F.when(F.col("FirstTerminalStatusCD").isin(*DONE_STATUSES), "COMPLETED")

@@ -11,11 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlens.session import apply_conf
+from batchlens.session import apply_conf, stored
 from batchlens.sources.fixtures import fixture_catalog
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# The mart whose consumers are listed.
+SOURCE_MART = "NATION_3"
+
 # Service registry row used by the sequence edges (the catalog's discovery
 # service table is not part of the driver tables).
 SERVICE_URL = "https://catalog-service.example.org"
@@ -69,6 +72,15 @@ def q_etl_progress(spark, sf_dir):
     return etl_progress(c["ETLBatchHistoryBASE"], c["ETLTableHistoryBASE"])
 
 
+@query("etl_progress_batches")
+def q_etl_progress_batches(spark, sf_dir):
+    """Progress of the given batches (PF-17): the two last ones, as after a daily run."""
+    from batchlens.operators.progress import etl_progress
+    c = cat_of(spark, sf_dir)
+    ids = c["ETLBatchHistoryBASE"].select("BatchID").orderBy(F.desc("BatchID")).limit(2)
+    return etl_progress(c["ETLBatchHistoryBASE"], c["ETLTableHistoryBASE"], ids)
+
+
 @query("status_share")
 def q_status_share(spark, sf_dir):
     from batchlens.operators.progress import status_share
@@ -243,6 +255,36 @@ def q_dot_roundtrip(spark, sf_dir):
         "SchedulePatternTypeCD", "RunStatusCD", "CompletedTXT", "NextRunTXT", "BrokenReferenceFLG").distinct()
 
 
+def _archive(spark, sf_dir):
+    """The graph of two days, written as an archive and read back."""
+    from batchlens.operators.archive import snapshot_stamp
+    from batchlens.operators.dot import read_dot_archive, render_dot_lines
+    from batchlens.sources.sinks import write_graph_snapshot
+    from batchlens.session import as_of_literal, new_path
+
+    def build(_):
+        root = new_path(spark, "graphs")
+        for as_of in ("2001-07-30 12:00:00", "2001-07-31 12:00:00"):
+            lines = render_dot_lines(*_seq(spark, sf_dir, None if as_of.startswith("2001-07-31") else as_of), DOT_TITLE)
+            stamp = spark.range(1).select(snapshot_stamp(as_of_literal(as_of))).first()[0]
+            write_graph_snapshot(lines, root, "EDW", stamp)
+        return root
+    return read_dot_archive(spark, _shared(spark, sf_dir, "graph-archive", build) + "/archive")
+
+
+@query("dot_archive_nodes")
+def q_archive_nodes(spark, sf_dir):
+    return _archive(spark, sf_dir)[0].select(
+        "EnvironmentNM", "SnapshotDTS", "NodeKey", "DataMartNM", "BatchDefinitionNM", "AvgDurationNBR", "ScheduleCategoryCD",
+        "SchedulePatternTypeCD", "RunStatusCD", "CompletedTXT", "NextRunTXT", "BrokenReferenceFLG").distinct()
+
+
+@query("dot_archive_edges")
+def q_archive_edges(spark, sf_dir):
+    return _archive(spark, sf_dir)[1].select(
+        "EnvironmentNM", "SnapshotDTS", "FromNodeKey", "ToNodeKey", "EdgeStyleCD", "LinkURL").distinct()
+
+
 # --- snapshot archive ------------------------------------------------------
 
 @query("snapshot_index")
@@ -251,6 +293,16 @@ def q_snapshot_index(spark, sf_dir):
     return snapshot_index(cat_of(spark, sf_dir)["SnapshotFiles"])
 
 
+@query("snapshot_index_json")
+def q_snapshot_json(spark, sf_dir):
+    """The index document of every graph and environment of which there are files, with or without snapshots."""
+    from batchlens.operators.archive import snapshot_index, snapshot_index_json, with_stamp
+    files = cat_of(spark, sf_dir)["SnapshotFiles"]
+    series = with_stamp(files).filter(F.col("SeriesNM").isNotNull()).select("SeriesNM")
+    series = series.unionByName(series.select(F.concat("SeriesNM", F.lit("-new")).alias("SeriesNM")))
+    return snapshot_index_json(snapshot_index(files), series)
+
+
 @query("snapshot_day_counts")
 def q_snapshot_day_counts(spark, sf_dir):
     from batchlens.operators.archive import snapshot_index, snapshots_per_day
@@ -263,6 +315,12 @@ def q_expired(spark, sf_dir):
     return expired_files(cat_of(spark, sf_dir)["SnapshotFiles"], days=90)
 
 
+@query("expired_files_env")
+def q_expired_env(spark, sf_dir):
+    from batchlens.operators.archive import expired_files
+    return expired_files(cat_of(spark, sf_dir)["SnapshotFiles"], days=90, graph="BatchSequence", environment="ENV1")
+
+
 @query("orphan_files")
 def q_orphans(spark, sf_dir):
     from batchlens.operators.archive import orphan_files
@@ -302,13 +360,19 @@ def q_purge_log(spark, sf_dir):
     return purge_log(_plan(spark, sf_dir), daily_counts(c["SnapshotRows"], "l_shipdate", "TableID"), _target_of())
 
 
-def _validate(spark, sf_dir):
+def _outcomes(spark, sf_dir):
     from batchlens.operators.retention import daily_counts, period_rows, validate_snapshot
     c = cat_of(spark, sf_dir)
     counts = daily_counts(period_rows(c["SnapshotRows"], "LastLoadDTS"), "LastLoadDTS", "TableID")
     return validate_snapshot(c["SAMSnapshotTableManagementBASE"], c, counts, _target_of())
 
 
+def _validate(spark, sf_dir):
+    from batchlens.operators.retention import hook_invocations, validate_runs
+    return validate_runs(_outcomes(spark, sf_dir), hook_invocations(cat_of(spark, sf_dir))).drop(
+        "DatabaseNM", "SchemaNM", "TableNM")
+
+
 @query("validate_snapshot")
 def q_validate(spark, sf_dir):
     return _validate(spark, sf_dir)
@@ -324,6 +388,12 @@ def q_validate_monthly(spark, sf_dir):
     return _validate(spark, sf_dir).filter(F.col("SnapshotPeriodCD") == "Monthly")
 
 
+@query("validate_log")
+def q_validate_log(spark, sf_dir):
+    from batchlens.operators.retention import hook_invocations, validation_log
+    return validation_log(_outcomes(spark, sf_dir), hook_invocations(cat_of(spark, sf_dir)))
+
+
 @query("configured_entities")
 def q_configured(spark, sf_dir):
     from batchlens.operators.retention import configured_entities
@@ -331,6 +401,26 @@ def q_configured(spark, sf_dir):
     return configured_entities(c["SAMSnapshotTableManagementBASE"], c, c["ETLTableHistoryBASE"])
 
 
+@query("hook_dispatch")
+def q_hook_dispatch(spark, sf_dir):
+    """The hooks of every recorded load: the control table as registered, the gate and the validation as exit codes."""
+    from batchlens.operators.retention import configured_entities, dispatch_hooks, hook_exits, hook_rows, HOOK_SCHEMA, register_hooks
+    from batchlens.session import new_path
+    from batchlens.sources.sinks import read_latest
+    c = cat_of(spark, sf_dir)
+    args = "-entityID $entity -jobID $batchExecution"
+    more = spark.createDataFrame([
+        ("AuditLoad", "PostEntity", "Batch", "PowerShell", 0, "System", f"Audit.ps1 {args}", 0, 0, 5, 0, "Audit", 1, None, None),
+        ("RetiredCheck", "PreEntity", "Batch", "PowerShell", 0, "System", f"Old.ps1 {args}", 0, 1, 1, 0, "Old", 0, None, None)],
+        HOOK_SCHEMA)
+    control = new_path(spark, "hooks")
+    register_hooks(hook_rows(spark, f"Purge.ps1 {args}", f"Validate.ps1 {args}"), control, ("retention", 1))
+    register_hooks(more, control, ("audit", 1))
+    loads = c["ETLTableHistoryBASE"].select(F.col("BatchID").alias("JobID"), "EntityID")
+    gate = configured_entities(c["SAMSnapshotTableManagementBASE"], c, c["ETLTableHistoryBASE"])
+    return dispatch_hooks(read_latest(spark, control), loads, hook_exits(gate, loads, _outcomes(spark, sf_dir)))
+
+
 # --- lineage ----------------------------------------------------------------
 
 @query("downstream_bindings")
@@ -339,22 +429,32 @@ def q_downstream(spark, sf_dir):
     return downstream_bindings(cat_of(spark, sf_dir))
 
 
+def _parsed(spark, sf_dir):
+    from batchlens.operators.lineage import parsed_bindings
+    return _shared(spark, sf_dir, "references", lambda c: stored(parsed_bindings(c), "references"))
+
+
+@query("downstream_of_mart")
+def q_downstream_of_mart(spark, sf_dir):
+    from batchlens.operators.lineage import downstream_bindings
+    return downstream_bindings(cat_of(spark, sf_dir), SOURCE_MART)
+
+
 @query("lineage_refs")
 def q_lineage_refs(spark, sf_dir):
-    from batchlens.operators.lineage import downstream_bindings, extract_references
-    return extract_references(downstream_bindings(cat_of(spark, sf_dir)))
+    from batchlens.operators.lineage import downstream_references
+    return downstream_references(cat_of(spark, sf_dir), _parsed(spark, sf_dir))
 
 
 @query("replace_by_key")
 def q_replace_by_key(spark, sf_dir):
-    from batchlens.operators.lineage import downstream_bindings, extract_references, keyed_replace
+    from batchlens.operators.lineage import downstream_references, keyed_replace
     c = cat_of(spark, sf_dir)
-    old = extract_references(downstream_bindings(c))
-    active = c["BindingBASE"].filter(F.col("BindingStatusCD") == "Active").select(F.col("BindingID").alias("ObjectID"))
-    new_txt = (c["ObjectAttributeBASE"].filter(F.col("AttributeNM") == "UserDefinedSQL")
-               .join(active, "ObjectID", "left_semi"))
-    new = extract_references(new_txt, "ObjectID", "AttributeValueLongTXT")
-    return keyed_replace(old, new)
+    parsed = _parsed(spark, sf_dir)
+    old = downstream_references(c, parsed)
+    active = (c["BindingBASE"].filter(F.col("BindingStatusCD") == "Active")
+              .select(F.col("BindingID").alias("DestinationBindingID")))
+    return keyed_replace(old, parsed.join(active, "DestinationBindingID", "left_semi"))
 
 
 # --- documents --------------------------------------------------------------
@@ -365,6 +465,38 @@ def q_flatten(spark, sf_dir):
     return flatten_json_text(cat_of(spark, sf_dir)["events"], "event_id", "props")
 
 
+def binding_documents(c):
+    """Binding documents of the catalog in their nested shape."""
+    def attribute(n, name, value):
+        return F.struct(F.col("Id").alias("ObjectId"), (F.col("Id") * 10 + n).alias("Id"), F.lit(name).alias("AttributeName"),
+                        value.cast("string").alias("AttributeValue"))
+
+    sources = c["BindingDependencyBASE"].groupBy(F.col("BindingID").alias("Id")).agg(
+        F.sort_array(F.collect_list("SourceEntityID")).alias("_s"))  # the tables of one binding
+    d = c["BindingDocuments"].join(sources, "Id", "left")
+    return d.select(
+        "Id", "DestinationEntityId", "DataMartId", "Name", "Classification", "Description", "Status", "SourceConnectionId",
+        F.lit("SQL").alias("BindingType"), F.lit("Full").alias("LoadTypeCode"), "DestinationEntity", "DataMart",
+        F.array(attribute(1, "IsProtected", F.lit("False")), attribute(2, "Tags", F.lit(None)),
+                attribute(3, "UserDefinedSQL", F.col("UserSQL"))).alias("AttributeValues"),
+        F.transform("_s", lambda e: F.create_map(F.lit("EntityId"), e.cast("string"))).alias("SourcedByEntities"),
+        F.when(F.col("Id") % 5 == 0, F.array(F.create_map(F.lit("ColumnName"), F.lit("LastLoadDTS"), F.lit("TypeCode"), F.lit("Date"))))
+        .alias("IncrementalConfigurations"))
+
+
+@query("binding_documents")
+def q_binding_documents(spark, sf_dir):
+    """Every binding written as a nested document, read with the declared schema and flattened into all its tables."""
+    from batchlens.operators.documents import flatten_all, read_bindings, write_documents_json
+    from batchlens.session import new_path
+
+    def build(c):
+        path = new_path(spark, "documents")
+        write_documents_json(binding_documents(c), path)
+        return path
+    return flatten_all(read_bindings(spark, _shared(spark, sf_dir, "documents", build), one_per_line=True))
+
+
 @query("environment_inventory")
 def q_env(spark, sf_dir):
     from batchlens.operators.documents import environment_inventory
@@ -410,32 +542,58 @@ def _stream(spark, sf_dir):
     return history_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
 
 
+def _stream_path(spark, sf_dir, name):
+    """The run's folder: the same for the same input files, so a run that is started again resumes."""
+    from batchlens.sources.fixtures import signature
+    from batchlens.streaming.jobs import stream_path
+    return stream_path(spark, name, sf_dir, signature(spark, sf_dir, ("events", "lineitem", "orders")))
+
+
+@query("stream_retention_plan")
+def q_stream_retention(spark, sf_dir):
+    from batchlens.operators.retention import purge_plan
+    from batchlens.streaming.jobs import run_retention
+    c = cat_of(spark, sf_dir)
+    loads = (spark.readStream.schema(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").schema)
+             .option("recursiveFileLookup", "true").parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+             .select(F.col("l_orderkey").alias("JobID"), F.col("l_partkey").alias("EntityID")))
+    runs = c["ETLBatchHistoryBASE"].select(F.col("BatchID").alias("JobID"), "BatchDefinitionID")
+
+    def plan(batch):
+        return purge_plan(c["SAMSnapshotTableManagementBASE"], c, invocations=batch.join(runs, "JobID"))
+    return run_retention(loads, plan, _stream_path(spark, sf_dir, "retention_plan")).distinct()
+
+
 @query("stream_status_counts")
 def q_stream_status_counts(spark, sf_dir):
     from batchlens.streaming.jobs import run_available_now, status_counts
     return run_available_now(status_counts(_stream(spark, sf_dir)), "update", ["WindowStartDTS", "StatusCD"],
-                             "status_counts")
+                             "status_counts", _stream_path(spark, sf_dir, "status_counts"))
 
 
 @query("stream_refresh_latest")
 def q_stream_refresh_latest(spark, sf_dir):
     from batchlens.streaming.jobs import refresh_latest, run_available_now
-    return run_available_now(refresh_latest(_stream(spark, sf_dir)), "update", ["ObjectID"], "refresh_latest")
+    return run_available_now(refresh_latest(_stream(spark, sf_dir)), "update", ["ObjectID"], "refresh_latest",
+                             _stream_path(spark, sf_dir, "refresh_latest"))
 
 
 @query("stream_dedup_loads")
 def q_stream_dedup(spark, sf_dir):
     from batchlens.streaming.jobs import dedup_loads, run_available_now
-    return run_available_now(dedup_loads(_stream(spark, sf_dir)), "append", name="dedup_loads")
+    return run_available_now(dedup_loads(_stream(spark, sf_dir)), "append", name="dedup_loads",
+                             path=_stream_path(spark, sf_dir, "dedup_loads"))
 
 
 @query("stream_hourly_active")
 def q_stream_hourly(spark, sf_dir):
     from batchlens.streaming.jobs import hourly_active, run_available_now
-    return run_available_now(hourly_active(_stream(spark, sf_dir)), "update", ["HourStartDTS"], "hourly_active")
+    return run_available_now(hourly_active(_stream(spark, sf_dir)), "update", ["HourStartDTS"], "hourly_active",
+                             _stream_path(spark, sf_dir, "hourly_active"))
 
 
 @query("stream_refresh_outcome")
 def q_stream_refresh_outcome(spark, sf_dir):
-    from batchlens.streaming.jobs import run_refresh_monitor
-    return run_refresh_monitor(_stream(spark, sf_dir), cat_of(spark, sf_dir)["RefreshOperation"])
+    from batchlens.streaming.monitor import run_monitor
+    return run_monitor(_stream(spark, sf_dir), cat_of(spark, sf_dir)["RefreshOperation"],
+                       path=_stream_path(spark, sf_dir, "refresh_monitor"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed "today" used by fixtures so results are reproducible (GETDATE() in the
@@ -54,6 +55,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: computed once, cut from its lineage, and, unlike
+    a checkpoint, read by column and with its filters."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "batchlens") -> SparkSession:
     """Create (or reuse) a session configured for the jobs.

@@ -8,7 +8,6 @@ DuckDB oracle (as a CTE prelude), so both engines see identical inputs.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
@@ -22,7 +21,8 @@ FIXTURE_VIEWS: list[tuple[str, str]] = [
     ("DataMartBASE", """
 SELECT CAST(n_nationkey AS BIGINT) AS DataMartID, n_name AS DataMartNM,
   CASE WHEN n_regionkey IN (0,1) THEN 'Source' WHEN n_regionkey IN (2,3) THEN 'Subject Area' ELSE 'IDEA' END AS DataMartTypeDSC,
-  CASE WHEN n_nationkey % 10 = 9 THEN 'Y' ELSE 'N' END AS IsHiddenFLG FROM nation"""),
+  CASE WHEN n_nationkey % 10 = 9 THEN 'Y' ELSE 'N' END AS IsHiddenFLG FROM nation
+  UNION ALL SELECT CAST(1000 AS BIGINT), 'ETLSequencedBatches', 'IDEA', 'N'"""),
     ("SAMBASE", """
 SELECT DataMartID FROM DataMartBASE WHERE DataMartTypeDSC <> 'Source'"""),
     ("ETLBatchDefinitionBASE", """
@@ -35,7 +35,7 @@ SELECT s_suppkey AS BatchDefinitionID,
     ("TableBASE", """
 SELECT p_partkey AS TableID, p_partkey % 25 AS DataMartID, 'Edw' AS DatabaseNM, p_brand AS SchemaNM, 'T' || CAST(p_partkey AS VARCHAR(20)) AS TableNM,
   CASE WHEN p_type IN ('ECONOMY','SMALL') THEN 'Full' WHEN p_type = 'LARGE' THEN 'All' ELSE 'Incremental' END AS LoadTypeCD,
-  p_partkey + 100000 AS ContentID FROM part"""),
+  p_partkey - p_partkey % 3 + 100000 AS ContentID FROM part"""),
     ("EntityBASE", """
 SELECT p_partkey AS EntityID, p_partkey + 100000 AS ContentID FROM part"""),
     ("BindingBASE", """
@@ -86,9 +86,14 @@ SELECT DISTINCT user_id AS ObjectID, 'object-' || CAST(user_id AS VARCHAR(20)) A
     ("RefreshHistory", """
 SELECT event_id, user_id AS ObjectID, ts, CASE event_type WHEN 'view' THEN 'InProgress' WHEN 'click' THEN 'Unknown' WHEN 'purchase' THEN 'Completed' WHEN 'signup' THEN 'Success' ELSE 'Failed' END AS StatusCD FROM events"""),
     ("SnapshotFiles", """
-SELECT DISTINCT 'BatchSequence_ENV' || CAST(user_id % 2 AS VARCHAR(20)) || '_' || CAST(200101 + (event_id % 12) AS VARCHAR(20)) || CAST(10 + event_id % 18 AS VARCHAR(20)) || '_' || CAST(10 + event_id % 14 AS VARCHAR(20)) || CAST(10 + event_id % 50 AS VARCHAR(20)) || CASE WHEN event_type IN ('view','click','error') THEN '.svg' ELSE '.html' END AS FileNM FROM events"""),
+SELECT DISTINCT 'BatchSequence_ENV' || CAST(user_id % 2 AS VARCHAR(20)) || '_' || CAST(200101 + (event_id % 12) AS VARCHAR(20)) || CAST(10 + event_id % 18 AS VARCHAR(20)) || '_' || CAST(10 + event_id % 14 AS VARCHAR(20)) || CAST(10 + event_id % 50 AS VARCHAR(20)) || CASE WHEN event_type IN ('view','error') THEN '.svg' WHEN event_type = 'click' THEN '.gv' ELSE '.html' END AS FileNM FROM events"""),
+    ("BindingDocuments", """
+SELECT b.BindingID AS Id, b.DestinationEntityID AS DestinationEntityId, b.DataMartID AS DataMartId, 'Binding ' || CAST(b.BindingID AS VARCHAR(20)) AS Name,
+  CASE WHEN b.BindingID % 3 = 0 THEN 'Summary' ELSE 'Detail' END AS Classification, CASE WHEN b.BindingID % 4 = 0 THEN NULL ELSE 'Loads T' || CAST(b.DestinationEntityID AS VARCHAR(20)) END AS Description,
+  b.BindingStatusCD AS Status, b.SourceConnectionID AS SourceConnectionId, m.DataMartNM AS DataMart, 'T' || CAST(b.DestinationEntityID AS VARCHAR(20)) AS DestinationEntity, o.AttributeValueLongTXT AS UserSQL
+  FROM BindingBASE b JOIN ObjectAttributeBASE o ON o.ObjectID = b.BindingID LEFT JOIN DataMartBASE m ON m.DataMartID = b.DataMartID"""),
     ("EffectiveEvents", """
-SELECT o_custkey AS EmployeeID, o_orderdate AS EventFromEffectiveDTS, o_orderdate + INTERVAL '1' DAY * CAST(o_orderkey % 120 AS INT) AS EventToEffectiveDTS, o_orderpriority AS EventCodeDSC, o_orderstatus AS CompanyCD, o_orderkey FROM orders"""),
+SELECT o_custkey AS EmployeeID, o_orderdate AS EventFromEffectiveDTS, o_orderdate + INTERVAL '1' DAY * CAST(o_orderkey % 120 AS INT) AS EventToEffectiveDTS, o_orderpriority AS EventCodeDSC, o_orderstatus AS CompanyCD, 'Source ' || CAST(o_orderkey % 4 AS VARCHAR(20)) AS SourceDSC, o_orderkey FROM orders"""),
 ]
 
 FIXTURE_NAMES = [n for n, _ in FIXTURE_VIEWS]
@@ -106,6 +111,7 @@ def oracle_prelude(names: list[str] | None = None, recursive: bool = False) -> s
         "ETLSequencedBatches": {"ETLBatchDefinitionBASE", "DataMartBASE"},
         "SummaryBindingDependency": {"BindingBASE", "BindingDependencyBASE", "TableBASE", "DataMartBASE"},
         "ObjectAttributeBASE": {"BindingBASE"},
+        "BindingDocuments": {"BindingBASE", "ObjectAttributeBASE", "DataMartBASE"},
     }
     changed = True
     while changed:
@@ -119,6 +125,34 @@ def oracle_prelude(names: list[str] | None = None, recursive: bool = False) -> s
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n"
 
 
+#: Declared columns of the catalog tables (SRC-1).
+CATALOG_SCHEMAS = {
+    "DataMartBASE": "DataMartID bigint, DataMartNM string, DataMartTypeDSC string, IsHiddenFLG string",
+    "SAMBASE": "DataMartID bigint",
+    "ETLBatchDefinitionBASE": "BatchDefinitionID bigint, BatchDefinitionNM string, DataMartID bigint, "
+                              "BatchLoadTypeCD string, SourceConnectionID bigint, LastRunDTS timestamp_ntz",
+    "TableBASE": "TableID bigint, DataMartID bigint, DatabaseNM string, SchemaNM string, TableNM string, "
+                 "LoadTypeCD string, ContentID bigint",
+    "EntityBASE": "EntityID bigint, ContentID bigint",
+    "BindingBASE": "BindingID bigint, DestinationEntityID bigint, DataMartID bigint, SourceConnectionID bigint, "
+                   "BindingStatusCD string",
+    "BindingDependencyBASE": "BindingID bigint, SourceEntityID bigint",
+    "ETLBatchDefinitionTableBASE": "TableID bigint, BatchDefinitionID bigint",
+    "ETLBatchHistoryBASE": "BatchID bigint, BatchDefinitionID bigint, DataMartID bigint, StartDTS timestamp_ntz, "
+                           "EndDTS timestamp_ntz, DurationSecondsCNT bigint, StatusCD string",
+    "ETLTableHistoryBASE": "BatchID bigint, EntityID bigint, StatusCD string",
+    "ETLBatchScheduleBASE": "BatchDefinitionID bigint, ScheduleID bigint, EnabledFLG int",
+    "ETLSchedulePatternBASE": "ScheduleID bigint, PatternTypeCD string",
+    "ETLScheduleBASE": "ScheduleID bigint, NextScheduledStartDTS timestamp_ntz",
+    "ETLSequencedBatches": "ID bigint, FromDataMartNM string, FromBatchDefinitionNM string, ToDataMartNM string, "
+                           "ToBatchDefinitionNM string, IsActiveFLG int",
+    "SummaryBindingDependency": "SourceDataMartNM string, SourceEntityNM string, DestinationDataMartNM string, "
+                                "DestinationBindingID bigint, DestinationEntityNM string",
+    "ObjectAttributeBASE": "ObjectID bigint, AttributeNM string, AttributeValueLongTXT string",
+    "SAMSnapshotTableManagementBASE": "ID bigint, TableID bigint, PurgeDataFLG int, PurgeDateFieldNM string, "
+                                      "PurgeLookbackDaysNBR int, ValidateSnapshotFLG int, SnapshotPeriodCD string",
+}
+
 _lock = threading.Lock()
 
 
@@ -141,17 +175,12 @@ class FixtureCatalog(dict):
             from batchlens.session import ensure_checkpoint_dir
             # folder, definitions and input file sizes/times name the copy, so a
             # changed definition or input never reuses a stale one
-            sig = [os.path.abspath(sf_dir)] + [sql for _, sql in FIXTURE_VIEWS]
-            for t in DRIVER_TABLES:
-                p = os.path.join(sf_dir, f"{t}.parquet")
-                if os.path.exists(p):
-                    st = os.stat(p)
-                    sig.append(f"{t}:{st.st_size}:{int(st.st_mtime)}")
+            sig = [sf_dir, signature(spark, sf_dir)] + [sql for _, sql in FIXTURE_VIEWS]
             tag = hashlib.sha1("\n".join(sig).encode()).hexdigest()[:16]
             root = ensure_checkpoint_dir(spark).rstrip("/") + f"/batchlens-catalog/{tag}"
         with _lock:
             for t in DRIVER_TABLES:
-                spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")).createOrReplaceTempView(t)
+                spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").createOrReplaceTempView(t)
                 self[t] = spark.table(t)
             lazy = {}
             for name, sql in FIXTURE_VIEWS:
@@ -164,23 +193,40 @@ class FixtureCatalog(dict):
                 with ThreadPoolExecutor(max_workers=8) as pool:
                     list(pool.map(lambda n: lazy[n].write.mode("overwrite").parquet(f"{root}/{n}"), todo))
                 for name in lazy:
-                    spark.read.parquet(f"{root}/{name}").createOrReplaceTempView(name)
+                    reader = spark.read.schema(CATALOG_SCHEMAS[name]) if name in CATALOG_SCHEMAS else spark.read
+                    reader.parquet(f"{root}/{name}").createOrReplaceTempView(name)
             for name in lazy:
                 self[name] = spark.table(name)
 
 
+def signature(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> str:
+    """Size and time of every file of the input tables, from whatever file system they lie in."""
+    out = []
+    for t in names:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            continue
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            out.append(f"{t}:{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
+    return ";".join(sorted(out))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-_cache: dict[tuple[int, str], FixtureCatalog] = {}
+_cache: dict[tuple, FixtureCatalog] = {}
 
 
 def fixture_catalog(spark: SparkSession, sf_dir: str) -> FixtureCatalog:
     """Build (once per session and folder) the fixture catalog for ``sf_dir``."""
-    key = (id(spark), os.path.abspath(sf_dir))
+    key = (id(spark), sf_dir.rstrip("/"), signature(spark, sf_dir))
     cat = _cache.get(key)
     if cat is None or cat.spark is not spark:
         cat = FixtureCatalog(spark, sf_dir)
@@ -188,6 +234,15 @@ def fixture_catalog(spark: SparkSession, sf_dir: str) -> FixtureCatalog:
     return cat
 
 
-def read_catalog(spark: SparkSession, root: str, tables: list[str], fmt: str = "parquet") -> dict[str, DataFrame]:
-    """SRC-1: read catalog tables stored one folder per table below ``root``."""
-    return {t: spark.read.format(fmt).load(os.path.join(root, t)) for t in tables}
+def read_catalog(spark: SparkSession, root: str, tables: list[str] | None = None, fmt: str = "parquet",
+                 schemas: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """SRC-1: read catalog tables stored one folder per table below ``root``, with their declared columns: a column
+    that a table lacks reads as NULL, and no file is opened to infer a schema.
+
+    ``schemas`` replaces the declaration of tables by name; a table without any is read as it is."""
+    declared = CATALOG_SCHEMAS | (schemas or {})
+    out = {}
+    for t in tables if tables is not None else CATALOG_SCHEMAS:
+        reader = spark.read.format(fmt)
+        out[t] = (reader.schema(declared[t]) if t in declared else reader).load(f"{root.rstrip('/')}/{t}")
+    return out

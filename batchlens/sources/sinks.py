@@ -1,60 +1,49 @@
-"""Sinks: graph snapshots (SNK-1), event log append (SNK-5)."""
+"""Sinks: versions of a table (SNK-4, SNK-6), graph snapshots (SNK-1), event log append (SNK-5)."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def _fs(spark: SparkSession, path: str):
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath, jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+from batchlens.sources import tables
 
 
 def table_versions(spark: SparkSession, table_dir: str) -> list[str]:
-    """Committed version folders (``version=...``) of a versioned table, oldest first.
-
-    A folder without Spark's ``_SUCCESS`` mark is one that a writer has not finished; it is never read."""
-    jpath, fs = _fs(spark, table_dir)
-    if not fs.exists(jpath):
-        return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(jpath)
-                  if st.isDirectory() and st.getPath().getName().startswith("version=")
-                  and fs.exists(_fs(spark, f"{st.getPath()}/_SUCCESS")[0]))
+    """Committed versions of a table, oldest first. What a writer has not committed is no version."""
+    return tables.versions(spark, table_dir)
 
 
 def read_latest(spark: SparkSession, table_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{table_dir}/{table_versions(spark, table_dir)[-1]}")
+    return tables.read(spark, tables.version(spark, table_dir))
 
 
-def write_new_version(df: DataFrame, table_dir: str) -> str:
-    """Write ``df`` as the next version folder of ``table_dir`` (never over the
-    files it may have been computed from) and return its path.
+def write_new_version(df: DataFrame, table_dir: str, base: tables.Version | None = None) -> str:
+    """``df`` as the next version of ``table_dir`` (never over the files it
+    may have been computed from); the path of its commit record.
 
-    Raises if another writer has committed a version meanwhile: its rows would be lost to readers of this one."""
-    spark = df.sparkSession
-    base = table_versions(spark, table_dir)
-    n = int(base[-1].removeprefix("version=")[:8]) if base else 0
-    path = f"{table_dir}/version={n + 1:08d}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("errorifexists").parquet(path)
-    if table_versions(spark, table_dir) != [*base, path.rsplit("/", 1)[1]]:
-        jpath, fs = _fs(spark, f"{path}/_SUCCESS")
-        fs.delete(jpath, False)
-        raise RuntimeError(f"another version of {table_dir} was committed meanwhile")
-    return path
+    ``base`` is the version that was read to compute ``df`` (by default the
+    last one now). Raises ``tables.Conflict`` if another writer has committed
+    since: its rows would be lost to readers of this one."""
+    return tables.replace(df, base or tables.version(df.sparkSession, table_dir)).record
 
 
 def write_graph_snapshot(lines: DataFrame, root: str, env: str, snapshot_ts: str) -> None:
     """SNK-1: the ordered DOT lines as the 'latest' copy of ``env`` and as a
-    timestamped copy, partitioned by env and snapshot stamp (yyyyMMdd_HHmm)."""
-    ordered = lines.orderBy("SectionNBR", "LineTXT").select("LineTXT").coalesce(1)
+    timestamped copy, partitioned by env and snapshot stamp (yyyyMMdd_HHmm).
+
+    Lines are range-sorted: a graph of usual size is one file, a larger one
+    several, which make up the document in the order of their names."""
+    ordered = lines.orderBy("SectionNBR", "LineTXT").select("LineTXT")
     ordered.write.mode("overwrite").text(f"{root}/latest/env={env}")
     (ordered.withColumn("env", F.lit(env)).withColumn("snapshot_ts", F.lit(snapshot_ts))
      .write.mode("append").partitionBy("env", "snapshot_ts").text(f"{root}/archive"))
 
 
-def append_event_log(log: DataFrame, path: str) -> None:
-    """SNK-5: append event-log rows (append only; readers order by run and sequence)."""
-    log.write.mode("append").parquet(path)
+def append_event_log(log: DataFrame, path: str, run: tuple[str, int] | None = None) -> tables.Version:
+    """SNK-5: append event-log rows (append only; readers order by run and
+    sequence). ``run`` = (writer, number) is appended once, however often it is tried."""
+    return tables.append(log, path, txn=run)
+
+
+def read_event_log(spark: SparkSession, path: str) -> DataFrame:
+    return read_latest(spark, path)

@@ -2,10 +2,12 @@
 
 The sources are append-only history files read with ``readStream``; event
 time is cast from TIMESTAMP_NTZ to TIMESTAMP before ``withWatermark``.
-Results go through ``foreachBatch`` into a changelog folder below
-``spark.checkpoint.dir`` (one parquet part per micro-batch, tagged with the
-batch id), so update-mode aggregates are exact when read back: the latest
-version of each key wins. Checkpoints live in the same shared folder.
+Results go through ``foreachBatch`` into a changelog below
+``spark.checkpoint.dir``, a versioned table to which each micro-batch is
+committed once under its number, so a batch that runs again adds nothing and
+readers see committed batches only. Update-mode aggregates are exact when read
+back: the latest row of each key wins. Checkpoints live in the same shared folder;
+a run that is given the path of an earlier one goes on where that one stopped.
 
 Watermarks are an argument. Without one no row is late: results equal the batch
 twin's whatever the order and number of files, as a backfill needs, and state
@@ -14,13 +16,14 @@ grows with the keys. A live stream passes one to bound its state.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from batchlens.operators.refresh import ACTIVE_FIRST_HOUR, ACTIVE_LAST_HOUR
-from batchlens.sources.sinks import _fs
+from batchlens.sources import tables
 from batchlens.session import ensure_checkpoint_dir
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -28,6 +31,7 @@ EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type S
 # Event type -> run / refresh status, as in the fixture views.
 STATUS_OF_EVENT = {"view": "InProgress", "click": "Unknown", "purchase": "Completed", "signup": "Success"}
 STATUS_DEFAULT = "Failed"
+COMPACT_AT = 50  # batches of a changelog
 
 
 def status_of(event_type):
@@ -99,54 +103,74 @@ def retention_on_load(plan_fn, sink_dir: str):
     return handle
 
 
+def run_retention(loads: DataFrame, plan_fn, path: str) -> DataFrame:
+    """ST-4 over everything available now: ``plan_fn`` for the loads (JobID, EntityID) of each micro-batch, all rows
+    written so far. Below ``path`` lie the checkpoint, where a later call goes on, and the plans."""
+    spark = loads.sparkSession
+    q = (loads.writeStream.option("checkpointLocation", f"{path}/checkpoint")
+         .foreachBatch(retention_on_load(plan_fn, f"{path}/plans")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{path}/plans").drop("batch_id")
+
+
+def stream_path(spark: SparkSession, name: str, *key: str) -> str:
+    """A folder below spark.checkpoint.dir that is the same for the same name and key, whichever run asks."""
+    tag = hashlib.sha1("\n".join(key).encode()).hexdigest()[:16]
+    return ensure_checkpoint_dir(spark).rstrip("/") + f"/streams/{name}-{tag}"
+
+
+def _latest_rows(changelog: DataFrame, keys: list[str]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(F.desc("_batch_id"))
+    return changelog.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
 def run_available_now(stream_df: DataFrame, mode: str, keys: list[str] | None = None,
-                      name: str = "stream") -> DataFrame:
+                      name: str = "stream", path: str | None = None) -> DataFrame:
     """Run a streaming query over everything available now and return its
     final result as a batch DataFrame.
 
-    Each micro-batch is written to a folder of a changelog below spark.checkpoint.dir;
-    for ``update`` mode the row of the latest batch per ``keys`` wins."""
+    ``path`` keeps the checkpoint and the changelog: a run that was stopped, or
+    that finds new input, resumes there. Without it the run has a folder of its
+    own. For ``update`` mode the row of the latest batch per ``keys`` wins; a
+    changelog of more than ``COMPACT_AT`` batches is replaced by these rows."""
     spark = stream_df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream-{name}-{uuid.uuid4().hex[:10]}"
+    base = path or ensure_checkpoint_dir(spark).rstrip("/") + f"/stream-{name}-{uuid.uuid4().hex[:10]}"
     sink, ckpt = base + "/changelog", base + "/checkpoint"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # a folder for each batch: one that is run again replaces its rows
-        (batch.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
-         .write.mode("overwrite").parquet(f"{sink}/b{batch_id:010d}"))
+        tables.append(batch.withColumn("_batch_id", F.lit(batch_id).cast("bigint")), sink, txn=(name, batch_id))
 
     q = (stream_df.writeStream.outputMode(mode).option("checkpointLocation", ckpt)
          .foreachBatch(write).trigger(availableNow=True).start())
     q.awaitTermination()
-    jpath, fs = _fs(spark, sink)
-    if not fs.exists(jpath):  # there was no batch
+    done = tables.version(spark, sink)
+    if not done.number:  # there was no batch
         return spark.createDataFrame([], stream_df.schema)
-    out = spark.read.option("recursiveFileLookup", "true").parquet(sink)
+    out = tables.read(spark, done)
     if mode == "update" and keys:
-        w = Window.partitionBy(*keys).orderBy(F.desc("_batch_id"))
-        out = out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        out = _latest_rows(out, keys)
+        if len(done.parts) > COMPACT_AT:
+            out = tables.read(spark, tables.replace(out, done))
     return out.drop("_batch_id")
 
 
 def refresh_monitor_handler(state_dir: str):
-    """ST-2: ``foreachBatch`` handler keeping per-object refresh state as
-    batch-numbered parquet versions below ``state_dir`` (shared folder).
+    """``foreachBatch`` handler keeping per-object refresh state as versions
+    of a table at ``state_dir`` (shared folder), for histories that arrive in
+    time order; ``monitor.RefreshMonitor`` does without that order.
 
     Each micro-batch (ObjectID, event_id, ts, StatusCD) is reduced with
     partial aggregates -- check count, first terminal check, checks before
     it, latest check -- so a hot object reaches the merge as one row; the
-    merge is a full outer join with the previous state. A version is named
-    after its batch id and skipped when it exists, so a retried batch is not
-    counted twice. Assumes each object's checks arrive in time order across
+    merge is a full outer join with the previous state. A batch is committed
+    once under its id, so a retried one is not counted twice. Assumes each object's checks arrive in time order across
     batches (an append-only history)."""
     from batchlens.operators.refresh import WAIT_STATUSES
-    from batchlens.sources.sinks import table_versions
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        target = f"{state_dir}/version={batch_id:010d}"
-        jpath, fs = _fs(spark, target + "/_SUCCESS")
-        if fs.exists(jpath):
+        base = tables.version(spark, state_dir)
+        if base.txns.get("monitor", -1) >= batch_id:
             return
         terminal = ~F.col("StatusCD").isin(*WAIT_STATUSES)
         chk = F.struct("ts", "event_id", "StatusCD")
@@ -156,12 +180,9 @@ def refresh_monitor_handler(state_dir: str):
                   .groupBy("ObjectID").agg(F.count(F.when(
                       F.struct("ts", "event_id") < F.struct(F.col("ft.ts"), F.col("ft.event_id")), 1)).alias("b")))
         cur = agg.join(before, "ObjectID")
-        versions = [v for v in table_versions(spark, state_dir) if v < f"version={batch_id:010d}"]
-        if versions:
-            prev = spark.read.parquet(f"{state_dir}/{versions[-1]}")
-        else:
-            prev = spark.createDataFrame([], "ObjectID bigint, CheckCNT bigint, FirstTerminalAttemptNBR bigint, "
-                                             "FirstTerminalStatusCD string, Latest struct<ts:timestamp,event_id:bigint,StatusCD:string>")
+        prev = tables.read(spark, base) if base.number else spark.createDataFrame(
+            [], "ObjectID bigint, CheckCNT bigint, FirstTerminalAttemptNBR bigint, "
+                "FirstTerminalStatusCD string, Latest struct<ts:timestamp,event_id:bigint,StatusCD:string>")
         p, c = prev.alias("p"), cur.alias("c")
         prev_n = F.coalesce(F.col("p.CheckCNT"), F.lit(0))
         merged = p.join(c, F.col("p.ObjectID") == F.col("c.ObjectID"), "full_outer").select(
@@ -173,7 +194,7 @@ def refresh_monitor_handler(state_dir: str):
             F.when(F.col("p.FirstTerminalAttemptNBR").isNotNull(), F.col("p.FirstTerminalStatusCD"))
             .otherwise(F.col("c.ft.StatusCD")).alias("FirstTerminalStatusCD"),
             F.greatest(F.col("p.Latest"), F.col("c.last")).alias("Latest"))
-        merged.write.mode("overwrite").parquet(target)
+        tables.replace(merged, base, txn=("monitor", batch_id))
 
     return handle
 
@@ -202,16 +223,15 @@ def refresh_monitor_outcome(state: DataFrame, operations: DataFrame, timeout: st
         "ObjectID", "ObjectNM", "ObjectTypeCD", "RetryAttemptNBR", check_flag(retry).alias("CheckRefreshStatusFLG"),
         F.col("CheckCNT").cast("bigint").alias("CheckCNT"), F.col("Latest.StatusCD").alias("LatestStatusCD"),
         F.least(F.col("CheckCNT"), retry).cast("bigint").alias("ChecksUsedCNT"),
-        fta.cast("bigint").alias("TerminalAttemptNBR"), outcome.alias("OutcomeCD"))
+        F.when(fta <= retry, fta).cast("bigint").alias("TerminalAttemptNBR"), outcome.alias("OutcomeCD"))
 
 
 def run_refresh_monitor(stream: DataFrame, operations: DataFrame, name: str = "refresh_monitor") -> DataFrame:
-    """Run ST-2 over everything available now; return the outcome per object."""
-    from batchlens.sources.sinks import read_latest
+    """Run the handler over everything available now; return the outcome per object."""
     spark = stream.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream-{name}-{uuid.uuid4().hex[:10]}"
     q = (stream.select("ObjectID", "event_id", "ts", "StatusCD").writeStream
          .option("checkpointLocation", base + "/checkpoint")
          .foreachBatch(refresh_monitor_handler(base + "/state")).trigger(availableNow=True).start())
     q.awaitTermination()
-    return refresh_monitor_outcome(read_latest(spark, base + "/state"), operations)
+    return refresh_monitor_outcome(tables.read(spark, tables.version(spark, base + "/state")), operations)
