@@ -6,7 +6,8 @@ regular expression (nothing is trained) and returns words with offsets. Windows
 of 1 to ``GRAM`` neighbouring offset pairs are the features; the CRC of a
 window, its words joined by one space, comes from the CRCs of its words
 (crc(ab) = crc(a) after len(b) zero bytes, xor crc(b)), so no feature is ever a
-string. Buckets of the CRCs are counted over all documents and all target
+string. White space is in no word, so a chunk between blanks is split once and
+its words are known when it comes again. Buckets of the CRCs are counted over all documents and all target
 texts; a document's weight sums the gains of its buckets, Gumbel noise from a
 hash of its id is added, and the highest scores are drawn.
 
@@ -30,6 +31,7 @@ import math
 import re
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -46,7 +48,9 @@ SEED = 42
 SLICE = 1 << 18  #: characters that are split and hashed at once
 BYTES = 32  #: bytes of a word that are hashed column by column
 LENGTHS = 64  #: lengths whose tables are kept as one array
+KNOWN, KNOWN_BYTES = 500_000, 32 << 20  #: chunks that a task remembers, and their bytes
 _GAP = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]")
+_BLANK = re.compile(rb"[\x09-\x0D\x20]")
 
 
 def _byte_table() -> np.ndarray:
@@ -113,17 +117,16 @@ def crcs(data: bytes, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return out
 
 
-def ascii_lowered(text: str) -> str:
-    return text.encode("utf-8", "replace").lower().decode()
-
-
 def _slices(text: str):
-    """A text cut before characters that are in no word."""
+    """A text cut after characters that are in no word; a piece is longer than ``SLICE`` only if it is one word."""
     at = 0
     while len(text) - at > SLICE:
-        cut = _GAP.search(text, at + SLICE)
-        yield text[at:cut.start() if cut else len(text)]
-        at = cut.start() if cut else len(text)
+        cut = max((m.end() for m in _GAP.finditer(text, at, at + SLICE)), default=None)
+        if cut is None:
+            gap = _GAP.search(text, at + SLICE)
+            cut = gap.start() if gap else len(text)
+        yield text[at:cut]
+        at = cut
     yield text[at:]
 
 
@@ -136,7 +139,7 @@ def _splitter():
 def word_offsets(split, text: str) -> tuple[bytes, np.ndarray]:
     """The text in UTF-8 and (start, end) bytes of its words."""
     pieces = split.pre_tokenize_str(text) if text else []
-    at = np.array([o for _, o in pieces], np.int64).reshape(-1, 2)
+    at = np.fromiter(chain.from_iterable(o for _, o in pieces), np.int64, 2 * len(pieces)).reshape(-1, 2)
     data = text.encode()
     if len(data) != len(text):
         starts = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
@@ -144,31 +147,95 @@ def word_offsets(split, text: str) -> tuple[bytes, np.ndarray]:
     return data, at
 
 
-def _blocks(texts):
-    """(row, CRC, length) of words, for about ``SLICE`` characters at once."""
-    split, held, size = _splitter(), [], 0
-
-    def hashed():
-        base, rows, spans = 0, [], []
-        for r, (data, at) in held:
-            rows.append(np.full(len(at), r))
-            spans.append(at + base)
-            base += len(data)
-        at = np.concatenate(spans)
-        length = at[:, 1] - at[:, 0]
-        return np.concatenate(rows), crcs(b"".join(data for _, (data, _) in held), at[:, 0], length), length
+class Chunks:
+    """Words of chunks between ASCII white space, which is in no word: a chunk is split once and then known.
+
+    ``number`` of a chunk leads to its words: ``crc`` and ``length`` from ``start`` on, ``count`` of them."""
+
+    def __init__(self):
+        self.split = _splitter()
+        self.clear()
+
+    def clear(self) -> None:
+        self.number, self.bytes = {}, 0
+        self.crc, self.length = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def learn(self, chunks: list[bytes]) -> None:
+        whole = [c for c in chunks if len(c) > SLICE]  # too long to hold as offsets: cut at its gaps
+        parts = [c.decode() for c in chunks if len(c) <= SLICE]
+        at = np.cumsum([0] + [len(c) + 1 for c in chunks if len(c) <= SLICE])
+        data, offsets = word_offsets(self.split, " ".join(parts))
+        length = offsets[:, 1] - offsets[:, 0]
+        found = [(crcs(data, offsets[:, 0], length), length)]
+        count = np.diff(np.searchsorted(offsets[:, 0], at)).tolist()
+        for c in whole:
+            words = [w.encode() for piece in _slices(c.decode()) for w in _words(self.split, piece)]
+            found.append((np.array([zlib.crc32(w) for w in words], np.uint32), np.array([len(w) for w in words], np.int64)))
+            count.append(len(words))
+        base, known = len(self.crc), len(self.number)
+        self.number.update((c, known + i) for i, c in enumerate([c for c in chunks if len(c) <= SLICE] + whole))
+        self.start = np.concatenate((self.start, base + np.cumsum([0, *count])[:-1]))
+        self.count = np.concatenate((self.count, np.array(count, np.int64)))
+        self.crc = np.concatenate([self.crc, *(x for x, _ in found)])
+        self.length = np.concatenate([self.length, *(x for _, x in found)])
+        self.bytes += sum(map(len, chunks))
+
+    def words(self, rows: list[int], texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, CRC, length) of the words of texts that are given as chunks."""
+        if self.bytes > KNOWN_BYTES or len(self.number) > KNOWN:
+            self.clear()
+        new = set().union(*texts).difference(self.number)
+        if new:
+            self.learn(sorted(new))
+        sizes = [len(t) for t in texts]
+        at = np.fromiter(map(self.number.__getitem__, chain.from_iterable(texts)), np.int64, sum(sizes))
+        row, count = np.repeat(rows, sizes), self.count[at]
+        places = self.start[at]
+        if not (count == 1).all():
+            row, places = np.repeat(row, count), np.repeat(places, count)
+            ends = np.cumsum(count)
+            places = places + np.arange(len(places)) - np.repeat(ends - count, count)
+        return row, self.crc[places], self.length[places]
+
+
+@lru_cache(1)
+def _known_chunks() -> Chunks:
+    """Those of this Python worker."""
+    return Chunks()
+
+
+def _words(split, piece: str) -> list[str]:
+    return [piece] if len(piece) > SLICE else [w for w, _ in split.pre_tokenize_str(piece)]
+
 
+def _blocks(texts):
+    """(row, CRC, length) of words, for about ``SLICE`` bytes at once."""
+    chunks, rows, held, size = _known_chunks(), [], [], 0
     for r, text in enumerate(texts):
         if not isinstance(text, str):
             continue
-        for piece in _slices(ascii_lowered(text)):
-            held.append((r, word_offsets(split, piece)))
+        data = text.encode("utf-8", "replace").lower()  # of bytes: A-Z alone
+        for piece in _pieces(data):
+            rows.append(r)
+            held.append(piece.split())
             size += len(piece)
             if size >= SLICE:
-                yield hashed()
-                held, size = [], 0
+                yield chunks.words(rows, held)
+                rows, held, size = [], [], 0
     if held:
-        yield hashed()
+        yield chunks.words(rows, held)
+
+
+def _pieces(data: bytes):
+    """A long text cut at ASCII white space."""
+    at = 0
+    while len(data) - at > SLICE:
+        gap = _BLANK.search(data, at + SLICE)
+        cut = gap.start() if gap else len(data)
+        yield data[at:cut]
+        at = cut
+    yield data[at:]
 
 
 def features(texts):
