@@ -47,9 +47,11 @@ BAND = 1.3  #: ratio of a band's sizes
 LEAST_BITS = 4  #: bits that a chunk needs to be filed, where the band's chunks are large enough
 GROUP = 2048  #: nodes of a key that are compared in one block
 BUCKET_DOCS = 2000  #: documents whose entries fill a bucket of keys
-HELD = 1_000_000  #: entries that a task packs at once
+HELD = 500_000  #: entries that a task packs at once
 FEW = 250  #: texts that a task hashes at once
-TILE = 4 << 20  #: shingles
+TILE = 1 << 20  #: shingles
+POSITION_BITS = 24  #: of a chunk: so many that unrelated shingles seldom share one, however few a chunk has
+PAIRS = 2000  #: pairs of sketches that are compared at once
 SLICE = 1 << 20  #: bytes of text held as arrays at once
 BROADCAST_ROWS = 1_000_000
 _SPACE = np.zeros(256, bool)
@@ -182,11 +184,11 @@ class Sketch:
         for band in self.bands(len(s)):
             count, spare, least = self.chunks(band)
             h = mix(s + np.uint64(band + 1))
-            code = np.sort((h % np.uint64(count)) * np.uint64(256) + (h >> np.uint64(56)))
+            code = np.sort(((h % np.uint64(count)) << np.uint64(POSITION_BITS)) + (h >> np.uint64(64 - POSITION_BITS)))
             # bits flipped an odd number of times are set
             code, times = np.unique(code, return_counts=True)
             code = code[times % 2 == 1]
-            chunk = code // np.uint64(256)
+            chunk = code >> np.uint64(POSITION_BITS)
             filled, first, bits = np.unique(chunk, return_index=True, return_counts=True)
             parity = np.add.reduceat(mix(code + np.uint64(1)), first) if len(code) else np.zeros(0, np.uint64)
             full = bits >= least
@@ -344,14 +346,31 @@ def shared_entries(docs: DataFrame, k: int, percent: int, rows: int) -> DataFram
     return dealt.mapInPandas(_repeated, "key long, node long").distinct()
 
 
+def folded(long: np.ndarray) -> np.ndarray:
+    """Sketches (rows of 64-bit words) folded to half their length."""
+    half = long.shape[1] // 2
+    return long[:, :half] ^ long[:, half:]
+
+
+def apart(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Hamming distance of each pair of sketches; of two lengths the longer is folded."""
+    out = np.zeros(len(a), np.int64)
+    widths = np.array([(len(x), len(y)) for x, y in zip(a, b, strict=True)], np.int64).reshape(-1, 2)
+    for wa, wb in set(map(tuple, widths.tolist())):
+        at = np.flatnonzero((widths == (wa, wb)).all(1))
+        for few in np.array_split(at, -(-len(at) // PAIRS)):
+            x, y = (np.frombuffer(b"".join(side[i] for i in few), "<u8").reshape(len(few), -1) for side in (a, b))
+            while x.shape[1] > y.shape[1]:
+                x = folded(x)
+            while y.shape[1] > x.shape[1]:
+                y = folded(y)
+            out[few] = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+    return out
+
+
 def close(sizes: np.ndarray, sketches: list[bytes], left: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """A forest (as positions) of the pairs of similar size whose sketches are close enough for a link: pairs of
     the first ``left`` sets with the rest, or (0) of all."""
-    if len(sizes) == 2:
-        a, b = (int(x) for x in sizes)
-        near = min(a, b) * 100 >= max(a, b) * percent and (
-            hamming(*sketches) * (100 + percent) <= (a + b) * (100 - percent))
-        return (np.array([0]), np.array([1])) if near else (np.zeros(0, np.intp), np.zeros(0, np.intp))
     n = len(sizes)
     width = np.array([len(s) for s in sketches])
     of_width = {w: np.flatnonzero(width == w) for w in set(width.tolist())}
@@ -423,16 +442,26 @@ def candidate_edges(entries: DataFrame, described: DataFrame, percent: int) -> D
     groups = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lo"),
                                         F.max("node").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("x"))
     # copies share most keys: of keys with the same nodes one is enough
-    once = (groups.where("n > 1").groupBy("n", "lo", "hi", "x").agg(F.min("key").alias("id"))
-            .select("id", F.ceil(F.col("n") / GROUP).cast("int").alias("blocks")))
+    once = written(groups.where("n > 1").groupBy("n", "lo", "hi", "x").agg(F.min("key").alias("id")), "key-groups")
     nodes = described.where("node IS NOT NULL").groupBy("node").agg(
         F.first("n_shingles").alias("n"), F.first("sketch").alias("s"))
-    rows = entries.join(once, entries["key"] == once["id"]).select("id", "blocks", "node").join(nodes, "node")
+    large = once.where("n > 2").select("id", F.ceil(F.col("n") / GROUP).cast("int").alias("blocks"))
+    rows = entries.join(large, entries["key"] == large["id"]).select("id", "blocks", "node").join(nodes, "node")
 
     def solve(held, left):
         return close(np.array([x for x, _ in held]), [x for _, x in held], left, percent)
 
-    return _tiled(rows, solve).distinct()
+    @F.pandas_udf("long")
+    def distance(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(apart(a.tolist(), b.tolist()))
+
+    # most groups are two nodes: no tiles, all pairs of a batch at once
+    two = once.where("n = 2").select("lo", "hi")
+    for side in ("lo", "hi"):
+        two = two.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("s").alias(f"s_{side}")), side)
+    two = two.where(100 * F.least("n_lo", "n_hi") >= percent * F.greatest("n_lo", "n_hi"))
+    two = two.where(distance("s_lo", "s_hi") * (100 + percent) <= (F.col("n_lo") + F.col("n_hi")) * (100 - percent))
+    return two.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionByName(_tiled(rows, solve)).distinct()
 
 
 def verify(sizes: np.ndarray, flat: np.ndarray, left: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
