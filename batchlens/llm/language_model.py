@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 
 from batchlens.llm.common import SPACE_WORD, ascii_lower, table, words_of, written
 
-CLASSES, WIDTH = 32, 32
+CLASSES, WIDTH = 64, 64
 IDS = CLASSES * WIDTH
-RARE = 64
+RARE = 256
 WORDS = IDS - RARE
 SIDE = 2
 EMBEDDING, HIDDEN = 16, 32
-BATCH, RATE = 4096, 0.005
+BATCH, RATE = 8192, 0.005
 BLOCK = 1 << 13
 KNOWN_LIMIT = 500_000  #: words whose ids a task remembers
 
@@ -139,7 +139,7 @@ def _by_class(of: np.ndarray):
 def _summed(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """The sum of the ``rows`` of each id."""
     out = np.zeros((IDS + 1, rows.shape[1]), rows.dtype)
-    order = np.argsort(ids.astype(np.int16), kind="stable")
+    order = np.argsort(ids.astype(np.int16), kind="stable")  # 16 bits: sorted by digits
     of = ids[order]
     first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
     out[of[first]] = np.add.reduceat(rows.take(order, axis=0), first, axis=0)
@@ -149,9 +149,10 @@ def _summed(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
 def step(p: dict, context: np.ndarray, target: np.ndarray) -> dict:
     """Gradients of the mean negative log-probability of ``target`` (n) given ``context`` (n, 2 SIDE)."""
     n = len(target)
-    z = p["b"] + np.zeros((n, 1), np.float32)
-    for k in range(2 * SIDE):
-        z += (p["E"] @ p["W"][k]).take(context[:, k], axis=0)
+    around = p["E"].take(context.ravel(), axis=0).reshape(n, -1)  # the window's embeddings side by side
+    weights = p["W"].reshape(-1, HIDDEN)
+    z = around @ weights
+    z += p["b"]
     h = np.tanh(z, out=z)
     of, within = target // WIDTH, target % WIDTH
     g = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
@@ -168,11 +169,8 @@ def step(p: dict, context: np.ndarray, target: np.ndarray) -> dict:
         g["D"][k], g["d"][k] = own.T @ low, low.sum(0)
         dh[at] += low @ p["D"][k].T
     dz = dh * (1 - h * h)
-    g["b"] = dz.sum(0)
-    for k in range(2 * SIDE):
-        by_id = _summed(context[:, k], dz)
-        g["W"][k] = p["E"].T @ by_id
-        g["E"] += by_id @ p["W"][k].T
+    g["b"], g["W"] = dz.sum(0), (around.T @ dz).reshape(SHAPES["W"])
+    g["E"] = _summed(context.ravel(), (dz @ weights.T).reshape(-1, EMBEDDING))
     return g
 
 
@@ -242,14 +240,12 @@ def train(docs: DataFrame, counts: DataFrame | None = None) -> tuple[dict, Vocab
 class Scorer:
     def __init__(self, p: dict, vocabulary: Vocabulary):
         self.p, self.vocabulary = p, vocabulary
-        #: What each id adds to the hidden layer at each place of the window.
-        self.tables = [(p["E"] @ p["W"][k]).astype(np.float32) for k in range(2 * SIDE)]
 
     def log_probabilities(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
         p = self.p
-        z = self.tables[0].take(padded[at + OFFSETS[0]], axis=0) + p["b"]
-        for k in range(1, 2 * SIDE):
-            z += self.tables[k].take(padded[at + OFFSETS[k]], axis=0)
+        near = padded[at[:, None] + np.array(OFFSETS)]
+        z = p["E"].take(near.ravel(), axis=0).reshape(len(at), -1) @ p["W"].reshape(-1, HIDDEN)
+        z += p["b"]
         h, target = np.tanh(z, out=z), padded[at]
         of, within = target // WIDTH, target % WIDTH
         out = _log_softmax(h @ p["C"] + p["c"])[np.arange(len(at)), of].astype(np.float64)
@@ -269,7 +265,10 @@ class Scorer:
             words = np.flatnonzero(ids != IDS)
             for a in range(0, len(words), BLOCK):
                 at = words[a:a + BLOCK]
-                np.add.at(total, row[at], self.log_probabilities(ids, at))
+                found = self.log_probabilities(ids, at)
+                own = row[at]  # in order, so each text's words are one run
+                first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+                total[own[first]] += np.add.reduceat(found, first)
 
         for r, text in enumerate(texts):
             words, ids = self.vocabulary.split(text)
