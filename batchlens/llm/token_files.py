@@ -3,7 +3,7 @@
 Documents are dealt to shards by ranges of doc_id, encoded by the tokenizer,
 and each file gets a grammar of its own: rounds of counting adjacent id pairs
 and replacing the most frequent ones by nonterminals (Larsson and Moffat's
-Re-Pair, ``PAIRS`` pairs a round). No rule spans two documents, so an index of
+Re-Pair, up to ``PAIRS`` pairs a round) until no pair is used ``LEAST_USES`` times. No rule spans two documents, so an index of
 first symbols and the rules' expansion lengths decode any document, or any
 place of one, without the rest of the file.
 
@@ -28,7 +28,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchlens.llm.common import table, work_path
@@ -38,7 +38,10 @@ END = 1
 SHARD_BYTES = 8 << 20  #: text bytes of a shard
 FILE_TOKENS = 4 << 20
 CACHE = 600_000  #: chunks of a generation; the one before is kept as well
-ROUNDS, PAIRS, LEAST_USES = 4, 1024, 12
+PAIRS, LEAST_USES = 4096, 12
+SLOT_BITS = 18
+GROUP = 1000  #: shards whose files are summed up together
+MOST_TASKS = 20_000  #: that read the files back
 MAGIC = b"RPAIR001"
 HEADER = "<8s5q"  # magic, documents, terminals, rules, symbols, bytes of a symbol
 MANIFEST = "shard int, part int, file string, documents long, tokens long, symbols long, bytes long, sha1 string"
@@ -108,37 +111,62 @@ class Encoder:
         return [b"".join(ids) for ids in found]
 
 
+def _frequent(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kinds, places, kind of each place) of up to ``PAIRS`` frequent pairs; negative pairs are none.
+
+    Pairs are counted by hash slots; each of the fullest slots stands for the pair that comes first in it, whose own
+    uses are then counted exactly. A pair that shares a slot with another waits for the next round at most."""
+    slot = ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+    slot[pair < 0] = 1 << SLOT_BITS
+    uses = np.bincount(slot, minlength=(1 << SLOT_BITS) + 1)[:-1]
+    full = np.flatnonzero(uses >= LEAST_USES)
+    if len(full) > 2 * PAIRS:
+        full = full[np.argpartition(-uses[full], 2 * PAIRS)[:2 * PAIRS]]
+    rank = np.full((1 << SLOT_BITS) + 1, -1, np.int32)
+    rank[full] = np.arange(len(full))
+    which = rank[slot]
+    places = np.flatnonzero(which >= 0)
+    which = which[places]
+    kinds = np.zeros(len(full), np.int64)
+    kinds[which[::-1]] = pair[places[::-1]]  # the first of each slot
+    own = pair[places] == kinds[which]
+    places, which = places[own], which[own]
+    count = np.bincount(which, minlength=len(full))
+    best = np.lexsort((kinds, -count))[:PAIRS]
+    best = best[count[best] >= LEAST_USES]
+    order = np.full(len(full), -1, np.int32)
+    order[best] = np.arange(len(best))
+    which = order[which]
+    chosen = which >= 0
+    return kinds[best], places[chosen], which[chosen]
+
+
 def repair(ids: np.ndarray, last: np.ndarray, terminals: int):
     """(symbols, last, rules): rule r is (left, right), its symbol ``terminals + r``.
 
-    ``last`` marks a document's last id; pairs that begin there are not replaced.
+    ``last`` marks a document's last id; pairs that begin there are not replaced. Rounds go on until no pair is used
+    ``LEAST_USES`` times, or until what a round replaces is less than its rules take.
     """
     seq, rules = ids.astype(np.int64), []
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         pair = (seq[:-1] << 32) | seq[1:]
         pair[last[:-1]] = -1
-        slot = ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.intp)
-        uses = np.bincount(slot, minlength=1 << 18)
-        least = max(LEAST_USES, int(np.partition(uses, -2 * PAIRS)[-2 * PAIRS]))
-        at = np.flatnonzero((uses >= least)[slot] & (pair >= 0))
-        kinds, which, count = np.unique(pair[at], return_inverse=True, return_counts=True)
-        best = np.lexsort((kinds, -count))[:PAIRS]
-        best = best[count[best] >= LEAST_USES]
-        if not len(best):
+        kinds, at, which = _frequent(pair)
+        if not len(kinds):
             break
-        symbol = np.full(len(kinds), -1)
-        symbol[best] = terminals + len(rules) + np.arange(len(best))
-        chosen = symbol[which] >= 0
-        at, new = at[chosen], symbol[which][chosen]
         # of pairs that overlap, every second one from the left
         run = np.cumsum(np.concatenate(([True], np.diff(at) > 1)))
         first = np.searchsorted(run, run)
         free = (np.arange(len(at)) - first) % 2 == 0
-        at, new = at[free], new[free]
-        rules += [(int(k) >> 32, int(k) & 0xFFFFFFFF) for k in kinds[best]]
-        seq[at] = new
+        at, which = at[free], which[free]
+        # what overlaps left too few uses of is no rule
+        worth = np.bincount(which, minlength=len(kinds)) >= LEAST_USES // 2
+        if not worth.any():
+            break
+        number = np.cumsum(worth) - 1
+        at, which = at[worth[which]], number[which[worth[which]]]
+        seq[at] = terminals + len(rules) + which
+        rules += [(int(k) >> 32, int(k) & 0xFFFFFFFF) for k in kinds[worth]]
         last[at] = last[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
@@ -271,13 +299,24 @@ def write(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame:
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
+def starts(manifest: DataFrame) -> DataFrame:
+    """(file, base): the ids before each file. Sums over groups of shards, then within them: no list of all files is
+    in one place, only one row for each ``GROUP`` shards."""
+    rows = manifest.select("file", "part", "shard", "tokens", F.floor(F.col("shard") / GROUP).alias("group"))
+
+    def before(size: str, *order: str, by: tuple = ()):
+        over = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(size).over(over), F.lit(0))
+
+    groups = rows.groupBy("group").agg(F.sum("tokens").alias("total"))
+    groups = groups.select(F.col("group").alias("g"), before("total", "group").alias("first"))
+    rows = rows.withColumn("own", before("tokens", "shard", "part", by=("group",)))
+    return rows.join(groups, F.col("group") == F.col("g")).select("file", (F.col("first") + F.col("own")).alias("base"))
+
+
 def read(manifest: DataFrame, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the files."""
-    # one small row a file: where its first id stands among all
-    listed = sorted((r["shard"], r["part"], r["file"], r["tokens"]) for r in manifest.collect())
-    base = np.concatenate(([0], np.cumsum([x[3] for x in listed], dtype=np.int64)))
-    spark = manifest.sparkSession
-    files = spark.createDataFrame([(x[2], int(b)) for x, b in zip(listed, base, strict=False)], "file string, base long")
+    files = starts(manifest)
 
     def load(batches):
         for pdf in batches:
@@ -293,7 +332,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                     "n_tokens": np.diff(cuts),
                     "ids_crc32": [zlib.crc32(ids[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]})
 
-    found = files.repartition(max(1, len(listed)), "file").mapInPandas(
+    found = files.repartition(min(max(manifest.count(), 1), MOST_TASKS), "file").mapInPandas(
         load, "doc_id string, start long, n_tokens long, ids_crc32 long")
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
