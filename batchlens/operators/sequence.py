@@ -6,26 +6,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from batchlens.functions.fixed import (CELL_CLOSE, DID_NOT_RUN, DURATION, EDGE_ACTIVE, EDGE_INACTIVE, LABEL_CLOSE, LABEL_OPEN,
+                                       MINUTES, NAME_CLOSE, NOT_SCHEDULED_TODAY, SEQ_BATCH_CELL_BROKEN, SEQ_BATCH_CELL_OK,
+                                       SEQ_FINISHED, SEQ_LAST_RUN, SEQ_MART_CELL, SEQ_MART_CELL_BROKEN, SEQ_NEXT_RUN, SEQ_RUNNING)
 from batchlens.functions.tsql import amp_to_and, fmt_ts, int_avg_minutes, tsql_concat, tsql_plus
 from batchlens.session import as_of_literal
 
-# Run-status codes (PF-8) and label fragments of the sequence graph.
+# Run-status codes (PF-8).
 FINISHED = "FINISHED"
 IN_PROGRESS = "IN_PROGRESS"
 MISSED = "MISSED"
 NOT_SCHEDULED = "NOT_SCHEDULED"
 MISSED_UNSCHEDULED = "MISSED_UNSCHEDULED"
 
-TABLE_OPEN = '<table border="1" cellspacing="0" cellpadding="5" cellborder="0">'
-SEQ_MART_CELL = {"Source": '<td bgcolor="#cee2ffff">', "Subject Area": '<td bgcolor="#a487b7">'}
-SEQ_MART_CELL_BROKEN = '<td bgcolor="#cfcfcfed" data-cell-info="Broken References">'
-SEQ_BATCH_CELL_OK = '<tr><td bgcolor="#ffffff">'
-SEQ_BATCH_CELL_BROKEN = '<tr><td bgcolor="#ffb255ed" data-cell-info="Broken References">'
-DID_NOT_RUN = '<tr><td bgcolor="#FF0000" style="color: #ffffff">Did not run today</td></tr>'
-NOT_SCHEDULED_TODAY = '<tr><td bgcolor="#aeaeae" style="color: #ffffff">Not Scheduled Today</td></tr>'
-EDGE_ACTIVE = 'target="_blank" rel="noopener noreferrer" style="solid"'
-EDGE_INACTIVE = 'style="dashed" color="#5E676F"'
-
 
 def run_stats(batch_history: DataFrame, as_of: str | None = None, lookback_days: int = 180) -> DataFrame:
     """A-3..A-5 fused into one aggregate per (DataMartID, BatchDefinitionID).
@@ -149,29 +142,25 @@ def sequenced_nodes(cat, as_of: str | None = None) -> DataFrame:
 
 
 def sequence_label() -> Column:
-    """DOT node line of the sequence graph (SEQ label layout)."""
-    mart_cell = (F.when(F.col("DataMartTypeDSC") == "Source", SEQ_MART_CELL["Source"])
-                  .when(F.col("DataMartTypeDSC") == "Subject Area", SEQ_MART_CELL["Subject Area"])
-                  .otherwise(SEQ_MART_CELL_BROKEN))
+    """DOT node line of the sequence graph: mart, batch, duration, schedule, and what the run status shows."""
+    kind, status, done = F.col("DataMartTypeDSC"), F.col("RunStatusCD"), F.col("CompletedDTS")
+    mart_cell = F.lit(SEQ_MART_CELL_BROKEN)
+    for name, cell in SEQ_MART_CELL.items():
+        mart_cell = F.when(kind == name, cell).otherwise(mart_cell)
     batch_cell = F.when(F.col("BatchDefinitionID").isNotNull(), SEQ_BATCH_CELL_OK).otherwise(SEQ_BATCH_CELL_BROKEN)
-    last_run = tsql_concat("<tr><td>Last Run: ", F.col("CompletedDTS"), "</td></tr>")
-    next_run = tsql_concat("<tr><td>Next Run: ", F.col("NextScheduledStartDTS"), "</td></tr>")
-    status_rows = (F.when(F.col("RunStatusCD") == FINISHED,
-                          tsql_concat('<tr><td bgcolor="#69b660ff">Finished at ', F.col("CompletedDTS"), "</td></tr>"))
-                    .when(F.col("RunStatusCD") == IN_PROGRESS, F.lit('<tr><td bgcolor="#2a77bb">In Progress</td></tr>'))
-                    .when(F.col("RunStatusCD") == MISSED, F.concat(last_run, next_run, F.lit(DID_NOT_RUN)))
-                    .when(F.col("RunStatusCD") == NOT_SCHEDULED, F.concat(last_run, next_run, F.lit(NOT_SCHEDULED_TODAY)))
-                    .otherwise(F.concat(last_run, F.lit(DID_NOT_RUN))))
-    link = tsql_concat('"', F.col("DataMartNM"), ".", F.col("BatchDefinitionNM"), '"')
+    last_run = tsql_concat(SEQ_LAST_RUN, done, CELL_CLOSE)
+    both_runs = F.concat(last_run, tsql_concat(SEQ_NEXT_RUN, F.col("NextScheduledStartDTS"), CELL_CLOSE))
+    shown = {FINISHED: tsql_concat(SEQ_FINISHED, done, CELL_CLOSE), IN_PROGRESS: F.lit(SEQ_RUNNING),
+             MISSED: F.concat(both_runs, F.lit(DID_NOT_RUN)), NOT_SCHEDULED: F.concat(both_runs, F.lit(NOT_SCHEDULED_TODAY))}
+    status_rows = F.concat(last_run, F.lit(DID_NOT_RUN))
+    for code, rows in shown.items():
+        status_rows = F.when(status == code, rows).otherwise(status_rows)
+    minutes = tsql_concat("<tr><td>", DURATION, F.coalesce(F.col("AvgDurationNBR"), F.lit(0)), MINUTES, CELL_CLOSE)
+    schedule = tsql_concat("<tr><td>", F.col("ScheduleCategoryCD"), " | ", F.col("SchedulePatternTypeCD"), CELL_CLOSE)
     return tsql_plus(
-        link, F.lit(f" [label=<{TABLE_OPEN}"),
-        tsql_concat("<tr>", mart_cell, "<b>", F.col("DataMartNM"), "</b></td></tr>"),
-        tsql_concat(batch_cell, F.col("BatchDefinitionNM"), "</td></tr>",
-                    "<tr><td>", tsql_concat("Average Duration-", F.coalesce(F.col("AvgDurationNBR"), F.lit(0)), " min"),
-                    "</td></tr>", "<tr><td>",
-                    tsql_concat(F.col("ScheduleCategoryCD"), " | ", F.col("SchedulePatternTypeCD")),
-                    "</td></tr>", status_rows),
-        F.lit("</table>>];"))
+        tsql_concat('"', F.col("DataMartNM"), ".", F.col("BatchDefinitionNM"), '"'), F.lit(LABEL_OPEN),
+        tsql_concat("<tr>", mart_cell, "<b>", F.col("DataMartNM"), NAME_CLOSE),
+        tsql_concat(batch_cell, F.col("BatchDefinitionNM"), CELL_CLOSE, minutes, schedule, status_rows), F.lit(LABEL_CLOSE))
 
 
 def service_base_url(services: DataFrame, service_name: str = "IDEA-Web") -> DataFrame:
