@@ -161,3 +161,11 @@ def test_references_are_parsed_once_and_repeated(spark):
     assert len(want) == 4 and sorted(map(str, downstream_references(cat).collect())) == want
     one = downstream_references(cat, source_mart="C").count()
     assert one == extract_references(downstream_bindings(cat, "C")).count() == 0
+
+
+def test_service_address_ends_with_one_slash(spark):
+    from batchlens.operators.sequence import service_base_url
+    for url, want in (("https://s.example.org", "https://s.example.org/"), ("https://s.example.org/", "https://s.example.org/")):
+        services = spark.createDataFrame([("IDEA-Web", url), ("Other", "x")], "ServiceNM string, ServiceUrl string")
+        assert service_base_url(services).first().BaseUrl == want
+    assert service_base_url(services.filter("ServiceNM = 'Other'")).first().BaseUrl is None
