@@ -63,6 +63,13 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def sampled(seed: int, *columns: str, wanted: int, rows: int) -> Column:
+    """Rows whose hash of ``columns`` is among the lowest ``wanted`` of ``rows`` parts: about ``wanted`` rows of any
+    number, as the hash has 63 bits."""
+    most = (1 << 63) - 1
+    return F.xxhash64(F.lit(seed), *columns).bitwiseAND(F.lit(most)) <= F.lit(most * min(wanted, rows) // max(rows, 1))
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Removes a scratch table of ``work_path`` that nothing reads any more."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -16,7 +16,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from batchlens.llm.common import sampled
+
 SAMPLE_PER_SHARD = 40
+MOST_SAMPLED = 2_000_000  #: keys on the driver at most, for any number of shards
 
 
 def ranges(rows: DataFrame, key: str, size: Column, shard_bytes: int) -> list[int]:
@@ -25,9 +28,10 @@ def ranges(rows: DataFrame, key: str, size: Column, shard_bytes: int) -> list[in
     shards = max(1, -(-(total["bytes"] or 0) // shard_bytes))
     if shards == 1:
         return []
-    share = int(1_000_000 * min(1.0, shards * SAMPLE_PER_SHARD / total["n"]))
-    sample = rows.where(F.pmod(F.xxhash64(F.lit(23), key), F.lit(1_000_000)) < share).where(F.col(key).isNotNull())
-    drawn = sample.select(F.col(key).alias("key"), (size + 1).alias("bytes")).toPandas().sort_values(["key", "bytes"])
+    sample = rows.where(sampled(23, key, wanted=min(shards * SAMPLE_PER_SHARD, MOST_SAMPLED), rows=total["n"]))
+    # a key that repeats is one row with all its bytes
+    drawn = (sample.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.sum(size + 1).alias("bytes"))
+             .toPandas().sort_values(["key", "bytes"]))
     if not len(drawn):
         return []
     at = np.searchsorted(drawn["bytes"].cumsum(), np.arange(1, shards) * drawn["bytes"].sum() / shards)

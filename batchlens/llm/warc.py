@@ -32,6 +32,7 @@ from batchlens.llm.common import broadcast_if_small, table, work_path
 from batchlens.llm.shards import RenamedFile, file_system, ranges, shard_of
 
 REVISIT_BYTES = 1000
+MOST_TASKS = 20_000  #: that read the archives back
 SHARD_BYTES = 32 << 20  #: payload bytes of a shard
 ROLL_BYTES = 8 << 20  #: compressed bytes of a file
 BROADCAST_ROWS = 500_000
@@ -181,7 +182,8 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                         rows.append(parse(data) | {"file": name})
                 yield pd.DataFrame(rows)
 
-    files = manifest.select("file").repartition(F.col("file"))
+    # with a number of its own: by their size the few rows of the list would be put in one task
+    files = manifest.select("file").repartition(min(max(manifest.count(), 1), MOST_TASKS), "file")
     raw = files.mapInPandas(load, "page string, bytes long, digest string, type string, refers string, url string, "
                                   "file string")
     return raw.select(F.col("page").cast("long").alias("page_id"), F.col("bytes").alias("payload_bytes"),
