@@ -28,6 +28,7 @@ from batchlens.llm.common import (PLAIN_WORD, ascii_lower, broadcast_if_small, l
 GUARANTEE = 10
 K = 5
 BROADCAST_ROWS = 2_000_000
+BROADCAST_KINDS = 20_000  #: sets of items, each with its ids
 
 
 def _split(df: DataFrame, *cols) -> DataFrame:
@@ -62,11 +63,21 @@ def item_windows(items: DataFrame) -> DataFrame:
             .select(F.col("col.g").alias("g"), "item", "length").distinct())
 
 
-def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, k, item, start, length): every place of a document where a window of an item occurs."""
+def window_sets(wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(g, length, set): each window once, with the id of the set of items that have it; (set, items): those sets.
+
+    A document meets a window once, however many items share it; items come in per set, not per place."""
+    per = wanted.groupBy("g", "length").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    per = written(per.withColumn("set", F.sha2(F.to_json("items").cast("binary"), 256)), "window-sets")
+    return per.select("g", "length", "set"), per.groupBy("set").agg(F.first("items").alias("items"))
+
+
+def hits(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, k, set, start, length): every place of a document where a window of items occurs; (set, items)."""
     items = written(_split(benchmark, F.col("item_id").cast("string").alias("item")), "items")
     wanted = written(item_windows(items), "item-windows")
-    lengths = {r["length"]: r["count"] for r in wanted.groupBy("length").count().collect()}  # at most GUARANTEE rows
+    windows_of, sets = window_sets(wanted)
+    lengths = {r["length"]: r["count"] for r in windows_of.groupBy("length").count().collect()}  # at most GUARANTEE rows
     marks = items.select(F.explode(fingerprints(F.col("w"))).alias("h")).distinct()
     words = _split(docs, "doc_id", row_key().alias("k"))
     found = []
@@ -80,15 +91,15 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                                 same_row(words, known), "left_semi")
         spans = (source.select("doc_id", "k", F.explode(windows(F.col("w"), length)).alias("x"))
                  .select("doc_id", "k", F.col("x.g").alias("g"), F.col("x.start").alias("start")))
-        found.append(spans.join(broadcast_if_small(wanted.where(F.col("length") == length), rows, BROADCAST_ROWS), "g")
-                     .select("doc_id", "k", "item", "start", "length"))
+        found.append(spans.join(broadcast_if_small(windows_of.where(F.col("length") == length), rows, BROADCAST_ROWS), "g")
+                     .select("doc_id", "k", "set", "start", "length"))
     if not found:
-        return docs.sparkSession.createDataFrame([], words.select("doc_id", "k").schema.add("item", "string")
-                                                 .add("start", "integer").add("length", "integer"))
+        return docs.sparkSession.createDataFrame([], words.select("doc_id", "k").schema.add("set", "string")
+                                                 .add("start", "integer").add("length", "integer")), sets
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out
+    return out, sets
 
 
 def _covered(starts: Column) -> Column:
@@ -101,11 +112,18 @@ def _covered(starts: Column) -> Column:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per document with hits: words hit, items, digest of the item ids. One row for rows that repeat."""
-    spans = hits(docs.select("doc_id", "text"), benchmark)
-    return spans.groupBy("doc_id", "k").agg(
+    """Per document with hits: words hit, item ids. One row for rows that repeat."""
+    places, sets = hits(docs.select("doc_id", "text"), benchmark)
+    found = written(places.groupBy("doc_id", "k").agg(
         _covered(F.collect_set(F.struct("start", "length"))).alias("n_hit"),
-        F.sort_array(F.collect_set("item")).alias("items"))
+        F.sort_array(F.collect_set("set")).alias("sets")), "hits")
+    # documents with the same sets have the same items: found once for them all
+    kinds = found.select("sets").distinct()
+    items = (kinds.select("sets", F.explode("sets").alias("set")).join(sets, "set")
+             .select("sets", F.explode("items").alias("item")).groupBy("sets")
+             .agg(F.sort_array(F.collect_set("item")).alias("items")))
+    items = written(items, "hit-items")
+    return found.join(broadcast_if_small(items, items.count(), BROADCAST_KINDS), "sets").drop("sets")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
