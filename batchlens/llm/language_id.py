@@ -28,10 +28,11 @@ import re
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchlens.llm.common import table
+from batchlens.llm.common import sampled, table
 
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no"),
@@ -47,7 +48,7 @@ UNKNOWN = "und"
 MIN_SCORE = 0.2
 #: Added to a trigram's frequency in a language.
 FLOOR = 1e-6
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 #: Bytes to bytes: ASCII letters in lower case, other ASCII as spaces, the rest as it is.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -205,10 +206,9 @@ def train(docs: DataFrame) -> Model | None:
     counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     if not counts:
         return None
-    dice = F.pmod(F.xxhash64(F.lit(3), "doc_id", "text"), F.lit(1_000_000))
-    share = F.lit(0)
+    drawn = F.lit(False)
     for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, int(1_000_000 * min(1, SAMPLE_PER_LANGUAGE / n))).otherwise(share)
+        drawn = drawn | ((F.col("lang") == lang) & sampled(3, "doc_id", "text", wanted=SAMPLE_PER_LANGUAGE, rows=n))
 
     def vectors(batches):
         for pdf in batches:
@@ -217,7 +217,8 @@ def train(docs: DataFrame) -> Model | None:
                 few = pdf.iloc[at:at + FEW]
                 yield pd.DataFrame({"lang": few.lang, "x": [v.tobytes() for v in frequencies(list(few.text))]})
 
-    sample = labelled.where(dice < share).select("lang", "text").mapInPandas(vectors, "lang string, x binary")
+    # of rows that repeat one is enough, so that the sample stays as small as stated
+    sample = labelled.where(drawn).select("lang", "text").distinct().mapInPandas(vectors, "lang string, x binary")
     rows = sorted(((r["lang"], bytes(r["x"])) for r in sample.collect()))
     if not rows:
         return None
