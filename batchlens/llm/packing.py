@@ -9,10 +9,11 @@ holds its contents. Documents longer than the largest length are cut. Lengths
 are words, not token ids; a word counts once for each ``LONGEST`` characters
 begun, so text without blanks has its length too.
 
-Pieces are dealt by a hash of their document to blocks of about ``BLOCK``
+Pieces are dealt by a hash of document, piece and row to blocks of about ``BLOCK``
 pieces, which are packed independently, each in bounded memory: what is lost is
-at most the last bins of a block. A block is closed when it is full, so many
-rows with one key cannot grow it.
+at most the last bins of a block. The rows of one doc_id go to up to ``SALTS``
+tasks, and a block is closed when it is full, so many rows with one key neither
+gather in a task nor grow a block.
 
 Defined results: NULL or empty text has one token, the end mark; equal rows are
 packed each; ties keep the order of doc_id and piece; an empty table gives an
@@ -32,6 +33,7 @@ from batchlens.llm.common import SPACE_WORD, table
 LONGEST = 64  #: characters of a word that count as one
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 BLOCK = 20_000
+SALTS = 1024  #: tasks that the rows of one doc_id are dealt to
 SEQUENCE_COST = 64.0  #: tokens' worth of work that every sequence takes
 ATTENTION = 32_768.0  #: length at which attention costs as much as the rest
 PACKED = ("doc_id string, piece int, start long, length int, bin_id long, bin_offset int, capacity int, "
@@ -74,15 +76,16 @@ def pieces(docs: DataFrame, capacities=CAPACITIES) -> DataFrame:
     """doc_id, piece, start, length: words (long ones in parts) and an end mark, cut at the largest capacity."""
     most = max(capacities)
     n = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(f"{SPACE_WORD[:-1]}{{1,{LONGEST}}}")) + 1
-    return (docs.select("doc_id", n.cast("long").alias("n"))
-            .select("doc_id", "n", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / most).cast("int"))).alias("piece"))
-            .select("doc_id", "piece", (F.col("piece").cast("long") * most).alias("start"),
+    row = [c for c in docs.columns if c == "row"]
+    return (docs.select("doc_id", *row, n.cast("long").alias("n"))
+            .select("doc_id", *row, "n", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / most).cast("int"))).alias("piece"))
+            .select("doc_id", *row, "piece", (F.col("piece").cast("long") * most).alias("start"),
                     F.least(F.lit(most), F.col("n") - F.col("piece") * most).cast("int").alias("length")))
 
 
 def best_fit(docs: DataFrame, capacities=CAPACITIES) -> DataFrame:
     """Every piece with its bin, its place in it, the bin's contents and its final capacity."""
-    cut = pieces(docs.select("doc_id", "text"), capacities)
+    cut = pieces(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")), capacities)
     blocks = max(1, -(-docs.count() // BLOCK))
 
     def place(batches):
@@ -107,7 +110,7 @@ def best_fit(docs: DataFrame, capacities=CAPACITIES) -> DataFrame:
             yield closed(held)
 
     dealt = (cut.withColumn("doc_id", F.col("doc_id").cast("string"))
-             .repartition(blocks, F.xxhash64(F.lit(29), "doc_id"))
+             .repartition(blocks, F.xxhash64(F.lit(29), "doc_id", "piece", F.pmod("row", F.lit(SALTS)))).drop("row")
              .sortWithinPartitions("doc_id", "piece", "length"))
     return dealt.mapInPandas(place, PACKED).withColumn("doc_id", F.col("doc_id").cast("long"))
 

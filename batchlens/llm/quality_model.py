@@ -6,9 +6,11 @@ word pairs within the document, then a tanh layer), gated attention weights
 are learned from document labels alone (Ilse, Tomczak and Welling, 2018), and
 the weighted sum of the encodings is scored.
 
-Training is numpy on at most ``SAMPLE_PER_LABEL`` documents a label, of each at
-most ``BAG`` passages evenly spread; scoring reads every passage of every text
-with a running softmax, so memory does not grow with a text.
+Training is numpy on about ``SAMPLE_PER_LABEL`` documents a label (an id that
+repeats counts once). A training document is read whole: beyond ``BAG`` passages
+neighbouring ones are averaged, so its bag has at most ``BAG`` rows. Scoring reads
+every passage of every text with a running softmax, so memory does not grow
+with a text.
 
 Defined results: NULL text counts as empty and scores as a bag of one empty
 passage; without labelled rows of both labels every score is 0.5; several
@@ -23,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchlens.llm.common import table
+from batchlens.llm.common import sampled, table
 from batchlens.llm.language_id import held_out
 
 PASSAGE = 512
@@ -42,21 +44,19 @@ CLASS = np.array([_marks[chr(b)] if chr(b) in _marks else 0 if 97 <= b <= 122 or
 FEATURES = CLASSES * CLASSES + 4
 
 
-def passages(text: str | None, most: int | None = None):
-    """Blocks of passage features of one text; ``most``: evenly spread passages only."""
+def passages(text: str | None):
+    """Blocks of passage features of one text."""
     b = (text or "").encode("utf-8", "replace")
     cuts = range(0, max(len(b), 1), PASSAGE)
-    keep = None if most is None or len(cuts) <= most else set(np.linspace(0, len(cuts) - 1, most).astype(int))
     seen_words, seen_pairs, held = set(), set(), []
-    for i, at in enumerate(cuts):
+    for at in cuts:
         part = b[at:at + PASSAGE]
         words = part.split()
         kinds, pairs = set(words), set(zip(words, words[1:], strict=False))
-        if keep is None or i in keep:
-            n = max(len(words), 1)
-            held.append((part, (sum(map(len, words)) / n / 10, len(kinds) / n,
-                                len(kinds - seen_words) / max(len(kinds), 1),
-                                len(pairs - seen_pairs) / max(len(pairs), 1))))
+        n = max(len(words), 1)
+        held.append((part, (sum(map(len, words)) / n / 10, len(kinds) / n,
+                            len(kinds - seen_words) / max(len(kinds), 1),
+                            len(pairs - seen_pairs) / max(len(pairs), 1))))
         seen_words |= kinds
         seen_pairs |= pairs
         if len(held) == BLOCK:
@@ -66,6 +66,17 @@ def passages(text: str | None, most: int | None = None):
         yield _features(held)
 
 
+def bag(text: str | None, most: int = BAG) -> np.ndarray:
+    """All passages of a text in at most ``most`` rows, each the mean of neighbouring passages."""
+    n = max(1, -(-len((text or "").encode("utf-8", "replace")) // PASSAGE))
+    rows, at = min(n, most), 0
+    total = np.zeros((rows, FEATURES))
+    for x in passages(text):
+        np.add.at(total, np.arange(at, at + len(x)) * rows // n, x)
+        at += len(x)
+    return (total / np.bincount(np.arange(n) * rows // n)[:, None]).astype(np.float32)
+
+
 def _features(held) -> np.ndarray:
     c = [CLASS[np.frombuffer(p, np.uint8)] for p, _ in held]
     pair = np.concatenate([i * CLASSES * CLASSES + x[:-1] * CLASSES + x[1:] for i, x in enumerate(c)])
@@ -134,18 +145,17 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     counts = {r["_quality"]: r["count"] for r in known.groupBy("_quality").count().collect()}
     if len(counts) < 2:
         return None
-    dice = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1_000_000))
-    share = F.when(F.col("_quality") == 1, int(1_000_000 * min(1, SAMPLE_PER_LABEL / counts[1]))).otherwise(
-        int(1_000_000 * min(1, SAMPLE_PER_LABEL / counts[0])))
-    few = known.where(dice < share)  # about SAMPLE_PER_LABEL rows a label, whatever the input
+    few = known.where(F.when(F.col("_quality") == 1, sampled(5, "doc_id", wanted=SAMPLE_PER_LABEL, rows=counts[1]))
+                      .otherwise(sampled(5, "doc_id", wanted=SAMPLE_PER_LABEL, rows=counts[0])))
 
     def bags(batches):
         for pdf in batches:
-            x = [np.vstack(list(passages(t if isinstance(t, str) else None, BAG))) for t in pdf.text]
+            x = [bag(t if isinstance(t, str) else None) for t in pdf.text]
             yield pd.DataFrame({"quality": pdf["_quality"], "x": [v.tobytes() for v in x]})
 
-    sample = (docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("_quality", "text")
-              .mapInPandas(bags, "quality int, x binary"))
+    # an id that repeats gives one text, so that the sample has SAMPLE_PER_LABEL rows a label, whatever the input
+    sample = (docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").groupBy("doc_id", "_quality")
+              .agg(F.min("text").alias("text")).select("_quality", "text").mapInPandas(bags, "quality int, x binary"))
     rows = sorted((r["quality"], bytes(r["x"])) for r in sample.collect())
     if len({q for q, _ in rows}) < 2:
         return None

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchlens.llm.common import SPACE_WORD, let, words_of, written
+from batchlens.llm.common import SPACE_WORD, let, sampled, words_of, written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -146,9 +146,8 @@ def with_words(docs: DataFrame) -> DataFrame:
 def estimate(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> list[Estimate]:
     """Cost and selectivity of each rule on about ``sample_rows`` rows, chosen by a hash of the row."""
     rows = docs.count()
-    share = int(min(1.0, sample_rows / max(rows, 1)) * 1_000_000)
-    sample = written(docs.select("text").where(
-        F.pmod(F.xxhash64(F.lit(17), "doc_id", "text"), F.lit(1_000_000)) < share), "rule-sample")
+    sample = written(docs.where(sampled(17, "doc_id", "text", wanted=sample_rows, rows=rows)).select("text"),
+                     "rule-sample")
     split = with_words(sample)
 
     def timed(c: Column) -> tuple[float, float]:
