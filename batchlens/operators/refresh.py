@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Refresh status words and outcome codes.
@@ -26,26 +26,27 @@ def refresh_outcome(history: DataFrame, operations: DataFrame) -> DataFrame:
     PENDING -- fewer checks than allowed so far, none terminal;
     NOT_CHECKED -- retry count 0.
 
-    Polling looks at no check after the allowed ones, so only an object's
-    earliest checks matter, as many as any object is allowed: a group limit
-    that each task applies before the shuffle, so an object with a third of
-    all history rows sends a few rows a task, and the history is never joined
-    with itself. ``TerminalAttemptNBR`` is NULL if no allowed check was terminal.
-    Count and latest check are partial aggregates.
+    ``TerminalAttemptNBR`` is the place of the first check of the whole history
+    that ends a polling, also if it lies after the allowed ones; NULL if there is
+    none. The first such check of each object is a partial aggregate; its place
+    is one plus the checks before it, counted by a second one, so an object with
+    a third of all history rows sends a few rows a task.
     """
-    most = max(operations.agg(F.max("RetryAttemptNBR")).first()[0] or 0, 1)
     checks = history.select("ObjectID", "ts", "event_id", "StatusCD")
-    at = F.row_number().over(Window.partitionBy("ObjectID").orderBy("ts", "event_id"))
-    earliest = checks.withColumn("_at", at).filter(F.col("_at") <= most)
-    terminal = (earliest.filter(~F.col("StatusCD").isin(*WAIT_STATUSES)).groupBy("ObjectID").agg(
-        F.min(F.struct("_at", "StatusCD")).alias("_first")))
+    order = F.struct("ts", "event_id")
+    ends = ~F.col("StatusCD").isin(*WAIT_STATUSES)
+    first = checks.filter(ends).groupBy("ObjectID").agg(F.min(F.struct("ts", "event_id", "StatusCD")).alias("_end"))
+    before = (checks.join(first, "ObjectID").filter(order < F.struct("_end.ts", "_end.event_id"))
+              .groupBy("ObjectID").agg(F.count(F.lit(1)).alias("_before")))
+    terminal = first.join(before, "ObjectID", "left").select("ObjectID", F.struct(
+        (F.coalesce("_before", F.lit(0)) + 1).alias("_at"), F.col("_end.StatusCD").alias("StatusCD")).alias("_first"))
     seen = checks.groupBy("ObjectID").agg(
         F.count(F.lit(1)).alias("CheckCNT"), F.max_by("StatusCD", F.struct("ts", "event_id")).alias("LatestStatusCD"))
     x = (operations.join(seen, "ObjectID", "left").join(terminal, "ObjectID", "left")
          .withColumn("CheckCNT", F.coalesce("CheckCNT", F.lit(0)))
          .withColumn("FirstTerminalStatusCD", F.col("_first.StatusCD")))
     retry = F.col("RetryAttemptNBR")
-    term_attempt = F.when(F.col("_first._at") <= retry, F.col("_first._at"))
+    term_attempt = F.col("_first._at")
     outcome = (F.when(retry == 0, "NOT_CHECKED")
                 .when(term_attempt <= retry,
                       F.when(F.col("FirstTerminalStatusCD").isin(*DONE_STATUSES), "COMPLETED")

@@ -1,10 +1,10 @@
 """ST-2: the refresh monitor as a stateful operator.
 
 Per object the state holds the number of checks, the latest check and the
-earliest checks, as many as the object may be polled. These are a minimum, a
-maximum and a count, so the state is the same whatever the order in which checks
-arrive and however micro-batches cut them, and it is as small as the allowed
-attempts however many checks an object has.
+earliest checks up to the first that ends the polling. These are a count, a
+maximum and a minimum with what lies before it, so the state is the same whatever
+the order in which checks arrive and however micro-batches cut them. What comes
+after the first ending check is only counted.
 
 With a time-out (event time) a timer runs from the latest check: when the
 watermark passes it, the object's last row is emitted -- ``TimedOutFLG`` if it
@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from batchlens.operators.refresh import WAIT_STATUSES
 from batchlens.streaming.jobs import run_available_now, refresh_monitor_outcome
 
-STATE = "n long, last_us long, last_id long, last_status string, us array<long>, ids array<long>, statuses array<string>"
+STATE = "n long, last_us long, last_id long, last_status string, us array<long>, ids array<long>, statuses array<string>, allowed int"
 OUTPUT = ("ObjectID long, CheckCNT long, FirstTerminalAttemptNBR long, FirstTerminalStatusCD string, "
           "LatestDTS timestamp, LatestID long, LatestStatusCD string, TimedOutFLG boolean")
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -38,12 +38,13 @@ def merged(state: tuple | None, checks: list[tuple], allowed: int) -> tuple:
         n, last = state[0], (state[1], state[2], state[3])
         first = list(zip(state[4], state[5], state[6], strict=True))
     last = max([last, *checks]) if last else max(checks)
-    first = sorted(first + checks)[:max(allowed, 0)]
-    return (n + len(checks), *last, [x[0] for x in first], [x[1] for x in first], [x[2] for x in first])
+    end = min((x for x in first + checks if x[2] not in WAIT_STATUSES), default=None)
+    first = sorted(x for x in first + checks if end is None or x <= end)
+    return (n + len(checks), *last, [x[0] for x in first], [x[1] for x in first], [x[2] for x in first], allowed)
 
 
 def first_terminal(state: tuple) -> tuple[int | None, str | None]:
-    """(attempt, status) of the first check within the allowed ones that ends the polling."""
+    """(attempt, status) of the first check that ends the polling, within the allowed ones or after them."""
     for at, status in enumerate(state[6], 1):
         if status not in WAIT_STATUSES:
             return at, status
@@ -84,7 +85,8 @@ class RefreshMonitor(StatefulProcessor):
         if self.state.exists():
             state = self.state.get()
             self.state.clear()
-            yield self._row(key, state, state[3] in WAIT_STATUSES and first_terminal(state)[0] is None)
+            attempt = first_terminal(state)[0]
+            yield self._row(key, state, state[3] in WAIT_STATUSES and (attempt is None or attempt > state[7]))
 
     def close(self) -> None:
         pass

@@ -39,3 +39,15 @@ def test_other_status_stops_polling(spark):
                         "(2L, 1, timestamp_ntz'2001-01-01 00:01:00', 'Completed') AS t(event_id, ObjectID, ts, StatusCD)")
     ops = spark.sql("SELECT 1 AS ObjectID, 'a' AS ObjectNM, 'Model' AS ObjectTypeCD, 3 AS RetryAttemptNBR")
     assert [r.OutcomeCD for r in refresh_outcome(history, ops).collect()] == ["STOPPED"]
+
+
+def test_terminal_check_after_the_allowed_ones(spark):
+    """The place of the first terminal check is taken over the whole history, not over the allowed checks alone."""
+    from batchlens.operators.refresh import refresh_outcome
+    history = spark.sql("SELECT id AS event_id, o AS ObjectID, timestamp_ntz'2001-01-01 00:00:00' AS ts, "
+                        "CASE WHEN id = 29 THEN 'Failed' WHEN id > 29 THEN 'Completed' ELSE 'Unknown' END AS StatusCD "
+                        "FROM range(40) CROSS JOIN (SELECT explode(array(1L, 2L)) AS o)")
+    ops = spark.createDataFrame([(1, "a", "x", 3), (2, "b", "x", 0), (3, "c", "x", 5)],
+                                "ObjectID bigint, ObjectNM string, ObjectTypeCD string, RetryAttemptNBR int")
+    got = {r.ObjectID: (r.TerminalAttemptNBR, r.OutcomeCD) for r in refresh_outcome(history, ops).collect()}
+    assert got == {1: (30, "DID_NOT_COMPLETE"), 2: (30, "NOT_CHECKED"), 3: (None, "PENDING")}
