@@ -12,6 +12,7 @@ ATTRIBUTE = T.StructType([
     T.StructField("AttributeName", T.StringType()), T.StructField("AttributeValue", T.StringType())])
 
 CORRUPT = "_corrupt_record"  # text of a document that is no JSON
+FILE_DOCUMENTS = 200_000  # of a compressed file
 
 # Declared schema of a source-binding document; absent fields read as NULL.
 BINDING_SCHEMA = T.StructType([
@@ -42,7 +43,7 @@ NESTED = {"sourced_by": "SourcedByEntities", "incremental": "IncrementalConfigur
 
 def read_bindings(spark, path: str, one_per_line: bool = False) -> DataFrame:
     """SRC-3: binding documents (one JSON document per file, or per line,
-    which splits large files) with the declared schema; no inference pass over
+    which splits large files that are not compressed) with the declared schema; no inference pass over
     the data. What is no JSON is kept in the corrupt-record column."""
     return (spark.read.schema(BINDING_SCHEMA).option("multiLine", not one_per_line)
             .option("columnNameOfCorruptRecord", CORRUPT).json(path))
@@ -109,8 +110,10 @@ def environment_inventory(variables: DataFrame, environments: DataFrame) -> Data
 
 def write_documents_json(docs: DataFrame, path: str) -> None:
     """SNK-3: one JSON document per line (the nested shape is kept: arrays of
-    structs stay arrays of objects)."""
-    docs.write.mode("overwrite").json(path)
+    structs stay arrays of objects). Files are compressed, as field names and
+    texts repeat in each document; one task reads such a file, so none holds
+    more than ``FILE_DOCUMENTS``."""
+    docs.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", FILE_DOCUMENTS).json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
