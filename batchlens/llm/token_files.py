@@ -9,7 +9,10 @@ place of one, without the rest of the file.
 
 A text's encoding is the concatenation of the encodings of its chunks between
 blanks (the tokenizer drops white space and no token of it crosses white
-space), so each worker keeps the ids of up to ``CACHE`` chunks.
+space), so the different chunks of a portion of texts are encoded once each, and
+each worker keeps the ids of up to ``CACHE`` of them. Words of small Latin-1
+letters go through the tokenizer's model without the steps that leave such words
+as they are; marks after a word are tokens of their own.
 
 Files are committed by rename and listed in a manifest. Defined results: NULL
 text has only the end id; rows that repeat a doc_id follow one another, by
@@ -21,6 +24,9 @@ with one key nor long texts gather in memory.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import os
+import string
 import struct
 import sys
 import types
@@ -28,6 +34,8 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +45,8 @@ from batchlens.llm.shards import RenamedFile, file_system, ranges, shard_of
 END = 1
 SHARD_BYTES = 8 << 20  #: text bytes of a shard
 FILE_TOKENS = 4 << 20
-CACHE = 600_000  #: chunks of a generation; the one before is kept as well
+PORTION = 8 << 20  #: characters of texts encoded together
+CACHE = 400_000  #: words and chunks kept, besides those of the last portion
 PAIRS, LEAST_USES = 4096, 12
 SLOT_BITS = 18
 GROUP = 1000  #: shards whose files are summed up together
@@ -45,17 +54,33 @@ MOST_TASKS = 20_000  #: that read the files back
 MAGIC = b"RPAIR001"
 HEADER = "<8s5q"  # magic, documents, terminals, rules, symbols, bytes of a symbol
 MANIFEST = "shard int, part int, file string, documents long, tokens long, symbols long, bytes long, sha1 string"
-SUFFIXES = ".,;:!?)"
+SHORT = 64  #: ids of a rule that is expanded once for all its uses in a file
+LETTERS = "".join(filter(str.islower, map(chr, range(256))))  #: a run of them is one piece to the tokenizer, as it is
+MARKS = string.punctuation
+
+
+def _runs(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs ``values[first[i]:first[i] + size[i]]``, one after another."""
+    ends = np.cumsum(size)
+    return values[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one core's work
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.known, self.old = Tokenizer.from_file(path), {"": b""}, {}
+        self.tokenizer = Tokenizer.from_file(path)
         self.terminals = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ends = np.zeros(self.terminals, bool)  # ids that end a piece
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        # chunks, or words and the marks after them, and their ids one after another
+        self.known, self.ids, self.sizes = pa.array([""]), np.zeros(0, "<u4"), np.zeros(1, np.int64)
 
     @staticmethod
     def of(path: str) -> Encoder:
@@ -67,78 +92,114 @@ class Encoder:
             kept.encoders[path] = Encoder(path)
         return kept.encoders[path]
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Make chunks known: those of the older generation are kept, the others encoded. Letters and the marks
-        after them are separate tokens."""
-        known, old = self.known, self.old
-        parts, new = [], {}
-        for c in chunks:
-            ids = old.get(c)
-            if ids is not None:
-                known[c] = ids
-                continue
-            core = c.rstrip(SUFFIXES)
-            if len(core) == len(c) or not (core.isascii() and core.isalpha()):
-                new[c] = None
-                continue
-            parts.append((c, core, c[len(core):]))
-            for p in (core, c[len(core):]):
-                if p not in known:
-                    new[p] = None
-        if new:
-            done = self.tokenizer.encode(list(new), is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(done.ids, "<u4").tobytes()
-            cuts = (4 * np.searchsorted(np.array(done.word_ids), np.arange(len(new) + 1))).tolist()
-            known.update((p, ids[x:y]) for p, x, y in zip(new, cuts, cuts[1:], strict=False))
-        for c, core, tail in parts:
-            known[c] = known[core] + known[tail]
+    def _learn(self, parts: pa.Array) -> None:
+        """Encode parts that are not known."""
+        word = pc.match_substring_regex(parts, f"^[{LETTERS}]+$")
+        words, others = parts.filter(word), parts.filter(pc.invert(word)).to_pylist()
+        if len(words):
+            text = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " ")[0].as_py()
+            (done,) = self.words.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(done.ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(words):
+                self._keep(words, ids, np.diff(cuts, prepend=0))
+            else:  # not a tokenizer that marks the ends of words
+                others += words.to_pylist()
+        if others:
+            done = self.tokenizer.encode(others, is_pretokenized=True, add_special_tokens=False)
+            self._keep(pa.array(others), np.array(done.ids, "<u4"),
+                       np.bincount(np.array(done.word_ids, np.int64), minlength=len(others)))
+
+    def _keep(self, parts: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.known = pa.concat_arrays([self.known, parts])
+        self.ids, self.sizes = np.concatenate((self.ids, ids)), np.concatenate((self.sizes, sizes))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        # lowered where the tokenizer does just that: fewer kinds of chunks
+        plain = pa.array([(t.lower() if _latin(t) else t).replace("\n", " ") for t in texts], pa.string())
+        split = pc.split_pattern(plain, " ")
+        chunks = split.flatten().dictionary_encode()
+        kinds, number = chunks.dictionary, chunks.indices.to_numpy()
+        # a word with marks after it is two parts, any other chunk is one
+        word = pc.ascii_rtrim(kinds, MARKS)
+        two = pc.and_(pc.not_equal(word, kinds), pc.match_substring_regex(word, f"^[{LETTERS}]+$"))
+        marks = pc.if_else(two, pc.utf8_ltrim(kinds, LETTERS), "")
+        parts = pa.concat_arrays([pc.if_else(two, word, kinds), marks]).dictionary_encode()
+        at = pc.index_in(parts.dictionary, self.known)
+        if at.null_count:
+            new = parts.dictionary.filter(pc.is_null(at))
+            self._learn(new)
+            at = pc.index_in(parts.dictionary, self.known)
+        at = at.to_numpy()
+        first = np.cumsum(self.sizes) - self.sizes
+        of = at[parts.indices.to_numpy()].reshape(2, -1).T.ravel()  # the two parts of each kind
+        ids = _runs(self.ids, first[of], self.sizes[of])
+        size = self.sizes[of].reshape(-1, 2).sum(1)
         if len(self.known) > CACHE:
-            self.old, self.known = self.known, {"": b""}
-        get = self.known.get
-        # A-Z alone, as the tokenizer lowers them: fewer kinds of chunks
-        split = [(t.lower() if t.isascii() else t).replace("\n", " ").split(" ") for t in texts]
-        found = [list(map(get, chunks)) for chunks in split]
-        gaps = [[i for i, x in enumerate(ids) if x is None] if None in ids else [] for ids in found]
-        missing = {chunks[i] for chunks, gap in zip(split, gaps, strict=True) for i in gap}
-        if missing:
-            self._learn(missing)
-            known = self.known
-            for chunks, ids, gap in zip(split, found, gaps, strict=True):
-                for i in gap:
-                    ids[i] = known[chunks[i]]
-        return [b"".join(ids) for ids in found]
-
-
-def _frequent(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(kinds, places, kind of each place) of up to ``PAIRS`` frequent pairs; negative pairs are none.
-
-    Pairs are counted by hash slots; each of the fullest slots stands for the pair that comes first in it, whose own
-    uses are then counted exactly. A pair that shares a slot with another waits for the next round at most."""
-    slot = ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
-    slot[pair < 0] = 1 << SLOT_BITS
-    uses = np.bincount(slot, minlength=(1 << SLOT_BITS) + 1)[:-1]
+            self.ids, self.sizes, self.known = _runs(self.ids, first[at], self.sizes[at]), self.sizes[at], parts.dictionary
+        first = np.cumsum(size) - size
+        found = size[number]
+        data = _runs(ids, first[number], found).tobytes()
+        cuts = (4 * np.concatenate(([0], np.cumsum(found)))[split.offsets.to_numpy()]).tolist()
+        return [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def portions(texts: list[str]):
+    """(from, to) of texts of about ``PORTION`` characters."""
+    first = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= PORTION:
+            yield first, i + 1
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
+
+
+def _latin(text: str) -> bool:
+    """Latin-1, whose characters have no other normal form and one lower-case letter each."""
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
+def _frequent(pair: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(kinds, places, kind of each place) of up to ``PAIRS`` frequent pairs, and the places whose pair is too rare.
+
+    Pairs are counted by hash slots, other ones each ``turn``; each of the fullest slots stands for the pair that comes
+    first in it, whose own uses are then counted exactly. A pair that shares a slot with another waits a round."""
+    bits = min(SLOT_BITS, len(pair).bit_length() + 1)
+    factor = np.uint64((0x9E3779B97F4A7C15 * (2 * turn + 1)) & 0xFFFFFFFFFFFFFFFF)
+    slot = pair.view(np.uint64) * factor
+    slot >>= np.uint64(64 - bits)
+    slot = slot.view(np.int64)
+    uses = np.bincount(slot, minlength=1 << bits)
     full = np.flatnonzero(uses >= LEAST_USES)
+    taken = full
     if len(full) > 2 * PAIRS:
-        full = full[np.argpartition(-uses[full], 2 * PAIRS)[:2 * PAIRS]]
-    rank = np.full((1 << SLOT_BITS) + 1, -1, np.int32)
-    rank[full] = np.arange(len(full))
+        taken = full[np.argpartition(-uses[full], 2 * PAIRS)[:2 * PAIRS]]
+    rank = np.full(1 << bits, -2, np.int32)  # -2: too few uses
+    rank[full] = -1
+    rank[taken] = np.arange(len(taken))
     which = rank[slot]
+    rare = which == -2
     places = np.flatnonzero(which >= 0)
     which = which[places]
-    kinds = np.zeros(len(full), np.int64)
-    kinds[which[::-1]] = pair[places[::-1]]  # the first of each slot
-    own = pair[places] == kinds[which]
+    found = pair[places]
+    kinds = np.zeros(len(taken), np.int64)
+    kinds[which[::-1]] = found[::-1]  # the first of each slot
+    own = found == kinds[which]
     places, which = places[own], which[own]
-    count = np.bincount(which, minlength=len(full))
+    count = np.bincount(which, minlength=len(taken))
     best = np.lexsort((kinds, -count))[:PAIRS]
     best = best[count[best] >= LEAST_USES]
-    order = np.full(len(full), -1, np.int32)
+    order = np.full(len(taken), -1, np.int32)
     order[best] = np.arange(len(best))
+    rare[places[count[which] < LEAST_USES]] = True
     which = order[which]
     chosen = which >= 0
-    return kinds[best], places[chosen], which[chosen]
+    return kinds[best], places[chosen], which[chosen], rare
 
 
 def repair(ids: np.ndarray, last: np.ndarray, terminals: int):
@@ -146,49 +207,76 @@ def repair(ids: np.ndarray, last: np.ndarray, terminals: int):
 
     ``last`` marks a document's last id; pairs that begin there are not replaced. Rounds go on until no pair is used
     ``LEAST_USES`` times, or until what a round replaces is less than its rules take.
+
+    All uses of a pair arise in one round, that of its newer symbol, and then only grow fewer. So pairs are counted only
+    beside a new symbol or where they were not too few in the round before.
     """
-    seq, rules = ids.astype(np.int64), []
-    while len(seq) > 1:
-        pair = (seq[:-1] << 32) | seq[1:]
-        pair[last[:-1]] = -1
-        kinds, at, which = _frequent(pair)
-        if not len(kinds):
+    seq, rules = ids.astype(np.int32), []
+    after, before = np.arange(1, len(seq) + 1, dtype=np.int32), np.arange(-1, len(seq) - 1, dtype=np.int32)
+    ends = last.copy()
+    ends[-1:] = True
+    after[ends] = -1
+    before[1:][ends[:-1]] = -1
+    gone, counted = np.zeros(len(seq), bool), ~ends
+    for turn in itertools.count():
+        live = np.flatnonzero(counted)
+        if not len(live):
             break
+        pair = seq[live].astype(np.int64)
+        pair <<= 32
+        pair |= seq[after[live]]
+        kinds, at, which, rare = _frequent(pair, turn)
+        counted[live[rare]] = False
+        if not len(kinds):
+            continue
+        at = live[at]
         # of pairs that overlap, every second one from the left
-        run = np.cumsum(np.concatenate(([True], np.diff(at) > 1)))
-        first = np.searchsorted(run, run)
-        free = (np.arange(len(at)) - first) % 2 == 0
+        place = np.arange(len(at), dtype=np.int32)
+        first = place.copy()
+        first[1:][at[1:] == after[at[:-1]]] = 0
+        free = (place - np.maximum.accumulate(first)) & 1 == 0
         at, which = at[free], which[free]
         # what overlaps left too few uses of is no rule
         worth = np.bincount(which, minlength=len(kinds)) >= LEAST_USES // 2
         if not worth.any():
             break
         number = np.cumsum(worth) - 1
-        at, which = at[worth[which]], number[which[worth[which]]]
+        kept = worth[which]
+        at, which = at[kept], number[which[kept]]
         seq[at] = terminals + len(rules) + which
         rules += [(int(k) >> 32, int(k) & 0xFFFFFFFF) for k in kinds[worth]]
-        last[at] = last[at + 1]
-        keep = np.ones(len(seq), bool)
-        keep[at + 1] = False
-        seq, last = seq[keep], last[keep]
-    return seq, last, np.array(rules, np.int64).reshape(-1, 2)
+        right = after[at]
+        beyond = after[right]
+        after[at] = beyond
+        inner = beyond >= 0
+        before[beyond[inner]] = at[inner]
+        gone[right], counted[right] = True, False
+        counted[at] = inner
+        left = before[at]
+        counted[left[left >= 0]] = True
+    keep = ~gone
+    return seq[keep], after[keep] < 0, np.array(rules, np.int64).reshape(-1, 2)
 
 
 def expansion_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
-    out = np.ones(terminals + len(rules), np.int64)
-    for r, (a, b) in enumerate(rules):
-        out[terminals + r] = out[a] + out[b]
+    out = [1] * terminals
+    for a, b in rules.tolist():
+        out.append(out[a] + out[b])
+    return np.array(out, np.int64)
+
+
+def _level(symbols: np.ndarray, inner: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray:
+    """``symbols`` with both sides of the ``inner`` ones in their place."""
+    out = np.repeat(symbols, 1 + inner)
+    at = np.flatnonzero(inner) + np.arange(inner.sum())
+    out[at], out[at + 1] = rules[symbols[inner] - terminals].T
     return out
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray:
     """Ids of a run of symbols, one level of the grammar at a time."""
     while len(symbols) and symbols.max() >= terminals:
-        inner = symbols >= terminals
-        out = np.repeat(symbols, 1 + inner)
-        at = np.flatnonzero(inner) + np.arange(inner.sum())
-        out[at], out[at + 1] = rules[symbols[inner] - terminals].T
-        symbols = out
+        symbols = _level(symbols, symbols >= terminals, rules, terminals)
     return symbols
 
 
@@ -253,7 +341,20 @@ class TokenFile:
         return symbol
 
     def all(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.terminals).astype("<u4")
+        """Ids of all documents: longer rules by levels, down to those of ``SHORT`` ids, which are expanded once."""
+        symbols, terminals = self.symbols, self.terminals
+        short = np.flatnonzero(self.lengths <= SHORT)
+        sizes = self.lengths[short].astype(np.int64)
+        ids = np.concatenate((np.arange(terminals), expand(terminals + short, self.rules, terminals))).astype("<u4")
+        first, size = np.arange(terminals + len(self.rules)), np.ones(terminals + len(self.rules), np.int64)
+        first[terminals + short], size[terminals + short] = terminals + np.cumsum(sizes) - sizes, sizes
+        long = np.zeros(terminals + len(self.rules), bool)
+        long[terminals:] = self.lengths > SHORT
+        while (inner := long[symbols]).any():
+            symbols = _level(symbols, inner, self.rules, terminals)
+        size = size[symbols]
+        ends = np.cumsum(size)
+        return ids[np.repeat(first[symbols] - (ends - size), size) + np.arange(size.sum())]
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame:
@@ -281,8 +382,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame:
                                 columns=["shard", "part", "file", "documents", "tokens", "symbols", "bytes", "sha1"])
 
         for pdf in batches:
-            for at in range(0, len(pdf), 256):
-                few = pdf.iloc[at:at + 256]
+            for first, to in portions(list(pdf.text)):
+                few = pdf.iloc[first:to]
                 for s, d, b in zip(few.shard, few.doc_id, encoder.encode(list(few.text)), strict=True):
                     if held and (s != shard or size >= FILE_TOKENS):
                         yield close()
