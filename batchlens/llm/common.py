@@ -74,3 +74,15 @@ def removed(spark: SparkSession, path: str) -> None:
     """Removes a scratch table of ``work_path`` that nothing reads any more."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def portions(sizes: list[int], most: int):
+    """(from, to) of runs of items that end where their sizes reach ``most``."""
+    first = size = 0
+    for i, own in enumerate(sizes, 1):
+        size += own
+        if size >= most:
+            yield first, i
+            first, size = i, 0
+    if first < len(sizes):
+        yield first, len(sizes)

@@ -7,8 +7,10 @@ words have ids of their own, the others share ``RARE`` hashed ids. The output
 is a two-level softmax over ``CLASSES`` classes of ``WIDTH`` ids. A word that
 shares its id has the id's probability times its own part of the id's count,
 (n + 1) / (words counted + different words + 1), where n is read from the table
-of all counts by a join; the last 1 is for words never counted. ``log_prob`` is
-the sum over the ids, ``word_log_prob`` and its mean are those of the words.
+of all counts: by a join, but for the most frequent, at most ``OFTEN`` words,
+whose parts the scoring tasks have; the last 1 is for words never counted.
+``log_prob`` is the sum over the ids, ``word_log_prob`` and its mean are those of
+the words.
 
 Training: each task runs Adam over the documents it reads, predicting every
 word of each document from its whole context, ``BATCH`` words a step, and
@@ -25,23 +27,26 @@ blocks of ``BLOCK`` words; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
-from itertools import compress
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchlens.llm.common import SPACE_WORD, ascii_lower, table, words_of, written
+from batchlens.llm.common import portions, table, written
 
 CLASSES, WIDTH = 64, 64
 IDS = CLASSES * WIDTH
 RARE = 256
 WORDS = IDS - RARE
+OFTEN = 1 << 16
 SIDE = 2
 EMBEDDING, HIDDEN = 16, 32
 BATCH, RATE = 8192, 0.005
 BLOCK = 1 << 13
+PORTION = 4 << 20  #: characters of texts split together
 KNOWN_LIMIT = 500_000  #: words whose ids a task remembers
 
 SHAPES = {"E": (IDS + 1, EMBEDDING), "W": (2 * SIDE, EMBEDDING, HIDDEN), "b": (HIDDEN,), "C": (HIDDEN, CLASSES),
@@ -71,18 +76,44 @@ class Vocabulary(dict):
         return Vocabulary, (self.words,)
 
     def ids(self, text: str | None) -> np.ndarray:
-        return self.split(text)[1]
-
-    def split(self, text: str | None) -> tuple[list[bytes], np.ndarray]:
-        """The words and their ids."""
         words = (text or "").encode("utf-8", "replace").lower().split()
-        return words, np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+    def split(self, texts) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """The different words, their ids, which of them all texts hold, and where each text begins and the last
+        ends."""
+        words, cuts = split_words(pa.array([(t if isinstance(t, str) else "").encode("utf-8", "replace") for t in texts],
+                                           pa.string()))
+        words = words.dictionary_encode()
+        kinds = words.dictionary
+        at = pc.index_in(kinds, pa.array(self.words, pa.string()))
+        rare = kinds.filter(pc.is_null(at)).cast(pa.binary()).to_pylist()
+        ids = at.fill_null(0).to_numpy().copy()
+        ids[at.is_null().to_numpy(zero_copy_only=False)] = [WORDS + zlib.crc32(w) % RARE for w in rare]
+        return kinds, ids, words.indices.to_numpy(), cuts
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words between ASCII white space, A-Z lowered, and where each text begins and the last ends."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, cuts = split.flatten(), split.offsets.to_numpy()
+    full = pc.not_equal(words, "")  # white space at a text's ends gives empty ones
+    before = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False))))
+    return words.filter(full), before[cuts - cuts[0]]
 
 
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, n) over all documents."""
-    words = docs.select(F.explode(words_of(ascii_lower(F.coalesce("text", F.lit(""))), SPACE_WORD)).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+    def count(batches):
+        for batch in batches:
+            texts = batch.column(0)
+            for a, b in portions(pc.binary_length(texts).to_pylist(), PORTION):
+                found = split_words(texts.slice(a, b - a))[0].value_counts()
+                yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"])
+
+    words = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(count, "word string, n long")
+    return words.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def bucket() -> Column:
@@ -96,13 +127,28 @@ def rare_counts(counts: DataFrame, words: list[str]) -> DataFrame:
     return counts.join(F.broadcast(top), "word", "left_anti")
 
 
-def within_buckets(rows: DataFrame, rare: DataFrame) -> DataFrame:
-    """(row, within): summed log of each rare word's part of its id, for ``rows`` (row, rare: words between spaces)."""
-    sums = rare.groupBy(bucket().alias("bucket")).agg((F.sum("n") + F.count(F.lit(1))).alias("n")).collect()
-    room = dict.fromkeys(range(RARE), 1) | {r["bucket"]: r["n"] + 1 for r in sums}
-    room = F.array(*[F.lit(float(room[b])) for b in range(RARE)])
-    words = rows.select("row", F.explode(F.split("rare", " ")).alias("word")).join(rare, "word", "left")
-    part = F.log((F.coalesce("n", F.lit(0)) + 1) / F.get(room, bucket()))
+def often_and_seldom(rare: DataFrame) -> tuple[pa.Array, np.ndarray, DataFrame, Column]:
+    """Of the words that share an id: the most frequent, at most ``OFTEN``, and the logs of their parts of their ids;
+    the counts of the others; and the whole of each id."""
+    level = F.floor(F.log2("n") * 8)
+    sums = rare.groupBy(bucket().alias("bucket"), level.alias("level")).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("words"), F.min("n").alias("least")).toPandas()
+    whole = np.ones(RARE)
+    np.add.at(whole, sums["bucket"].to_numpy(np.int64), (sums["n"] + sums["words"]).to_numpy(np.float64))
+    by_level = sums.groupby("level").agg({"words": "sum", "least": "min"}).sort_index(ascending=False)
+    fits = by_level["least"][by_level["words"].cumsum() <= OFTEN]
+    least = int(fits.iloc[-1]) if len(fits) else 1 << 62
+    found = rare.where(F.col("n") >= least).select("word", "n").toPandas()
+    of = [zlib.crc32(w.encode()) % RARE for w in found["word"]]
+    parts = np.log((found["n"].to_numpy(np.float64) + 1) / whole[np.array(of, np.int64)])
+    return (pa.array(found["word"].tolist(), pa.string()), parts, rare.where(F.col("n") < least),
+            F.array(*[F.lit(float(x)) for x in whole]))
+
+
+def within_buckets(rows: DataFrame, seldom: DataFrame, whole: Column) -> DataFrame:
+    """(row, within): summed log of each seldom word's part of its id, for ``rows`` (row, rare: words between spaces)."""
+    words = rows.select("row", F.explode(F.split("rare", " ")).alias("word")).join(seldom, "word", "left")
+    part = F.log((F.coalesce("n", F.lit(0)) + 1) / F.get(whole, bucket()))
     return words.select("row", part.alias("part")).groupBy("row").agg(F.sum("part").alias("within"))
 
 
@@ -117,23 +163,55 @@ def initial(counts: np.ndarray, seed: int = 11) -> dict[str, np.ndarray]:
     return p
 
 
+def _views(flat: np.ndarray) -> dict[str, np.ndarray]:
+    """The network's arrays, one after another in ``flat``."""
+    cuts = np.cumsum([int(np.prod(s)) for s in SHAPES.values()])[:-1]
+    return {k: x.reshape(s) for (k, s), x in zip(SHAPES.items(), np.split(flat, cuts), strict=True)}
+
+
+def _by_target(target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order by target, and (class, from, to) in that order of each class that occurs."""
+    order = np.argsort(target.astype(np.int16), kind="stable")  # 16 bits: sorted by digits
+    cuts = np.searchsorted(target[order], WIDTH * np.arange(CLASSES + 1)).tolist()
+    return order, [(k, a, b) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
+
+
+def _with_biases(p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """C and D with the biases as weights of one more input, which is 1."""
+    return np.concatenate((p["C"], p["c"][None])), np.concatenate((p["D"], p["d"][:, None]), 1)
+
+
+def _bounded(weights: np.ndarray) -> bool:
+    """Whether no logit of hidden values from -1 to 1 is so large that its exponential in 32 bits is 0 or infinite."""
+    return bool(np.abs(weights).sum(-2).max() < 80)
+
+
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(1, keepdims=True)
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
+def _exp(x: np.ndarray, bounded: bool) -> np.ndarray:
+    """Turns logits into their exponentials, up to a factor of each row; the rows' sums."""
+    if not bounded:
+        x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
-    return x
+    return x @ np.ones(x.shape[1], x.dtype)
 
 
-def _by_class(of: np.ndarray):
-    """Positions of each class that occurs."""
-    order = np.argsort(of.astype(np.int16), kind="stable")  # 16 bits: sorted by digits
-    cuts = np.searchsorted(of[order], np.arange(CLASSES + 1))
-    return [(k, order[cuts[k]:cuts[k + 1]]) for k in range(CLASSES) if cuts[k] < cuts[k + 1]]
+def _logits(p: dict, context: np.ndarray, tops: np.ndarray, lows: np.ndarray, classes: list[tuple[int, int, int]]):
+    """The windows' embeddings side by side, the hidden values (and a 1), the logits of the classes and of the ids in
+    the target's class, for targets in the order of their classes."""
+    n = len(context)
+    around = p["E"].take(context.ravel(), axis=0).reshape(n, -1)
+    h = np.ones((n, HIDDEN + 1), around.dtype)
+    z = around @ p["W"].reshape(-1, HIDDEN)
+    z += p["b"]
+    np.tanh(z, out=h[:, :HIDDEN])
+    low = np.empty((n, WIDTH), h.dtype)
+    for k, a, b in classes:
+        np.matmul(h[a:b], lows[k], out=low[a:b])
+    return around, h, h @ tops, low
 
 
 def _summed(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -148,29 +226,28 @@ def _summed(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def step(p: dict, context: np.ndarray, target: np.ndarray) -> dict:
     """Gradients of the mean negative log-probability of ``target`` (n) given ``context`` (n, 2 SIDE)."""
-    n = len(target)
-    around = p["E"].take(context.ravel(), axis=0).reshape(n, -1)  # the window's embeddings side by side
-    weights = p["W"].reshape(-1, HIDDEN)
-    z = around @ weights
-    z += p["b"]
-    h = np.tanh(z, out=z)
-    of, within = target // WIDTH, target % WIDTH
-    g = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-    top = _softmax(h @ p["C"] + p["c"])
-    top[np.arange(n), of] -= 1
-    top /= n
-    g["C"], g["c"] = h.T @ top, top.sum(0)
+    n, kind = len(target), p["E"].dtype
+    order, classes = _by_target(target)
+    context, target = context[order], target[order]
+    tops, lows = _with_biases(p)
+    around, h, top, low = _logits(p, context, tops, lows, classes)
+    rows = np.arange(n)
+    for x, at, weights in ((top, target // WIDTH, tops), (low, target % WIDTH, lows)):
+        x *= (1 / (_exp(x, _bounded(weights)) * kind.type(n)))[:, None]
+        x[rows, at] -= kind.type(1 / n)
+    g = _views(np.zeros(sum(int(np.prod(s)) for s in SHAPES.values()), np.float32))
+    both = h.T @ top
+    g["C"][:], g["c"][:] = both[:HIDDEN], both[HIDDEN]
     dh = top @ p["C"].T
-    for k, at in _by_class(of):
-        own = h.take(at, axis=0)
-        low = _softmax(own @ p["D"][k] + p["d"][k])
-        low[np.arange(len(at)), within[at]] -= 1
-        low /= n
-        g["D"][k], g["d"][k] = own.T @ low, low.sum(0)
-        dh[at] += low @ p["D"][k].T
-    dz = dh * (1 - h * h)
-    g["b"], g["W"] = dz.sum(0), (around.T @ dz).reshape(SHAPES["W"])
-    g["E"] = _summed(context.ravel(), (dz @ weights.T).reshape(-1, EMBEDDING))
+    for k, a, b in classes:
+        both = h[a:b].T @ low[a:b]
+        g["D"][k], g["d"][k] = both[:HIDDEN], both[HIDDEN]
+        dh[a:b] += low[a:b] @ p["D"][k].T
+    h = h[:, :HIDDEN]
+    dz = dh
+    dz *= 1 - h * h
+    g["b"][:], g["W"][:] = dz.sum(0), (around.T @ dz).reshape(SHAPES["W"])
+    g["E"][:] = _summed(context.ravel(), (dz @ p["W"].reshape(-1, HIDDEN).T).reshape(-1, EMBEDDING))
     return g
 
 
@@ -178,40 +255,60 @@ def _padded(ids: np.ndarray) -> np.ndarray:
     return np.concatenate((np.full(SIDE, IDS, ids.dtype), ids, np.full(SIDE, IDS, ids.dtype)))
 
 
+def _apart(ids: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of texts (``cuts``: where each begins and the last ends) with ``SIDE`` empty places between any two and
+    at both ends, and the place of each id."""
+    at = np.arange(len(ids)) + SIDE * np.repeat(np.arange(1, len(cuts)), np.diff(cuts))
+    padded = np.full(len(ids) + SIDE * len(cuts), IDS, ids.dtype)
+    padded[at] = ids
+    return padded, at
+
+
 def _trainer(start: dict, vocabulary: Vocabulary):
     def train(batches):
-        p = {k: v.copy() for k, v in start.items()}
-        m1, m2 = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+        flat = np.concatenate([start[k].ravel() for k in SHAPES])
+        p, m1, m2 = _views(flat), np.zeros_like(flat), np.zeros_like(flat)
         held, size, seen, t = [], 0, 0, 0
 
         def learn(context, target):
-            nonlocal t
+            nonlocal t, seen
             t += 1
-            g = step(p, context, target)
-            for k in p:
-                m1[k] += 0.1 * (g[k] - m1[k])
-                m2[k] += 0.01 * (g[k] * g[k] - m2[k])
-                p[k] -= RATE * (m1[k] / (1 - 0.9 ** t)) / (np.sqrt(m2[k] / (1 - 0.99 ** t)) + 1e-6)
+            seen += len(target)
+            found = step(p, context, target)
+            g = np.concatenate([found[k].ravel() for k in SHAPES])
+            for m, part, x in ((m1, 0.1, g), (m2, 0.01, g * g)):
+                x -= m
+                x *= part
+                m += x
+            np.divide(m2, 1 - 0.99 ** t, out=g)
+            np.sqrt(g, out=g)
+            g += 1e-6
+            np.divide(m1, g, out=g)
+            g *= RATE / (1 - 0.9 ** t)
+            np.subtract(flat, g, out=flat)
+
+        def contexts(texts):
+            _, ids, number, cuts = vocabulary.split(texts)
+            padded, at = _apart(ids[number], cuts)
+            a = 0
+            while a < len(at):  # up to the end of a batch
+                some = at[a:a + BATCH - size]
+                a += len(some)
+                yield padded[some[:, None] + np.array(OFFSETS)], padded[some]
 
         for pdf in batches:
-            for text in pdf.text:
-                ids = vocabulary.ids(text if isinstance(text, str) else None)
-                padded = _padded(ids)
-                for a in range(0, len(ids), BATCH):
-                    at = np.arange(a, min(a + BATCH, len(ids)))
-                    held.append((np.stack([padded[at + SIDE + o] for o in OFFSETS], 1), ids[at]))
-                    size += len(at)
-                    if size >= BATCH:
-                        context, target = (np.concatenate(x) for x in zip(*held, strict=True))
-                        learn(context[:BATCH], target[:BATCH])
-                        seen, size = seen + BATCH, size - BATCH
-                        held = [(context[BATCH:], target[BATCH:])]
+            texts = [t if isinstance(t, str) else "" for t in pdf.text]
+            for a, b in portions(list(map(len, texts)), PORTION):
+                for some in contexts(texts[a:b]):
+                    held.append(some)
+                    size += len(some[1])
+                    if size == BATCH:
+                        learn(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                        held, size = [], 0
         if size:
             learn(*(np.concatenate(x) for x in zip(*held, strict=True)))
-            seen += size
         if seen:
-            flat = np.concatenate([p[k].ravel() for k in SHAPES]).astype(np.float64)
-            yield pd.DataFrame({"i": np.arange(len(flat)), "v": flat * seen, "n": float(seen)})
+            yield pd.DataFrame({"i": np.arange(len(flat)), "v": flat.astype(np.float64) * seen, "n": float(seen)})
 
     return train
 
@@ -233,72 +330,71 @@ def train(docs: DataFrame, counts: DataFrame | None = None) -> tuple[dict, Vocab
         return start, vocabulary
     flat = np.zeros(len(mean), np.float32)
     flat[mean["i"].to_numpy()] = mean["v"].to_numpy()
-    cuts = np.cumsum([int(np.prod(s)) for s in SHAPES.values()])[:-1]
-    return {k: x.reshape(s) for (k, s), x in zip(SHAPES.items(), np.split(flat, cuts), strict=True)}, vocabulary
+    return _views(flat), vocabulary
 
 
 class Scorer:
     def __init__(self, p: dict, vocabulary: Vocabulary):
-        self.p, self.vocabulary = p, vocabulary
+        self.p, self.vocabulary, self.outer = p, vocabulary, _with_biases(p)
+        self.bounded = [_bounded(x) for x in self.outer]
 
     def log_probabilities(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
-        p = self.p
-        near = padded[at[:, None] + np.array(OFFSETS)]
-        z = p["E"].take(near.ravel(), axis=0).reshape(len(at), -1) @ p["W"].reshape(-1, HIDDEN)
-        z += p["b"]
-        h, target = np.tanh(z, out=z), padded[at]
-        of, within = target // WIDTH, target % WIDTH
-        out = _log_softmax(h @ p["C"] + p["c"])[np.arange(len(at)), of].astype(np.float64)
-        for k, rows in _by_class(of):
-            out[rows] += _log_softmax(h.take(rows, axis=0) @ p["D"][k] + p["d"][k])[np.arange(len(rows)), within[rows]]
+        order, classes = _by_target(padded[at])
+        at = at[order]
+        target, rows = padded[at], np.arange(len(at))
+        _, _, top, low = _logits(self.p, padded[at[:, None] + np.array(OFFSETS)], *self.outer, classes)
+        found = np.zeros(len(at))
+        for x, of, bounded in zip((top, low), (target // WIDTH, target % WIDTH), self.bounded, strict=True):
+            if bounded:
+                own = x[rows, of]
+                found += own - np.log(_exp(x, bounded))
+            else:
+                found += _log_softmax(x)[rows, of]
+        out = np.empty(len(at))
+        out[order] = found
         return out
 
-    def score(self, texts) -> tuple[np.ndarray, np.ndarray, list[str | None]]:
-        """(words, summed log-probability of their ids, words that share an id) of each text."""
-        n, total, rare = np.zeros(len(texts), np.int64), np.zeros(len(texts)), []
-        held, size = [], 0
-
-        def flush():
-            row = np.concatenate([np.full(len(x) + SIDE, r) for r, x in held] + [np.full(SIDE, -1)])
-            ids = np.concatenate([np.concatenate((np.full(SIDE, IDS, np.int32), x)) for _, x in held]
-                                 + [np.full(SIDE, IDS, np.int32)])
-            words = np.flatnonzero(ids != IDS)
-            for a in range(0, len(words), BLOCK):
-                at = words[a:a + BLOCK]
-                found = self.log_probabilities(ids, at)
-                own = row[at]  # in order, so each text's words are one run
-                first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-                total[own[first]] += np.add.reduceat(found, first)
-
-        for r, text in enumerate(texts):
-            words, ids = self.vocabulary.split(text)
-            n[r] = len(ids)
-            rare.append(b" ".join(compress(words, (ids >= WORDS).tolist())).decode() or None)
-            if len(ids):
-                held.append((r, ids))
-                size += len(ids)
-            if size >= BLOCK:
-                flush()
-                held, size = [], 0
-        if held:
-            flush()
-        return n, total, rare
+    def score(self, texts, often: pa.Array | None = None, parts: np.ndarray | None = None):
+        """(words, summed log-probability of their ids, what words that share an id add) of each text; the last are the
+        summed ``parts`` of the ``often`` words, and the others themselves."""
+        often, parts = pa.array([], pa.string()) if often is None else often, np.append(() if parts is None else parts, 0)
+        n, total, within, rare = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts)), []
+        texts = [t if isinstance(t, str) else "" for t in texts]
+        for first, to in portions(list(map(len, texts)), PORTION):
+            kinds, ids, number, cuts = self.vocabulary.split(texts[first:to])
+            n[first:to] = np.diff(cuts)
+            padded, at = _apart(ids[number], cuts)
+            row = np.repeat(np.arange(first, to), n[first:to])
+            for a in range(0, len(at), BLOCK):
+                found = self.log_probabilities(padded, at[a:a + BLOCK])
+                own = row[a:a + BLOCK]  # in order, so each text's words are one run
+                run = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+                total[own[run]] += np.add.reduceat(found, run)
+            of = pc.index_in(kinds, often).fill_null(len(often)).to_numpy()
+            within[first:to] = np.bincount(row - first, parts[of][number], to - first)
+            seldom = ((ids >= WORDS) & (of == len(often)))[number]
+            before = np.concatenate(([0], np.cumsum(seldom)))[cuts]
+            lists = pa.ListArray.from_arrays(pa.array(before, pa.int32()), kinds.take(pa.array(number[seldom])))
+            rare += [r or None for r in pc.binary_join(lists, " ").to_pylist()]
+        return n, total, (within, rare)
 
 
 def scored(docs: DataFrame, scorer: Scorer, rare: DataFrame) -> DataFrame:
     """The result for ``docs``; ``rare`` has the counts of the words that share an id."""
 
-    @F.pandas_udf("n_words long, log_prob double, rare string")
+    often, parts, seldom, whole = often_and_seldom(rare)
+
+    @F.pandas_udf("n_words long, log_prob double, often double, rare string")
     def score(text: pd.Series) -> pd.DataFrame:
-        n, total, rare = scorer.score([t if isinstance(t, str) else None for t in text])
-        return pd.DataFrame({"n_words": n, "log_prob": total, "rare": pd.Series(rare, dtype=object)})
+        n, total, (within, rare) = scorer.score(list(text), often, parts)
+        return pd.DataFrame({"n_words": n, "log_prob": total, "often": within, "rare": pd.Series(rare, dtype=object)})
 
     rows = docs.select("doc_id", score(F.col("text")).alias("s")).select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "s.n_words", "s.log_prob", "s.rare")
+        F.monotonically_increasing_id().alias("row"), "doc_id", "s.n_words", "s.log_prob", "s.often", "s.rare")
     rows = written(rows, "scored")
-    found = rows.drop("rare").join(within_buckets(rows, rare), "row", "left").drop("row")
-    found = found.withColumn("word_log_prob", F.col("log_prob") + F.coalesce("within", F.lit(0.0))).drop("within")
-    return found.withColumn("mean_log_prob", F.expr("try_divide(word_log_prob, n_words)"))
+    found = rows.drop("rare").join(within_buckets(rows, seldom, whole), "row", "left").drop("row")
+    found = found.withColumn("word_log_prob", F.col("log_prob") + F.col("often") + F.coalesce("within", F.lit(0.0)))
+    return found.drop("often", "within").withColumn("mean_log_prob", F.expr("try_divide(word_log_prob, n_words)"))
 
 
 def language_model(docs: DataFrame) -> DataFrame:

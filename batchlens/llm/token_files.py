@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchlens.llm.common import table, work_path
+from batchlens.llm.common import portions, table, work_path
 from batchlens.llm.shards import RenamedFile, file_system, ranges, shard_of
 
 END = 1
@@ -144,18 +144,6 @@ class Encoder:
         return [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def portions(texts: list[str]):
-    """(from, to) of texts of about ``PORTION`` characters."""
-    first = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= PORTION:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
-
-
 def _latin(text: str) -> bool:
     """Latin-1, whose characters have no other normal form and one lower-case letter each."""
     try:
@@ -382,7 +370,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame:
                                 columns=["shard", "part", "file", "documents", "tokens", "symbols", "bytes", "sha1"])
 
         for pdf in batches:
-            for first, to in portions(list(pdf.text)):
+            for first, to in portions(list(map(len, pdf.text)), PORTION):
                 few = pdf.iloc[first:to]
                 for s, d, b in zip(few.shard, few.doc_id, encoder.encode(list(few.text)), strict=True):
                     if held and (s != shard or size >= FILE_TOKENS):
