@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,3 +87,9 @@ def portions(sizes: list[int], most: int):
             first, size = i, 0
     if first < len(sizes):
         yield first, len(sizes)
+
+
+def keep_freed_memory() -> None:
+    """Lets this process keep memory it frees for its next arrays. Without it, malloc gives arrays of some MB back to
+    the system each time, and every 4 KB of the next ones cost a page fault; its limit grows to a freed block's size."""
+    np.empty(31 << 20, np.uint8)  # malloc's own bound is 32 MB

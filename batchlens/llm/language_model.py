@@ -8,7 +8,8 @@ is a two-level softmax over ``CLASSES`` classes of ``WIDTH`` ids. A word that
 shares its id has the id's probability times its own part of the id's count,
 (n + 1) / (words counted + different words + 1), where n is read from the table
 of all counts: by a join, but for the most frequent, at most ``OFTEN`` words,
-whose parts the scoring tasks have; the last 1 is for words never counted.
+whose parts the tasks have; the last 1 is for words never counted. Texts are
+turned into ids once, and training and scoring read the written ids.
 ``log_prob`` is the sum over the ids, ``word_log_prob`` and its mean are those of
 the words.
 
@@ -27,6 +28,7 @@ blocks of ``BLOCK`` words; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,8 +36,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from batchlens.llm.common import portions, table, written
+from batchlens.llm.common import keep_freed_memory, portions, table, written
 
 CLASSES, WIDTH = 64, 64
 IDS = CLASSES * WIDTH
@@ -47,6 +50,9 @@ EMBEDDING, HIDDEN = 16, 32
 BATCH, RATE = 8192, 0.005
 BLOCK = 1 << 13
 PORTION = 4 << 20  #: characters of texts split together
+COUNTED = 16 << 20  #: bytes of texts whose words are counted together
+TOGETHER = 1 << 19  #: words of documents that are learnt or scored from one array
+SHORT = 32  #: bytes of words whose checksums are taken together
 KNOWN_LIMIT = 500_000  #: words whose ids a task remembers
 
 SHAPES = {"E": (IDS + 1, EMBEDDING), "W": (2 * SIDE, EMBEDDING, HIDDEN), "b": (HIDDEN,), "C": (HIDDEN, CLASSES),
@@ -54,6 +60,41 @@ SHAPES = {"E": (IDS + 1, EMBEDDING), "W": (2 * SIDE, EMBEDDING, HIDDEN), "b": (H
 OFFSETS = [*range(-SIDE, 0), *range(1, SIDE + 1)]
 
 
+def _sums(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(of, values, n).astype(np.float64)  # whole numbers where there are no values
+
+
+def _crc_table() -> np.ndarray:
+    x = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        x = (x >> 1) ^ (x & 1) * np.uint32(0xEDB88320)
+    return x
+
+
+CRC = _crc_table()
+
+
+def crc32(words: pa.Array) -> np.ndarray:
+    """``zlib.crc32`` of each word: of all words at a time byte after byte, of those over ``SHORT`` bytes one by one."""
+    words = words.cast(pa.binary())
+    if not len(words):
+        return np.empty(0, np.uint32)
+    _, cuts, data = words.buffers()
+    cuts = np.frombuffer(cuts, np.int32)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(data or b"", np.uint8)
+    size = np.minimum(np.diff(cuts), SHORT + 1)
+    order = np.argsort(-size.astype(np.int8), kind="stable")  # the longest first
+    longer = np.searchsorted(-size[order], -np.arange(SHORT + 1))  # words of more than 0, 1, ... bytes
+    at, found = cuts[:-1][order], np.full(len(words), 0xFFFFFFFF, np.uint32)
+    for i, n in enumerate(longer[:SHORT]):
+        found[:n] = CRC[(found[:n] ^ data[at[:n] + i]) & 0xFF] ^ (found[:n] >> 8)
+    out = np.empty_like(found)
+    out[order] = ~found
+    for i in order[:longer[SHORT]]:
+        out[i] = zlib.crc32(data[cuts[i]:cuts[i + 1]])
+    return out
+
+
 class Vocabulary(dict):
     """Word (bytes) to id; rare words get hashed ids as they come."""
 
@@ -82,16 +123,27 @@ class Vocabulary(dict):
     def split(self, texts) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
         """The different words, their ids, which of them all texts hold, and where each text begins and the last
         ends."""
-        words, cuts = split_words(pa.array([(t if isinstance(t, str) else "").encode("utf-8", "replace") for t in texts],
-                                           pa.string()))
+        words, cuts = split_words(texts if isinstance(texts, pa.Array) else pa.array(
+            [(t if isinstance(t, str) else "").encode("utf-8", "replace") for t in texts], pa.string()))
         words = words.dictionary_encode()
         kinds = words.dictionary
         at = pc.index_in(kinds, pa.array(self.words, pa.string()))
-        rare = kinds.filter(pc.is_null(at)).cast(pa.binary()).to_pylist()
         ids = at.fill_null(0).to_numpy().copy()
-        ids[at.is_null().to_numpy(zero_copy_only=False)] = [WORDS + zlib.crc32(w) % RARE for w in rare]
+        ids[at.is_null().to_numpy(zero_copy_only=False)] = WORDS + crc32(kinds.filter(pc.is_null(at))) % RARE
         return kinds, ids, words.indices.to_numpy(), cuts
 
+    def number(self, texts, often: pa.Array, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+        """The ids of the texts' words, where each text begins and the last ends, the summed ``parts`` of its ``often``
+        words, and its other words that share an id."""
+        kinds, ids, number, cuts = self.split(texts)
+        row = np.repeat(np.arange(len(texts)), np.diff(cuts))
+        of = pc.index_in(kinds, often).fill_null(len(often)).to_numpy()
+        within = _sums(row, np.append(parts, 0)[of][number], len(texts))
+        seldom = ((ids >= WORDS) & (of == len(often)))[number]
+        before = np.concatenate(([0], np.cumsum(seldom)))[cuts]
+        lists = pa.ListArray.from_arrays(pa.array(before, pa.int32()), kinds.take(pa.array(number[seldom])))
+        return ids[number], cuts, within, [r or None for r in pc.binary_join(lists, " ").to_pylist()]
+
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words between ASCII white space, A-Z lowered, and where each text begins and the last ends."""
@@ -106,9 +158,10 @@ def count_words(docs: DataFrame) -> DataFrame:
     """(word, n) over all documents."""
 
     def count(batches):
+        keep_freed_memory()
         for batch in batches:
             texts = batch.column(0)
-            for a, b in portions(pc.binary_length(texts).to_pylist(), PORTION):
+            for a, b in portions(pc.binary_length(texts).to_pylist(), COUNTED):
                 found = split_words(texts.slice(a, b - a))[0].value_counts()
                 yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"])
 
@@ -127,22 +180,61 @@ def rare_counts(counts: DataFrame, words: list[str]) -> DataFrame:
     return counts.join(F.broadcast(top), "word", "left_anti")
 
 
-def often_and_seldom(rare: DataFrame) -> tuple[pa.Array, np.ndarray, DataFrame, Column]:
-    """Of the words that share an id: the most frequent, at most ``OFTEN``, and the logs of their parts of their ids;
-    the counts of the others; and the whole of each id."""
+def shared_counts(rare: DataFrame) -> pd.DataFrame:
+    """Of the words that share an id, by id and level of their counts: the sum of the counts, the words, the least
+    count."""
     level = F.floor(F.log2("n") * 8)
-    sums = rare.groupBy(bucket().alias("bucket"), level.alias("level")).agg(
+    return rare.groupBy(bucket().alias("bucket"), level.alias("level")).agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("words"), F.min("n").alias("least")).toPandas()
+
+
+def often_and_seldom(rare: DataFrame, sums: pd.DataFrame) -> tuple[pa.Array, np.ndarray, DataFrame, Column]:
+    """Of the words that share an id: the most frequent, at most ``OFTEN``, and the logs of their parts of their ids;
+    the counts of the others; and the whole of each id. ``sums`` are their ``shared_counts``."""
     whole = np.ones(RARE)
     np.add.at(whole, sums["bucket"].to_numpy(np.int64), (sums["n"] + sums["words"]).to_numpy(np.float64))
     by_level = sums.groupby("level").agg({"words": "sum", "least": "min"}).sort_index(ascending=False)
     fits = by_level["least"][by_level["words"].cumsum() <= OFTEN]
     least = int(fits.iloc[-1]) if len(fits) else 1 << 62
     found = rare.where(F.col("n") >= least).select("word", "n").toPandas()
-    of = [zlib.crc32(w.encode()) % RARE for w in found["word"]]
-    parts = np.log((found["n"].to_numpy(np.float64) + 1) / whole[np.array(of, np.int64)])
-    return (pa.array(found["word"].tolist(), pa.string()), parts, rare.where(F.col("n") < least),
-            F.array(*[F.lit(float(x)) for x in whole]))
+    often = pa.array(found["word"].tolist(), pa.string())
+    parts = np.log((found["n"].to_numpy(np.float64) + 1) / whole[crc32(often) % RARE])
+    return often, parts, rare.where(F.col("n") < least), F.array(*[F.lit(float(x)) for x in whole])
+
+
+def numbered(docs: DataFrame, vocabulary: Vocabulary, often: pa.Array, parts: np.ndarray) -> DataFrame:
+    """For each row, with its columns but ``text``: row, n_words, ids (16 bits each), often, rare as ``Vocabulary.number``
+    gives them."""
+    own = [c for c in docs.columns if c != "text"]
+
+    def number(batches):
+        keep_freed_memory()
+        for batch in batches:
+            texts = batch.column("text").cast(pa.string())
+            for a, b in portions(pc.binary_length(texts).to_pylist(), PORTION):
+                ids, cuts, within, rare = vocabulary.number(texts.slice(a, b - a), often, parts)
+                found = pa.BinaryArray.from_buffers(pa.binary(), b - a, [
+                    None, pa.py_buffer((2 * cuts).astype(np.int32)), pa.py_buffer(ids.astype(np.int16))])
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(a, b - a) for c in own), pa.array(np.diff(cuts), pa.int64()), found,
+                     pa.array(within), pa.array(rare, pa.string())], [*own, "n_words", "ids", "often", "rare"])
+
+    schema = T.StructType([docs.schema[c] for c in own])
+    for name, kind in (("n_words", T.LongType()), ("ids", T.BinaryType()), ("often", T.DoubleType()), ("rare", T.StringType())):
+        schema = schema.add(name, kind)
+    found = docs.select(*own, F.coalesce("text", F.lit("")).alias("text")).mapInArrow(number, schema)
+    return written(found.select(F.monotonically_increasing_id().alias("row"), "*"), "numbered")
+
+
+def _numbers(ids: pa.Array):
+    """(ids, where each document begins and the last ends) of portions of the documents in a column of ``numbered``."""
+    ids = ids.cast(pa.binary())
+    for a, b in portions((pc.binary_length(ids).to_numpy() // 2).tolist(), TOGETHER):
+        some = ids.slice(a, b - a)
+        _, cuts, data = some.buffers()
+        cuts = np.frombuffer(cuts, np.int32)[some.offset:some.offset + b - a + 1]
+        found = np.frombuffer(data or b"", np.uint8)[cuts[0]:cuts[-1]].view(np.int16)
+        yield found.astype(np.int32), (cuts - cuts[0]) // 2
 
 
 def within_buckets(rows: DataFrame, seldom: DataFrame, whole: Column) -> DataFrame:
@@ -264,8 +356,20 @@ def _apart(ids: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return padded, at
 
 
-def _trainer(start: dict, vocabulary: Vocabulary):
+def _trainer(start: dict, vocabulary: Vocabulary | None = None):
+    """Trains on batches of ids as ``numbered`` has them, or on frames of texts with their ``vocabulary``."""
+
+    def pieces(batch):
+        if vocabulary is None:
+            yield from _numbers(batch.column("ids"))
+            return
+        texts = [t if isinstance(t, str) else "" for t in batch.text]
+        for a, b in portions(list(map(len, texts)), PORTION):
+            _, ids, number, cuts = vocabulary.split(texts[a:b])
+            yield ids[number], cuts
+
     def train(batches):
+        keep_freed_memory()
         flat = np.concatenate([start[k].ravel() for k in SHAPES])
         p, m1, m2 = _views(flat), np.zeros_like(flat), np.zeros_like(flat)
         held, size, seen, t = [], 0, 0, 0
@@ -287,19 +391,17 @@ def _trainer(start: dict, vocabulary: Vocabulary):
             g *= RATE / (1 - 0.9 ** t)
             np.subtract(flat, g, out=flat)
 
-        def contexts(texts):
-            _, ids, number, cuts = vocabulary.split(texts)
-            padded, at = _apart(ids[number], cuts)
+        def contexts(ids, cuts):
+            padded, at = _apart(ids, cuts)
             a = 0
             while a < len(at):  # up to the end of a batch
                 some = at[a:a + BATCH - size]
                 a += len(some)
                 yield padded[some[:, None] + np.array(OFFSETS)], padded[some]
 
-        for pdf in batches:
-            texts = [t if isinstance(t, str) else "" for t in pdf.text]
-            for a, b in portions(list(map(len, texts)), PORTION):
-                for some in contexts(texts[a:b]):
+        for batch in batches:
+            for ids, cuts in pieces(batch):
+                for some in contexts(ids, cuts):
                     held.append(some)
                     size += len(some[1])
                     if size == BATCH:
@@ -313,24 +415,42 @@ def _trainer(start: dict, vocabulary: Vocabulary):
     return train
 
 
-def train(docs: DataFrame, counts: DataFrame | None = None) -> tuple[dict, Vocabulary]:
-    """The network averaged over all tasks, and the vocabulary."""
-    counts = written(count_words(docs), "word-counts") if counts is None else counts
+def prepared(counts: DataFrame) -> tuple[Vocabulary, dict, DataFrame, pd.DataFrame]:
+    """The vocabulary, the network before training, the counts of the words that share an id and their
+    ``shared_counts``."""
     top = counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()
     words = [r["word"] for r in top]
-    rest = rare_counts(counts, words).groupBy(bucket().alias("bucket")).agg(F.sum("n").alias("n"))
+    rare = rare_counts(counts, words)
+    sums = shared_counts(rare)
     n = np.zeros(IDS)
     n[:len(words)] = [r["n"] for r in top]
-    for r in rest.collect():
-        n[WORDS + r["bucket"]] = r["n"]
-    vocabulary, start = Vocabulary(words), initial(n)
-    parts = docs.select("text").mapInPandas(_trainer(start, vocabulary), "i int, v double, n double")
+    np.add.at(n, WORDS + sums["bucket"].to_numpy(np.int64), sums["n"].to_numpy(np.float64))
+    return Vocabulary(words), initial(n), rare, sums
+
+
+def fitted(rows: DataFrame, start: dict) -> dict:
+    """The network averaged over all tasks, for rows that are ``numbered``."""
+    learn = _trainer(start)
+
+    def train(batches):
+        for found in learn(batches):
+            yield pa.RecordBatch.from_pandas(found, pa.schema([("i", pa.int32()), ("v", pa.float64()), ("n", pa.float64())]))
+
+    parts = rows.select("ids").mapInArrow(train, "i int, v double, n double")
     mean = parts.groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).toPandas()
     if not len(mean):
-        return start, vocabulary
+        return start
     flat = np.zeros(len(mean), np.float32)
     flat[mean["i"].to_numpy()] = mean["v"].to_numpy()
-    return _views(flat), vocabulary
+    return _views(flat)
+
+
+def train(docs: DataFrame, counts: DataFrame | None = None) -> tuple[dict, Vocabulary]:
+    """The network averaged over all tasks, and the vocabulary."""
+    counts = written(count_words(docs), "word-counts") if counts is None else counts
+    vocabulary, start, _, _ = prepared(counts)
+    rows = numbered(docs.select("text"), vocabulary, pa.array([], pa.string()), np.empty(0))
+    return fitted(rows, start), vocabulary
 
 
 class Scorer:
@@ -354,54 +474,57 @@ class Scorer:
         out[order] = found
         return out
 
+    def totals(self, ids: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        """The summed log-probability of each document's ids (``cuts``: where each begins and the last ends)."""
+        padded, at = _apart(ids, cuts)
+        order = np.argsort(ids.astype(np.int16), kind="stable")  # few classes in a block
+        found = np.empty(len(ids))
+        for a in range(0, len(ids), BLOCK):
+            some = order[a:a + BLOCK]
+            found[some] = self.log_probabilities(padded, at[some])
+        return _sums(np.repeat(np.arange(len(cuts) - 1), np.diff(cuts)), found, len(cuts) - 1)
+
     def score(self, texts, often: pa.Array | None = None, parts: np.ndarray | None = None):
         """(words, summed log-probability of their ids, what words that share an id add) of each text; the last are the
         summed ``parts`` of the ``often`` words, and the others themselves."""
-        often, parts = pa.array([], pa.string()) if often is None else often, np.append(() if parts is None else parts, 0)
+        often, parts = pa.array([], pa.string()) if often is None else often, np.empty(0) if parts is None else parts
         n, total, within, rare = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts)), []
         texts = [t if isinstance(t, str) else "" for t in texts]
-        for first, to in portions(list(map(len, texts)), PORTION):
-            kinds, ids, number, cuts = self.vocabulary.split(texts[first:to])
-            n[first:to] = np.diff(cuts)
-            padded, at = _apart(ids[number], cuts)
-            row = np.repeat(np.arange(first, to), n[first:to])
-            for a in range(0, len(at), BLOCK):
-                found = self.log_probabilities(padded, at[a:a + BLOCK])
-                own = row[a:a + BLOCK]  # in order, so each text's words are one run
-                run = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-                total[own[run]] += np.add.reduceat(found, run)
-            of = pc.index_in(kinds, often).fill_null(len(often)).to_numpy()
-            within[first:to] = np.bincount(row - first, parts[of][number], to - first)
-            seldom = ((ids >= WORDS) & (of == len(often)))[number]
-            before = np.concatenate(([0], np.cumsum(seldom)))[cuts]
-            lists = pa.ListArray.from_arrays(pa.array(before, pa.int32()), kinds.take(pa.array(number[seldom])))
-            rare += [r or None for r in pc.binary_join(lists, " ").to_pylist()]
+        for a, b in portions(list(map(len, texts)), PORTION):
+            ids, cuts, within[a:b], some = self.vocabulary.number(texts[a:b], often, parts)
+            n[a:b], total[a:b] = np.diff(cuts), self.totals(ids, cuts)
+            rare += some
         return n, total, (within, rare)
 
 
-def scored(docs: DataFrame, scorer: Scorer, rare: DataFrame) -> DataFrame:
-    """The result for ``docs``; ``rare`` has the counts of the words that share an id."""
+def scores(rows: DataFrame, scorer: Scorer, seldom: DataFrame, whole: Column) -> DataFrame:
+    """The result for rows that are ``numbered``."""
 
-    often, parts, seldom, whole = often_and_seldom(rare)
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        keep_freed_memory()
+        for ids in batches:
+            found = [scorer.totals(*some) for some in _numbers(pa.array(ids, pa.binary()))]
+            yield pd.Series(np.concatenate(found) if found else np.empty(0))
 
-    @F.pandas_udf("n_words long, log_prob double, often double, rare string")
-    def score(text: pd.Series) -> pd.DataFrame:
-        n, total, (within, rare) = scorer.score(list(text), often, parts)
-        return pd.DataFrame({"n_words": n, "log_prob": total, "often": within, "rare": pd.Series(rare, dtype=object)})
-
-    rows = docs.select("doc_id", score(F.col("text")).alias("s")).select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "s.n_words", "s.log_prob", "s.often", "s.rare")
-    rows = written(rows, "scored")
-    found = rows.drop("rare").join(within_buckets(rows, seldom, whole), "row", "left").drop("row")
+    found = rows.select("row", "doc_id", "n_words", score("ids").alias("log_prob"), "often")
+    found = found.join(within_buckets(rows, seldom, whole), "row", "left").drop("row")
     found = found.withColumn("word_log_prob", F.col("log_prob") + F.col("often") + F.coalesce("within", F.lit(0.0)))
     return found.drop("often", "within").withColumn("mean_log_prob", F.expr("try_divide(word_log_prob, n_words)"))
 
 
+def scored(docs: DataFrame, scorer: Scorer, rare: DataFrame) -> DataFrame:
+    """The result for ``docs``; ``rare`` has the counts of the words that share an id."""
+    often, parts, seldom, whole = often_and_seldom(rare, shared_counts(rare))
+    return scores(numbered(docs.select("doc_id", "text"), scorer.vocabulary, often, parts), scorer, seldom, whole)
+
+
 def language_model(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, log_prob (summed over ids), word_log_prob (summed over words), mean_log_prob (a word)."""
-    counts = written(count_words(docs), "word-counts")
-    p, vocabulary = train(docs, counts)
-    return scored(docs, Scorer(p, vocabulary), rare_counts(counts, vocabulary.words))
+    vocabulary, start, rare, sums = prepared(written(count_words(docs), "word-counts"))
+    often, parts, seldom, whole = often_and_seldom(rare, sums)
+    rows = numbered(docs.select("doc_id", "text"), vocabulary, often, parts)
+    return scores(rows, Scorer(fitted(rows, start), vocabulary), seldom, whole)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import collections
+import os
 import random
+import subprocess
+import sys
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -89,3 +93,52 @@ def test_portions_change_nothing(monkeypatch):
         found.append((out.v.to_numpy(), n, total, rare))
     for a, b in zip(*found, strict=True):
         assert list(a) == list(b) if isinstance(a, list) else np.allclose(a, b)
+
+
+def test_checksums_of_many_words():
+    rng = random.Random(3)
+    words = ["", "é", "a" * lm.SHORT, "b" * (lm.SHORT + 1), "가" * 400]
+    words += ["".join(rng.choice("aé가 z") for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    for some in (pa.array(words), pa.array(words).slice(7, 90), pa.array(words[:1]), pa.array([], pa.string())):
+        assert lm.crc32(some).tolist() == [zlib.crc32(w.encode()) for w in some.to_pylist()]
+
+
+def test_written_ids_train_and_score_as_texts(spark, monkeypatch):
+    """Texts are split for ids once; what is learnt from and scored by the written ids is what the texts give."""
+    texts = ODD + [None] + [" ".join(f"w{i * i % 89} {'x' * (i % 40)}" for i in range(n)) for n in (300, 1, 64)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    vocabulary, start = lm.Vocabulary([f"w{i}" for i in range(60)]), lm.initial(np.ones(lm.IDS))
+    rows = lm.numbered(docs, vocabulary, pa.array(["w70", "x"]), np.array([-1.5, -2.0]))
+    got = {r.doc_id: r for r in rows.collect()}
+    assert "text" not in rows.columns and len(got) == len(texts)
+    n, total, (within, rare) = lm.Scorer(start, vocabulary).score(texts, pa.array(["w70", "x"]), np.array([-1.5, -2.0]))
+    for i, t in enumerate(texts):
+        assert np.frombuffer(got[i].ids, np.int16).tolist() == vocabulary.ids(t).tolist()
+        assert (got[i].n_words, got[i].rare) == (n[i], rare[i]) and abs(got[i].often - within[i]) < 1e-9
+    monkeypatch.setattr(lm, "BATCH", 64)
+    monkeypatch.setattr(lm, "TOGETHER", 50)
+    ids = pa.array([got[i].ids for i in range(len(texts))], pa.binary())
+    (a,) = lm._trainer(start, vocabulary)([pd.DataFrame({"text": texts})])
+    (b,) = lm._trainer(start)([pa.RecordBatch.from_arrays([ids.slice(0, 9)], ["ids"]),
+                               pa.RecordBatch.from_arrays([ids.slice(9)], ["ids"])])
+    assert np.allclose(a.v, b.v) and a.n[0] == b.n[0] == n.sum()
+    scores = np.concatenate([lm.Scorer(start, vocabulary).totals(*x) for x in lm._numbers(ids)])
+    assert np.allclose(scores, total)
+
+
+def test_training_and_scoring_reuse_memory():
+    """A new process does not give the memory of each step back to the system to get it again page by page."""
+    code = """
+import resource, numpy as np, pandas as pd
+from batchlens.llm import language_model as lm
+rng = np.random.default_rng(2)
+words = [f"w{i}" for i in range(lm.WORDS)]
+vocabulary, start = lm.Vocabulary(words), lm.initial(np.ones(lm.IDS))
+texts = [" ".join(words[i] for i in rng.integers(0, lm.WORDS, 2048)) for _ in range(160)]
+before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+list(lm._trainer(start, vocabulary)([pd.DataFrame({"text": texts})]))
+print(resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=300,
+                         env=os.environ | {"PYTHONPATH": os.pathsep.join(sys.path), "OMP_NUM_THREADS": "1"})
+    assert int(out.stdout) < 40 * 700  # of a step's arrays, about 2,000 pages and more
